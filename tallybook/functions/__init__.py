@@ -1,7 +1,14 @@
 """Column builders made of Spark built-ins only, so every plan stays in generated code."""
 
 from tallybook.functions.dates import month_key, month_label, parse_date, parse_timestamp
-from tallybook.functions.numbers import money, parse_number, ratio, round2, share_pct
+from tallybook.functions.numbers import (
+    money_text,
+    not_negative,
+    parse_number,
+    ratio,
+    round2,
+    share_pct,
+)
 from tallybook.functions.text import (
     blank_to_null,
     sanitize,
@@ -13,9 +20,10 @@ from tallybook.functions.text import (
 
 __all__ = [
     "blank_to_null",
-    "money",
+    "money_text",
     "month_key",
     "month_label",
+    "not_negative",
     "parse_date",
     "parse_number",
     "parse_timestamp",

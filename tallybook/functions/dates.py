@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import strip
-
 # Accepted date texts as (shape, format), tried in this order.
 DATE_FORMATS = (
     (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
@@ -19,32 +17,35 @@ DATE_FORMATS = (
 )
 
 # Fixed value: two-digit years above this one belong to the 1900s.
-LAST_SHORT_YEAR = 2068
+LAST_SHORT_YEAR = "68"
+
 
+def parse_date(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
+    """Date from the first format whose shape fits; null when none fits or the day is impossible.
 
-def parse_date(col: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
-    """Date from the first format whose shape fits; null when none fits or the day is impossible."""
-    text = strip(col)
+    The text must be stripped.
+    """
     parsed = F.lit(None).cast("date")
     for shape, fmt in reversed(formats):
         parsed = F.when(text.rlike(shape), _parse(text, fmt)).otherwise(parsed)
     return parsed
 
 
-def parse_timestamp(col: Column) -> Column:
-    """Timestamp without zone; a text that holds only a date is midnight."""
+def parse_timestamp(text: Column) -> Column:
+    """Timestamp without zone from stripped text; a text that holds only a date is midnight."""
     shape, fmt = DATE_FORMATS[-1]
-    text = strip(col)
     clock = F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
-    return F.when(text.rlike(shape), clock).otherwise(parse_date(col).cast("timestamp_ntz"))
+    return F.when(text.rlike(shape), clock).otherwise(parse_date(text).cast("timestamp_ntz"))
 
 
 def _parse(text: Column, fmt: str) -> Column:
-    day = F.try_to_date(text, fmt)
-    if "yy" in fmt and "yyyy" not in fmt:
-        # Spark reads every two-digit year as 20yy. The calendars of both centuries agree here.
-        day = F.when(F.year(day) > LAST_SHORT_YEAR, F.add_months(day, -1200)).otherwise(day)
-    return day
+    if fmt.endswith("-yy"):
+        # Spark reads every two-digit year as 20yy, so the century is written out first.
+        year = F.right(text, F.lit(2))
+        century = F.when(year > LAST_SHORT_YEAR, "19").otherwise("20")
+        text = F.concat(F.left(text, F.length(text) - 2), century, year)
+        fmt += "yy"
+    return F.try_to_date(text, fmt)
 
 
 def month_key(day: Column) -> Column:

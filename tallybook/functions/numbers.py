@@ -17,28 +17,24 @@ CURRENCY_SIGN = "₹"
 DIGIT_SEPARATOR = ","
 
 
-def parse_number(col: Column) -> Column:
-    """Double from text; null when the text is not a plain number."""
-    text = strip(col)
+def parse_number(text: Column) -> Column:
+    """Double from stripped text; null when the text is not a plain number."""
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
-def money(col: Column, data_type: T.DataType) -> Column:
-    """Amount without sign and separators; what is no number, or is negative, gives 0."""
-    if isinstance(data_type, T.NumericType):
-        number = F.nanvl(col, F.lit(None).cast(data_type)) if _is_float(data_type) else col
-        zero = F.lit(0).cast(data_type)
-    else:
-        text = col.cast("string")
-        for drop in (CURRENCY_SIGN, DIGIT_SEPARATOR):
-            text = F.replace(text, F.lit(drop), F.lit(""))
-        number = parse_number(text)
-        zero = F.lit(0.0)
-    return F.greatest(F.coalesce(number, zero), zero)
+def money_text(text: Column) -> Column:
+    """Money text without currency sign and digit separators, stripped."""
+    for drop in (CURRENCY_SIGN, DIGIT_SEPARATOR):
+        text = F.replace(text, F.lit(drop), F.lit(""))
+    return strip(text)
 
 
-def _is_float(data_type: T.DataType) -> bool:
-    return isinstance(data_type, (T.DoubleType, T.FloatType))
+def not_negative(number: Column, data_type: T.DataType) -> Column:
+    """The number, or 0 when it is null, not a number, or negative."""
+    zero = F.lit(0).cast(data_type)
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        number = F.nanvl(number, zero)
+    return F.greatest(F.coalesce(number, zero), zero)
 
 
 def round2(col: Column) -> Column:

@@ -78,7 +78,7 @@ def removal_counts(columns: Iterable[str], copies: str) -> list[Column]:
 
 def is_unparsed(name: str) -> Column:
     """True where a text is present but is no date. Cleaning makes it null."""
-    return F.col(name).isNotNull() & parse_date(F.col(name)).isNull()
+    return F.col(name).isNotNull() & parse_date(strip(F.col(name))).isNull()
 
 
 def unparsed_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:

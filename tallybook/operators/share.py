@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import share_pct
@@ -11,21 +11,42 @@ from tallybook.functions import share_pct
 def with_totals(groups: DataFrame, **totals: Column) -> DataFrame:
     """Add to every row of an aggregate global aggregates of its columns.
 
-    The totals are a scalar subquery over ``groups``: partial sums per task, then one row. Groups
-    are never gathered into one task, as a window without partitions would do. The subquery also
-    touches the other columns, so that both uses of ``groups`` have the same plan and Spark runs
-    its scan, joins and shuffle once (``ReusedExchange``).
+    A window without partitions would gather all groups in one task, and joining a second aggregate
+    would compute ``groups``, with the scans and joins below it, twice. Here each row also
+    contributes to one total row: the contributions of a task merge before the shuffle. Copies of
+    the total row, one per bucket, then meet the groups spread over the same buckets. Two shuffles
+    of aggregated rows, one pass over the data below. ``groups`` must hold no equal rows.
     """
-    untouched = [F.max(c).alias(f"_{i}") for i, c in enumerate(groups.columns)]
-    facts = F.struct(*[value.alias(name) for name, value in totals.items()], *untouched)
-    found = groups.agg(facts.alias("facts")).scalar()
-    return groups.withColumns({name: found.getField(name) for name in totals})
+    buckets = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_group = F.col("_is_group")
+    both = groups.withColumn("_is_group", F.explode(F.array(F.lit(True), F.lit(False))))
+    held = {f"_{i}": name for i, name in enumerate(groups.columns)}
+    keys = [F.when(is_group, F.col(name)).alias(key) for key, name in held.items()]
+    rows = both.groupBy(is_group, *keys).agg(
+        *[value.alias(f"_total_{name}") for name, value in totals.items()]
+    )
+
+    own_bucket = F.array(F.pmod(F.hash(*held), F.lit(buckets)))
+    all_buckets = F.sequence(F.lit(0), F.lit(buckets - 1))
+    spread = rows.withColumn(
+        "_bucket", F.explode(F.when(is_group, own_bucket).otherwise(all_buckets))
+    )
+    bucket = Window.partitionBy("_bucket")
+    met = spread.select(
+        is_group,
+        *[F.col(key).alias(name) for key, name in held.items()],
+        *[
+            F.max(F.when(~is_group, F.col(f"_total_{name}"))).over(bucket).alias(name)
+            for name in totals
+        ],
+    )
+    return met.where(is_group).drop("_is_group")
 
 
 def with_share(groups: DataFrame, value: str, out: str) -> DataFrame:
     """Add each group's percentage of the sum of ``value``, rounded to 2 decimals."""
-    shared = with_totals(groups, _total=F.sum(value))
-    return shared.withColumn(out, share_pct(F.col(value), F.col("_total"))).drop("_total")
+    shared = with_totals(groups, _whole=F.sum(value))
+    return shared.withColumn(out, share_pct(F.col(value), F.col("_whole"))).drop("_whole")
 
 
 def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.functions import (
-    money,
+    money_text,
+    not_negative,
     parse_date,
+    parse_number,
     parse_timestamp,
     strip,
     title_case,
@@ -78,37 +80,56 @@ def _is_date(data_type: T.DataType) -> bool:
 
 
 def clean_values(df: DataFrame, legacy_substring: bool = False) -> DataFrame:
-    """Apply every column's rules in one projection."""
+    """Apply every column's rules, in two projections of one stage.
+
+    The first fills and strips. The second reads its columns several times, to test a text and then
+    convert it, so Spark keeps the two apart and fills and strips once.
+    """
     plan = column_rules(df.schema, legacy_substring)
-    return df.select(*[_ruled(df.schema[name], rules) for name, rules in plan.items()])
+    fields = [df.schema[name] for name in plan]
+    prepared = df.select(*[_prepare(f, plan[f.name]).alias(f.name) for f in fields])
+    return prepared.select(*[_convert(f, plan[f.name]).alias(f.name) for f in fields])
+
 
+def _prepare(field: T.StructField, rules: list[str]) -> Column:
+    column = F.col(field.name)
+    if "fill_text" in rules:
+        column = F.coalesce(column, F.lit(TEXT_FILL))
+    if "fill_number" in rules:
+        column = _filled(column, field.dataType)
+    if _is_text(field.dataType):
+        column = strip(column)
+        if "money" in rules:
+            column = money_text(column)
+    return column
 
-def _ruled(field: T.StructField, rules: list[str]) -> Column:
+
+def _convert(field: T.StructField, rules: list[str]) -> Column:
     column, data_type = F.col(field.name), field.dataType
     for rule in rules:
         match rule:
             case "date":
                 column, data_type = _dated(field.name, column)
-            case "fill_text":
-                column = F.coalesce(column, F.lit(TEXT_FILL))
-            case "fill_number":
-                column = _filled(column, data_type)
-            case "strip":
-                column = strip(column)
             case "money":
-                column = money(column, data_type)
-                data_type = data_type if _is_number(data_type) else T.DoubleType()
+                column, data_type = _amount(column, data_type)
             case "sku":
                 column, data_type = upper_code(column.cast("string")), T.StringType()
             case "title":
-                column, data_type = title_case(strip(column.cast("string"))), T.StringType()
-    return column.alias(field.name)
+                column, data_type = title_case(column.cast("string")), T.StringType()
+    return column
 
 
-def _dated(name: str, column: Column) -> tuple[Column, T.DataType]:
+def _dated(name: str, text: Column) -> tuple[Column, T.DataType]:
     if "time" in name:
-        return parse_timestamp(column), T.TimestampNTZType()
-    return parse_date(column), T.DateType()
+        return parse_timestamp(text), T.TimestampNTZType()
+    return parse_date(text), T.DateType()
+
+
+def _amount(column: Column, data_type: T.DataType) -> tuple[Column, T.DataType]:
+    if _is_number(data_type):
+        return not_negative(column, data_type), data_type
+    number = parse_number(column.cast("string"))
+    return not_negative(number, T.DoubleType()), T.DoubleType()
 
 
 def _filled(column: Column, data_type: T.DataType) -> Column:
@@ -117,7 +138,7 @@ def _filled(column: Column, data_type: T.DataType) -> Column:
 
 def detect_and_cast_dates(df: DataFrame) -> DataFrame:
     """Date columns from text; texts that are no date become null and stay null."""
-    return df.withColumns({c: _dated(c, F.col(c))[0] for c in date_columns(df)})
+    return df.withColumns({c: _dated(c, strip(F.col(c)))[0] for c in date_columns(df)})
 
 
 def fill_nulls_text(df: DataFrame) -> DataFrame:
@@ -152,7 +173,7 @@ def apply_schema(
         source = F.col(renamed.get(field.name, field.name))
         given = df.schema[renamed.get(field.name, field.name)].dataType
         if _is_text(given) and _is_date(field.dataType):
-            source = parse_date(source)
+            source = parse_date(strip(source))
         return source.try_cast(field.dataType).alias(field.name)
 
     return df.select(*[typed(f) for f in schema.fields])

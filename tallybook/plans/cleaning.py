@@ -59,7 +59,7 @@ def typed_table(raw: DataFrame, types: Mapping[str, str] | None = None) -> DataF
             case "bigint":
                 return strip(column).try_cast("bigint").alias(field.name)
             case "double":
-                return parse_number(column).alias(field.name)
+                return parse_number(strip(column)).alias(field.name)
             case "boolean":
                 return column.try_cast("boolean").alias(field.name)
         return column

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions import month_key, parse_date, ratio
+from tallybook.functions import month_key, parse_date, ratio, strip
 from tallybook.operators import top_k, with_share
 
 TOP_K = 10
@@ -283,7 +283,7 @@ def concentration_by_state(sales: DataFrame) -> DataFrame:
 def date_parse_preview(raw: DataFrame, date: str, *order: str, rows: int = 5) -> DataFrame:
     """First ``rows`` raw date texts in ``order``, with the date each is read as."""
     first = top_k(raw, rows, *order)
-    return first.select(F.col(date).alias("date"), parse_date(F.col(date)).alias("parsed"))
+    return first.select(F.col(date).alias("date"), parse_date(strip(F.col(date))).alias("parsed"))
 
 
 KPIS: dict[str, Kpi] = {
