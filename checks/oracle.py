@@ -437,8 +437,8 @@ ORACLE: dict[str, str] = {
         CROSS JOIN (VALUES ('20260101_000000'), ('20260102_000000'), ('latest')) AS t(run_ts)"""),
     "read_kpi_typed": over_sales(KPIS["monthly_revenue"]),
     "standardize_columns": """
-        SELECT n_nationkey AS nationkey_x, n_name AS unnamed_22, n_regionkey AS ab,
-               n_regionkey + 1 AS ab_2 FROM nation""",
+        SELECT p_partkey AS partkey_x, p_name AS unnamed_22, p_size AS ab, p_size + 1 AS ab_2
+        FROM part""",
     "deduplicate": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     "deduplicate_ignoring": """
         SELECT l_orderkey, l_linenumber, MIN(l_partkey) AS l_partkey
@@ -519,6 +519,6 @@ ORACLE: dict[str, str] = {
         WHERE null_count > 0"""),
     "export_report": f"""
         SELECT name, rows, TRUE AS timed, success, '' AS error FROM ({_EXPORT_ROWS})""",
-    "run_summary": """
-        SELECT CAST(11 AS BIGINT) AS succeeded, CAST(11 AS BIGINT) AS total""",
+    "run_summary": f"""
+        SELECT COUNT(*) FILTER (success) AS succeeded, COUNT(*) AS total FROM ({_EXPORT_ROWS})""",
 }

@@ -136,8 +136,8 @@ def latest_and_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standardize_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = sources.read_table(spark, sf_dir, "nation")
-    untidy = nations.toDF(" Nation-Key X ", "Unnamed: 22", "A-B")
+    parts = sources.read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    untidy = parts.toDF(" Part-Key X ", "Unnamed: 22", "A-B")
     return op.standardize_columns(untidy.withColumn("AB", F.col("`A-B`") + 1))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +24,9 @@ PRODUCT_NAMES = ("product_name", "sku", "style", "product", "item")
 UNIT_NAMES = ("units_sold", "quantity", "qty", "units")
 LABEL_LENGTH = 22
 
+# The KPIs a report is made from.
+REPORT_KPIS = ("monthly_revenue", "category_performance", "state_performance", "top_products")
+
 
 def _month_candidates(column: str) -> list[Column]:
     text = F.col(column)
@@ -144,3 +147,15 @@ def concentration_report(
         share_pct(F.col(value), F.col("_total")).alias("share_pct"),
         share_pct(running, F.col("_total")).alias("cumulative_share_pct"),
     )
+
+
+def report_tables(kpis: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every table of the report, from the KPIs it needs."""
+    return {
+        "monthly_trend": monthly_trend(kpis["monthly_revenue"]),
+        "category_ranking": category_ranking(kpis["category_performance"]),
+        "top_states": top_states(kpis["state_performance"]),
+        "top_products": top_products_table(kpis["top_products"]),
+        "category_concentration": concentration_report(kpis["category_performance"], "category"),
+        "state_concentration": concentration_report(kpis["state_performance"], "state"),
+    }

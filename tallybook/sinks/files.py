@@ -51,7 +51,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it from there.
 
     Worth it when several jobs read the same joins. The folder is the one the cluster names in
-    ``spark.checkpoint.dir``; where none is named, ``df`` stays as it is.
+    ``spark.checkpoint.dir``, and its rules decide how long the table stays; where none is named,
+    ``df`` stays as it is.
     """
     folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
     if not folder:

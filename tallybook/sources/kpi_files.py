@@ -47,6 +47,8 @@ KPI_SCHEMAS = {
 def read_kpi_typed(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One exported KPI with its declared types."""
     reader = spark.read.schema(KPI_SCHEMAS[name]).option("header", True).option("escape", '"')
+    # With a null text that no cell holds, an empty cell is null and a quoted empty one is not.
+    reader = reader.option("nullValue", "\x00")
     try:
         return reader.csv(f"{root}/{name}")
     except AnalysisException as error:
