@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallybook.functions import parse_date, strip
 from tallybook.functions.numbers import INTEGER, NUMBER
-from tallybook.operators.rows import all_null, deduplicate
+from tallybook.operators.rows import deduplicate
 
 
 def type_evidence(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -62,12 +62,13 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def count_removed(df: DataFrame) -> DataFrame:
     """Rows in, copies and empty rows removed, rows out."""
-    return deduplicate(df, copies="_copies").agg(*removal_counts(df.columns, "_copies"))
+    counted = deduplicate(df, copies="_copies", filled="_filled")
+    return counted.agg(*removal_counts("_copies", F.col("_filled") == 0))
 
 
-def removal_counts(columns: Iterable[str], copies: str) -> list[Column]:
+def removal_counts(copies: str, is_empty: Column) -> list[Column]:
     """Aggregates over distinct rows and the number of copies each had."""
-    raw, empty = F.coalesce(F.sum(copies), F.lit(0)), F.count_if(all_null(columns))
+    raw, empty = F.coalesce(F.sum(copies), F.lit(0)), F.count_if(is_empty)
     return [
         raw.alias("raw_rows"),
         (F.count("*") - empty).alias("clean_rows"),

@@ -10,25 +10,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def deduplicate(df: DataFrame, ignore: Iterable[str] = (), copies: str | None = None) -> DataFrame:
+def deduplicate(
+    df: DataFrame,
+    ignore: Iterable[str] = (),
+    copies: str | None = None,
+    filled: str | None = None,
+) -> DataFrame:
     """Remove full-row copies; nulls are equal to each other.
 
     ``ignore`` names columns, such as a row number, that do not make rows different. Of such rows
     the one with the least ignored values stays. ``copies`` adds a column with the number of rows
-    that were one. Copies merge on the map side before the shuffle, so one row repeated in a third
-    of the table sends one row per task.
+    that were one, ``filled`` one with how many of these hold any value. Copies merge on the map
+    side before the shuffle, so one row repeated in a third of the table sends one row per task.
     """
     ignore = set(ignore)
     ignored = [c for c in df.columns if c in ignore]
-    if not ignored and copies is None:
+    counts = {}
+    if copies:
+        counts[copies] = F.count("*")
+    if filled:
+        counts[filled] = F.count_if(~all_null(df.columns))
+    if not ignored and not counts:
         return df.dropDuplicates()
     keys = [c for c in df.columns if c not in ignored]
     kept = [F.min(F.struct(*ignored)).alias("_least")] if ignored else []
-    counted = [F.count("*").alias(copies)] if copies else []
-    rows = df.groupBy(*keys).agg(*kept, *counted)
+    rows = df.groupBy(*keys).agg(*kept, *[count.alias(name) for name, count in counts.items()])
     if ignored:
         rows = rows.select("*", "_least.*")
-    return rows.select(*df.columns, *([copies] if copies else []))
+    return rows.select(*df.columns, *counts)
 
 
 def all_null(columns: Iterable[str]) -> Column:
@@ -36,5 +45,10 @@ def all_null(columns: Iterable[str]) -> Column:
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
-    """Remove rows whose columns are all null."""
+    """Remove rows whose columns are all null.
+
+    The planner tracks a condition on many columns through every later renaming, at a cost that
+    doubles with each. A plan that goes on to rename and filter wide rows should filter on the
+    ``filled`` count of ``deduplicate`` instead, as the cleaning stage does.
+    """
     return df.na.drop("all")

@@ -15,12 +15,10 @@ from tallybook.operators import (
     clean_values,
     date_columns,
     deduplicate,
-    drop_empty_rows,
     infer_types,
     standardize_columns,
 )
 from tallybook.operators.profile import is_unparsed, removal_counts
-from tallybook.operators.rows import all_null
 from tallybook.operators.values import fill_columns
 from tallybook.sinks import write_cleaned
 from tallybook.sources import read_sources
@@ -39,7 +37,7 @@ REPORT_SCHEMA = (
     " warnings array<string>, success boolean, error string"
 )
 
-_COPIES, _NULLS, _UNPARSED = "_copies", "_nulls:", "_unparsed:"
+_COPIES, _FILLED, _NULLS, _UNPARSED = "_copies", "_filled", "_nulls:", "_unparsed:"
 
 
 def typed_table(raw: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
@@ -77,8 +75,13 @@ def clean_table(
 
     The only shuffle is the removal of copies.
     """
-    rows = deduplicate(typed_table(raw, types), ignore)
-    return clean_values(drop_empty_rows(rows), legacy_substring)
+    typed = typed_table(raw, types)
+    rows = deduplicate(typed, ignore, filled=_FILLED)
+    return clean_values(_not_empty(rows, typed.columns), legacy_substring)
+
+
+def _not_empty(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.where(F.col(_FILLED) > 0).select(*columns)
 
 
 def as_sales_orders(cleaned: DataFrame) -> DataFrame:
@@ -95,7 +98,7 @@ def cleaning_report(
 ) -> DataFrame:
     """The report row of one source, as a lazy aggregate; nothing is written."""
     typed = typed_table(raw, types)
-    counts = deduplicate(typed, ignore, _COPIES).agg(*_counters(typed))
+    counts = deduplicate(typed, ignore, _COPIES, _FILLED).agg(*_counters(typed))
     return _report_row(name, counts, typed.columns)
 
 
@@ -114,9 +117,8 @@ def clean_and_write(
     """
     typed = typed_table(raw, types)
     observed = Observation(name)
-    rows = deduplicate(typed, ignore, _COPIES).observe(observed, *_counters(typed))
-    full = rows.where(~all_null(typed.columns)).select(*typed.columns)
-    write_cleaned(clean_values(full), path, file_format)
+    rows = deduplicate(typed, ignore, _COPIES, _FILLED).observe(observed, *_counters(typed))
+    write_cleaned(clean_values(_not_empty(rows, typed.columns)), path, file_format)
     values = observed.get
     schema = T.StructType([T.StructField(key, T.LongType()) for key in values])
     counts = raw.sparkSession.createDataFrame([tuple(values.values())], schema)
@@ -149,12 +151,12 @@ def clean_all(
 
 def _counters(typed: DataFrame) -> list[Column]:
     """Aggregates over the distinct rows that hold everything the report states."""
-    full = ~all_null(typed.columns)
+    full = F.col(_FILLED) > 0
     nulls = [
         F.count_if(full & F.col(c).isNull()).alias(_NULLS + c) for c in fill_columns(typed.schema)
     ]
     unparsed = [F.count_if(is_unparsed(c)).alias(_UNPARSED + c) for c in date_columns(typed)]
-    return [*removal_counts(typed.columns, _COPIES), *nulls, *unparsed]
+    return [*removal_counts(_COPIES, F.col(_FILLED) == 0), *nulls, *unparsed]
 
 
 def _report_row(name: str, counts: DataFrame, columns: list[str]) -> DataFrame:

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from tallybook import operators as op
+from tallybook.functions import blank_to_null
 from tallybook.plans import kpi
+from tallybook.plans.cleaning import clean_table
 from tallybook.sources import sales_orders
 from tests.conftest import SMALL, rows
 from tests.plans import final_plan, scans
@@ -93,6 +96,17 @@ def test_cleaning_shuffles_once(spark):
     assert "keys=[sku" in plan
 
 
+def test_wide_tables_are_planned_fast(spark):
+    names = [f"{kind} {i}" for i in range(8) for kind in ("Date", "Sku", "Amount", "City", "Note")]
+    raw = spark.range(5).select(*[F.lit("x").alias(n) for n in names])
+    cells = raw.select(*[blank_to_null(F.col(f"`{n}`")).alias(n) for n in names])
+    start = time.perf_counter()
+    clean = clean_table(cells, types={"note_1": "boolean"})
+    found = clean.where(F.col("sku_1") == "X").groupBy("city_1").count().where("count > 0")
+    assert rows(found) == [("X", 1)]
+    assert time.perf_counter() - start < 30
+
+
 def test_large_sides_are_not_broadcast(spark, conf):
     conf(
         **{
