@@ -2,8 +2,9 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local threads. ``load_sales_orders`` joins the
 star schema and writes the flat order-line table; every KPI then runs once over that table, as the
-engine is meant to be used. Two untimed queries warm the session up. ``export_all`` is one run of the eleven KPI files. ``…_from_star`` starts
-from the star schema instead. ``clean_table`` cleans the whole raw order table.
+engine is meant to be used. Two untimed queries warm the session up. ``export_all`` is one run of
+the eleven KPI files. ``…_from_star`` starts from the star schema instead. ``clean_table`` cleans
+the whole raw order table.
 """
 
 from __future__ import annotations

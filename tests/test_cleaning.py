@@ -244,3 +244,17 @@ def test_null_profile(spark):
 def test_stringify_keeps_nulls(spark):
     df = spark.createDataFrame([([1, 2], None, 3)], "a array<int>, b string, c int")
     assert rows(op.stringify_objects(df)) == [("[1, 2]", None, 3)]
+
+
+def test_a_source_without_rows(spark, tmp_path):
+    empty = tmp_path / "empty.csv"
+    empty.write_text("Order ID,Amount\n")
+    blank = tmp_path / "blank.csv"
+    blank.write_text("Order ID,Amount\n,\n,\n")
+    sources = {"empty": str(empty), "blank": str(blank)}
+    report = {r["name"]: r for r in cleaning.clean_all(spark, sources, str(tmp_path)).collect()}
+    counts = ("raw_rows", "clean_rows", "duplicates_removed", "empty_rows_removed")
+    assert [report["empty"][c] for c in counts] == [0, 0, 0, 0]
+    assert [report["blank"][c] for c in counts] == [2, 0, 1, 1]
+    assert report["empty"]["success"] and report["blank"]["success"]
+    assert spark.read.parquet(str(tmp_path / "blank_cleaned")).count() == 0

@@ -104,3 +104,10 @@ def test_staged_export_reads_the_joins_once(spark, tmp_path):
     (new,) = shared_tables(spark, "sales_orders") - before
     staged = spark.read.parquet(str(new))
     assert set(staged.columns) == {"order_date", "amount", "courier_status"}
+
+
+def test_export_of_no_lines(sales, tmp_path):
+    report = export.export_all(sales.where(F.lit(False)), str(tmp_path))
+    got = {r["name"]: (r["rows"], r["success"], r["error"]) for r in report.collect()}
+    assert got.pop("executive_summary") == (1, True, "")
+    assert set(got.values()) == {(0, True, "")}
