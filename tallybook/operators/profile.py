@@ -13,27 +13,47 @@ from tallybook.functions.numbers import INTEGER, NUMBER
 from tallybook.operators.rows import deduplicate
 
 
+_INTEGER, _NUMBER, _BOOLEAN, _OTHER = 1, 2, 3, 4
+
+
 def type_evidence(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Per text column: values present, and how many are no integer, number, or boolean."""
-    columns = list(columns if columns is not None else df.columns)
+    """Per text column: values present, and how many are no integer, number, or boolean.
 
-    def counters(name: str) -> Column:
-        value = F.col(name)
-        text = strip(value)
-        integer = text.rlike(INTEGER) & text.try_cast("bigint").isNotNull()
-        return F.struct(
-            F.lit(name).alias("column_name"),
-            F.count(value).alias("non_null"),
-            F.count_if(value.isNotNull() & ~integer).alias("not_integer"),
-            F.count_if(value.isNotNull() & ~text.rlike(NUMBER)).alias("not_number"),
-            F.count_if(value.isNull() | ~F.lower(value).isin("true", "false")).alias("not_boolean"),
-        )
-
-    found = df.agg(*[counters(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    rows = found.select(F.inline(F.array(*[f"c{i}" for i in range(len(columns))])))
+    Each cell is stripped once and classed once; the counts then compare small codes.
+    """
+    columns = list(columns if columns is not None else df.columns)
+    places = range(len(columns))
+    texts = df.select(
+        *[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)],
+        *[strip(F.col(c)).alias(f"t{i}") for i, c in enumerate(columns)],
+    )
+    kinds = texts.select(*[_kind(F.col(f"v{i}"), F.col(f"t{i}")).alias(f"k{i}") for i in places])
+    found = kinds.agg(*[_evidence(columns[i], F.col(f"k{i}")).alias(f"c{i}") for i in places])
+    rows = found.select(F.inline(F.array(*[f"c{i}" for i in places])))
     return rows.withColumn("inferred_type", _inferred_type())
 
 
+def _kind(value: Column, text: Column) -> Column:
+    """Code of the narrowest class a cell is in; null for a missing one."""
+    return (
+        F.when(value.isNull(), F.lit(None))
+        .when(text.rlike(INTEGER) & text.try_cast("bigint").isNotNull(), F.lit(_INTEGER))
+        .when(text.rlike(NUMBER), F.lit(_NUMBER))
+        .when(F.lower(value).isin("true", "false"), F.lit(_BOOLEAN))
+        .otherwise(F.lit(_OTHER))
+    )
+
+
+def _evidence(column: str, kind: Column) -> Column:
+    return F.struct(
+        F.lit(column).alias("column_name"),
+        F.count(kind).alias("non_null"),
+        F.count_if(kind != _INTEGER).alias("not_integer"),
+        F.count_if(kind > _NUMBER).alias("not_number"),
+        F.count_if(kind.isNull() | (kind != _BOOLEAN)).alias("not_boolean"),
+    )
+
+
 def _inferred_type() -> Column:
     """The narrowest type all values fit. Empty columns are numbers; booleans must be complete."""
     return (
