@@ -154,6 +154,17 @@ def _tokens(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "tokens"])
 
 
+def smallest_reachable(linked: np.ndarray) -> np.ndarray:
+    """Smallest index that each row of a symmetric matrix can reach."""
+    np.fill_diagonal(linked, True)
+    least, seen = np.arange(len(linked)), None
+    while seen is None or (least != seen).any():
+        seen = least
+        least = np.where(linked, seen[None, :], len(linked)).min(axis=1)
+        least = least[least]
+    return least
+
+
 def ties(ids: np.ndarray, sets: list[np.ndarray], rule: Rule, label: np.ndarray | None = None) -> list[tuple[int, int]]:
     """(member, smallest member) for members that links connect; exact, one product of 0/1 matrices.
 
@@ -180,12 +191,7 @@ def ties(ids: np.ndarray, sets: list[np.ndarray], rule: Rule, label: np.ndarray
         slab[member[a:b], column[a:b] - start] = 1
         both += slab @ slab.T
     linked = (100 + rule.percent) * both.astype(np.int64) >= rule.percent * (n[:, None] + n[None, :])
-    np.fill_diagonal(linked, True)
-    least, seen = np.arange(len(ids)), None
-    while seen is None or (least != seen).any():
-        seen = least
-        least = np.where(linked, seen[None, :], len(ids)).min(axis=1)
-        least = least[least]
+    least = smallest_reachable(linked)
     return [(int(ids[i]), int(ids[j])) for i, j in enumerate(least) if ids[i] != ids[j]]
 
 
@@ -230,23 +236,57 @@ def _place(chunks: Column) -> Column:
     return F.pmod(F.xxhash64("id"), chunks).cast("int")
 
 
-def _member_lists(entries: DataFrame) -> DataFrame:
-    """(list, id, size): what stands together in a list or in a chunk of one, each set of members once."""
+def _feasible(table: pa.Table, rule: Rule) -> pa.Table:
+    """Of each list, the sets of members that sizes and places leave together, as (list, id, size).
+
+    At the first shingle that two sets share, at places a and b of sets of m and n, they can share no more
+    than m - a and n - b. Equal sets of members get equal numbers, so they are compared once.
+    """
+    key, ids, n, at = (table.column(c).to_numpy() for c in ("key", "id", "n", "at"))
+    order = np.lexsort((ids, key))
+    lists, members, sizes = [], [], []
+    for own in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+        room = (n[own] - at[own]).astype(np.int64)
+        needed = -(-rule.percent * (n[own][:, None] + n[own][None, :]).astype(np.int64) // (100 + rule.percent))
+        label = smallest_reachable(np.minimum(room[:, None], room[None, :]) >= needed)
+        for first in np.unique(label):
+            group = np.unique(ids[own[label == first]])
+            if len(group) > 1:
+                lists += [xxhash.xxh64_intdigest(group.tobytes()) - 2**63] * len(group)
+                members += group.tolist()
+                sizes += [len(group)] * len(group)
+    return pa.table({"list": pa.array(lists, pa.int64()), "id": pa.array(members, pa.int64()), "size": pa.array(sizes, pa.int32())})
+
+
+def _member_lists(entries: DataFrame, rule: Rule) -> DataFrame:
+    """(list, id, size): what is to be compared within a list, or a chunk of one, each set of members once."""
     pivot = F.pmod(F.xxhash64("id", F.lit(7)), F.ceil(F.col("length") / PIVOTS)) == 0
     places = F.when(
         (F.col("chunks") > 1) & pivot, F.sequence(F.lit(0), F.col("chunks") - 1)
     ).otherwise(F.array(_place(F.col("chunks"))))
-    members = (
-        entries.select("token", "id", F.explode(places).alias("place"))
-        .groupBy("token", "place")
-        .agg(F.array_sort(F.collect_set("id")).alias("members"))
-        .where(F.size("members") > 1)
-        .select("members")
-        .distinct()
+    placed = entries.select("length", "id", "n", "at", "token", F.explode(places).alias("place"))
+    calls = max(1, entries.count() // 20_000)
+    key = F.xxhash64("token", "place")
+    call = F.when(F.col("length") >= 64, key).otherwise(F.pmod(key, F.lit(calls)))
+    sent = placed.select(key.alias("key"), call.alias("call"), "id", "n", "at")
+    return sent.groupBy("call").applyInArrow(
+        lambda t: _feasible(t, rule), "list long, id long, size int"
+    ).distinct()
+
+
+def _joined(lists: DataFrame, chunk: int) -> DataFrame:
+    """The same comparisons with fewer copies of each set: lists that overlap become one, up to ``chunk`` members."""
+    leaders = cut(lists.groupBy("list").agg(F.min("id").alias("leader")), "leaders")
+    parts = cut(
+        connected(lists.join(leaders, "list").select(F.col("id").alias("a"), F.col("leader").alias("b"))), "list-parts"
     )
-    return members.select(
-        F.xxhash64("members").alias("list"), F.size("members").alias("size"), F.explode("members").alias("id")
+    sizes = cut(parts.groupBy("component").agg(F.count("*").cast("int").alias("members")), "part-sizes")
+    sized = parts.join(sizes, "component")
+    whole = sized.where(F.col("members") <= chunk).select(
+        F.col("component").alias("list"), F.col("node").alias("id"), F.col("members").alias("size")
     )
+    wide = sized.where(F.col("members") > chunk).select(F.col("node").alias("id"))
+    return cut(whole.unionByName(lists.join(wide, "id", "left_semi")), "joined-lists")
 
 
 def _across(entries: DataFrame, parts: DataFrame, chunk: int) -> DataFrame:
@@ -332,23 +372,24 @@ def jaccard_components(
     prefix = F.col("n") - F.ceil(F.col("n") * rule.percent / 100).cast("int") + 1
     early = F.filter("entries", lambda e: ~e["later"])
     late = F.filter("entries", lambda e: e["later"])
-    take_early = F.col("prefix") - (F.col("front") - F.size("early"))
-    take_late = F.col("prefix") - F.col("front") - (F.col("n") - F.col("front") - F.size("late"))
-    fronts = gathered.select("id", prefix.alias("prefix"), "front", "n", early.alias("early"), late.alias("late")).select(
-        "id",
-        F.concat(
-            F.slice("early", F.lit(1), F.greatest(take_early, F.lit(0))),
-            F.slice("late", F.lit(1), F.greatest(take_late, F.lit(0))),
-        ).alias("entries"),
-    ).where(F.size("entries") > 0)
-    postings = cut(
-        fronts.join(first, "id", "left_semi").select("id", F.explode("entries.token").alias("token")), "postings"
+    # Shingles of one document come first in either part, so they move the others back.
+    before_early = F.col("front") - F.size("early")
+    before_late = F.col("n") - F.size("late")
+    place = F.concat(
+        F.transform("early", lambda e, k: F.struct(e["token"].alias("token"), (before_early + k).alias("at"))),
+        F.transform("late", lambda e, k: F.struct(e["token"].alias("token"), (before_late + k).alias("at"))),
+    )
+    fronts = (
+        gathered.select("id", "n", "front", prefix.alias("prefix"), early.alias("early"), late.alias("late"))
+        .select("id", "n", "prefix", F.explode(place).alias("entry"))
+        .where("entry.at < prefix")
     )
+    postings = cut(fronts.join(first, "id", "left_semi").select("id", "n", "entry.token", "entry.at"), "postings")
     lengths = cut(
         postings.groupBy("token").agg(F.count_distinct("id").alias("length")).where("length > 1"), "list-lengths"
     )
     entries = postings.join(lengths, "token").withColumn("chunks", F.ceil(F.col("length") / chunk).cast("int"))
-    lists = cut(_member_lists(entries), "lists")
+    lists = _joined(cut(_member_lists(entries, rule), "lists"), chunk)
     wanted = lists.select("id").distinct()
     tokens = cut(
         named.join(wanted, "id", "left_semi").mapInArrow(lambda it: _tokens(it, rule), "id long, tokens binary"),
