@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallybook import sinks, sources
 from tallybook.plans import cleaning, reporting
 from tallybook.plans.export import export_all, run_summary
-from tallybook.session import build_session
+from tallybook.session import build_session, input_bytes, size_shuffles
 
 # The raw inputs by source name.
 RAW_FILES = {
@@ -44,15 +44,20 @@ def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     run_ts = time.strftime("%Y%m%d_%H%M%S")
     kpis = sources.read_kpi_files(spark, args.kpi, reporting.REPORT_KPIS)
     tables = reporting.report_tables(kpis)
+    rows = []
     for name, table in tables.items():
-        sinks.latest_and_archive(table, args.out, name, run_ts)
-    rows = [(name, True, f"{args.out}/latest/{name}") for name in tables]
-    return spark.createDataFrame(rows, "name string, success boolean, output_path string")
+        try:
+            sinks.latest_and_archive(table, args.out, name, run_ts)
+            rows.append((name, True, f"{args.out}/latest/{name}", ""))
+        except Exception as error:  # one bad table must not stop the rest
+            rows.append((name, False, "", str(error)))
+    return spark.createDataFrame(rows, "name string, success boolean, output_path string, error string")
 
 
 def parse(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tallybook", description=__doc__)
     parser.add_argument("--master", help="Spark master; by default what the cluster sets")
+    parser.add_argument("--shuffle-bytes", type=int, help="size of the input, if its folder does not tell")
     stages = parser.add_subparsers(dest="stage", required=True)
 
     stage = stages.add_parser("clean", help="raw CSV files to cleaned tables")
@@ -83,6 +88,9 @@ def main(argv: list[str], spark: SparkSession | None = None) -> int:
     """Run one stage, print its report and summary; 0 when every part succeeded."""
     args = parse(argv)
     spark = spark or build_session(master=args.master)
+    given = next((p for p in (getattr(args, n, None) for n in ("raw", "clean", "sales", "kpi")) if p), None)
+    if args.shuffle_bytes or given:
+        size_shuffles(spark, args.shuffle_bytes or input_bytes(spark, given))
     outcome = args.run(spark, args)
     outcome.show(truncate=False)
     run_summary(outcome).show()

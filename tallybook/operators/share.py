@@ -15,7 +15,7 @@ def with_totals(groups: DataFrame, **totals: Column) -> DataFrame:
     would compute ``groups``, with the scans and joins below it, twice. Here each row also
     contributes to one total row: the contributions of a task merge before the shuffle. Copies of
     the total row, one per bucket, then meet the groups spread over the same buckets. Two shuffles
-    of aggregated rows, one pass over the data below. ``groups`` must hold no equal rows.
+    of aggregated rows, one pass over the data below. Equal rows travel as one row and its number.
     """
     buckets = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_group = F.col("_is_group")
@@ -23,6 +23,7 @@ def with_totals(groups: DataFrame, **totals: Column) -> DataFrame:
     held = {f"_{i}": name for i, name in enumerate(groups.columns)}
     keys = [F.when(is_group, F.col(name)).alias(key) for key, name in held.items()]
     rows = both.groupBy(is_group, *keys).agg(
+        F.count("*").alias("_times"),
         *[value.alias(f"_total_{name}") for name, value in totals.items()]
     )
 
@@ -34,13 +35,15 @@ def with_totals(groups: DataFrame, **totals: Column) -> DataFrame:
     bucket = Window.partitionBy("_bucket")
     met = spread.select(
         is_group,
+        "_times",
         *[F.col(key).alias(name) for key, name in held.items()],
         *[
             F.max(F.when(~is_group, F.col(f"_total_{name}"))).over(bucket).alias(name)
             for name in totals
         ],
     )
-    return met.where(is_group).drop("_is_group")
+    again = F.explode(F.sequence(F.lit(1), F.col("_times")))
+    return met.where(is_group).withColumn("_again", again).drop("_is_group", "_times", "_again")
 
 
 def with_share(groups: DataFrame, value: str, out: str) -> DataFrame:

@@ -37,7 +37,7 @@ REPORT_SCHEMA = (
     " warnings array<string>, success boolean, error string"
 )
 
-_COPIES, _FILLED, _NULLS, _UNPARSED = "_copies", "_filled", "_nulls:", "_unparsed:"
+_COPIES, _FILLED, _NULLS, _UNPARSED, _UNFIT = "_copies", "_filled", "_nulls:", "_unparsed:", "_unfit:"
 
 
 def typed_table(raw: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
@@ -47,8 +47,10 @@ def typed_table(raw: DataFrame, types: Mapping[str, str] | None = None) -> DataF
     price of one more scan. Columns that become dates stay text until the values are cleaned.
     """
     named = standardize_columns(raw)
-    found = infer_types(named) if types is None else types
+    return named.select(*_typed(named, infer_types(named) if types is None else types))
 
+
+def _typed(named: DataFrame, found: Mapping[str, str]) -> list[Column]:
     def typed(field: T.StructField) -> Column:
         column = F.col(field.name)
         if not isinstance(field.dataType, T.StringType):
@@ -62,7 +64,30 @@ def typed_table(raw: DataFrame, types: Mapping[str, str] | None = None) -> DataF
                 return column.try_cast("boolean").alias(field.name)
         return column
 
-    return named.select(*[typed(field) for field in named.schema.fields])
+    return [typed(field) for field in named.schema.fields]
+
+
+def _distinct_rows(
+    raw: DataFrame, types: Mapping[str, str] | None, ignore: Iterable[str], copies: str | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Typed rows without copies, with the number of filled cells, and the names of the columns.
+
+    Inferred types fit every cell, so rows are compared typed. Declared types may not: then rows are
+    compared as text, and a cell that does not fit becomes null and is marked afterwards.
+    """
+    if types is None:
+        typed = typed_table(raw)
+        return deduplicate(typed, ignore, copies, _FILLED), typed.columns
+    named = standardize_columns(raw)
+    rows = deduplicate(named, ignore, copies, _FILLED)
+    columns = dict(zip(named.columns, _typed(named, types), strict=True))
+    text = {f.name for f in named.schema.fields if isinstance(f.dataType, T.StringType)}
+    marks = [
+        ((strip(F.col(c)) != "") & columns[c].isNull()).alias(_UNFIT + c)
+        for c in named.columns
+        if c in text and types.get(c, "string") != "string"
+    ]
+    return rows.select(*columns.values(), *marks, _FILLED, *([copies] if copies else [])), named.columns
 
 
 def clean_table(
@@ -73,11 +98,11 @@ def clean_table(
 ) -> DataFrame:
     """One cleaned table: names, types, copies, empty rows, then all value rules in one select.
 
-    The only shuffle is the removal of copies.
+    The only shuffle is the removal of copies. Cells that do not fit a declared type become null after
+    copies and empty rows are removed, so no row goes with them.
     """
-    typed = typed_table(raw, types)
-    rows = deduplicate(typed, ignore, filled=_FILLED)
-    return clean_values(_not_empty(rows, typed.columns), legacy_substring)
+    rows, columns = _distinct_rows(raw, types, ignore)
+    return clean_values(_not_empty(rows, columns), legacy_substring)
 
 
 def _not_empty(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -97,9 +122,8 @@ def cleaning_report(
     ignore: Iterable[str] = (),
 ) -> DataFrame:
     """The report row of one source, as a lazy aggregate; nothing is written."""
-    typed = typed_table(raw, types)
-    counts = deduplicate(typed, ignore, _COPIES, _FILLED).agg(*_counters(typed))
-    return _report_row(name, counts, typed.columns)
+    rows, columns = _distinct_rows(raw, types, ignore, _COPIES)
+    return _report_row(name, rows.agg(*_counters(rows, columns)), columns)
 
 
 def clean_and_write(
@@ -115,14 +139,14 @@ def clean_and_write(
     The counters are observed after the shuffle that removes copies, in the stage that writes. Spark
     counts each task of that stage once, so a lost executor does not change them.
     """
-    typed = typed_table(raw, types)
+    rows, columns = _distinct_rows(raw, types, ignore, _COPIES)
     observed = Observation(name)
-    rows = deduplicate(typed, ignore, _COPIES, _FILLED).observe(observed, *_counters(typed))
-    write_cleaned(clean_values(_not_empty(rows, typed.columns)), path, file_format)
+    rows = rows.observe(observed, *_counters(rows, columns))
+    write_cleaned(clean_values(_not_empty(rows, columns)), path, file_format)
     values = observed.get
     schema = T.StructType([T.StructField(key, T.LongType()) for key in values])
     counts = raw.sparkSession.createDataFrame([tuple(values.values())], schema)
-    return _report_row(name, counts, typed.columns)
+    return _report_row(name, counts, columns)
 
 
 def clean_all(
@@ -149,13 +173,17 @@ def clean_all(
     return reduce(DataFrame.unionByName, reports)
 
 
-def _counters(typed: DataFrame) -> list[Column]:
+def _counters(rows: DataFrame, columns: list[str]) -> list[Column]:
     """Aggregates over the distinct rows that hold everything the report states."""
-    full = F.col(_FILLED) > 0
-    nulls = [
-        F.count_if(full & F.col(c).isNull()).alias(_NULLS + c) for c in fill_columns(typed.schema)
-    ]
+    full, typed = F.col(_FILLED) > 0, rows.select(*columns)
+    unfit = [c.removeprefix(_UNFIT) for c in rows.columns if c.startswith(_UNFIT)]
+
+    def empty(name: str) -> Column:
+        return F.col(name).isNull() & (~F.col(_UNFIT + name) if name in unfit else F.lit(True))
+
+    nulls = [F.count_if(full & empty(c)).alias(_NULLS + c) for c in fill_columns(typed.schema)]
     unparsed = [F.count_if(is_unparsed(c)).alias(_UNPARSED + c) for c in date_columns(typed)]
+    unparsed += [F.count_if(F.col(_UNFIT + c)).alias(_UNPARSED + c) for c in unfit]
     return [*removal_counts(_COPIES, F.col(_FILLED) == 0), *nulls, *unparsed]
 
 

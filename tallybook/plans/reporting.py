@@ -39,6 +39,8 @@ def _month_candidates(column: str) -> list[Column]:
 def monthly_trend(monthly: DataFrame, month: str = "order_month") -> DataFrame:
     """Months as dates and labels, in time order; rows without a readable month are dropped.
 
+    A table in which no month can be read is an error when the plan runs.
+
     The first format that reads all months is used. When none does, each row takes the first format
     that reads it. The choice is part of the plan, so nothing runs while the plan is built.
     """
@@ -48,12 +50,13 @@ def monthly_trend(monthly: DataFrame, month: str = "order_month") -> DataFrame:
         f"_bad{i}": F.count_if(F.col(month).isNotNull() & F.col(name).isNull())
         for i, name in enumerate(candidates)
     }
-    judged = with_totals(parsed, **failed)
     chosen = F.coalesce(*[F.col(name) for name in candidates])
+    judged = with_totals(parsed, _readable=F.count(chosen), **failed)
     for i, name in reversed(list(enumerate(candidates))):
         chosen = F.when(F.col(f"_bad{i}") == 0, F.col(name)).otherwise(chosen)
+    none = F.raise_error(F.lit(f"no value of {month} is a month in a known form"))
     return (
-        judged.withColumn("order_month_dt", chosen)
+        judged.withColumn("order_month_dt", F.when(F.col("_readable") == 0, none.cast("date")).otherwise(chosen))
         .dropna(subset=["order_month_dt"])
         .select(*monthly.columns, "order_month_dt")
         .withColumn("order_month_label", month_label(F.col("order_month_dt")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # ANSI and UTC fix the results; the adaptive settings let one plan serve 60 thousand rows and 100 TB:
-# many initial shuffle partitions that merge when small, and skewed join partitions that split.
+# shuffle partitions from the size of the input, which merge when small, and skewed join partitions that split.
 DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -18,9 +18,21 @@ DEFAULTS = {
 TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
 
 
-def shuffle_partitions(input_bytes: int, minimum: int = 200, maximum: int = 100_000) -> int:
+def shuffle_partitions(input_bytes: int, minimum: int = 200) -> int:
     """Shuffle partitions that keep about 128 MB in each when ``input_bytes`` are shuffled."""
-    return max(minimum, min(maximum, -(-input_bytes // TARGET_SHUFFLE_BYTES)))
+    return max(minimum, -(-input_bytes // TARGET_SHUFFLE_BYTES))
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder on whatever file system holds it; 0 if there is none."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getContentSummary(place).getLength() if system.exists(place) else 0
+
+
+def size_shuffles(spark: SparkSession, size: int) -> None:
+    """Set the session's shuffle partitions for ``size`` bytes of input."""
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(size)))
 
 
 def build_session(

@@ -37,14 +37,15 @@ def write_kpi(df: DataFrame, root: str, name: str) -> str:
 
 
 def latest_and_archive(df: DataFrame, root: str, name: str, run_ts: str) -> None:
-    """Replace the latest copy and add one to the archive under ``run_ts``.
+    """Replace the latest copy and the archive's copy under ``run_ts``; a repeated run leaves one copy.
 
     The archive copy is read from the latest one: both are the same, and ``df`` runs once.
     """
     latest = f"{root}/latest/{name}"
     df.write.mode("overwrite").parquet(latest)
     copy = df.sparkSession.read.parquet(latest).withColumn("run_ts", F.lit(run_ts))
-    copy.write.mode("append").partitionBy("run_ts").parquet(f"{root}/archive/{name}")
+    archive = copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    archive.partitionBy("run_ts").parquet(f"{root}/archive/{name}")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -52,11 +53,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Worth it when several jobs read the same joins. The folder is the one the cluster names in
     ``spark.checkpoint.dir``, and its rules decide how long the table stays; where none is named,
-    ``df`` stays as it is.
+    this is an error.
     """
     folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        return df
+        raise ValueError("staging needs a shared folder: set spark.checkpoint.dir")
     path = f"{folder.rstrip('/')}/tallybook-{name}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

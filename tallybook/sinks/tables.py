@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tallybook.sinks.files import CSV_OPTIONS
 from tallybook.operators import stringify_objects
 
 # Which cleaned source fills which table, and rows per insert statement.
@@ -48,14 +49,22 @@ def load_all(
     for source, table in tables.items():
         path = f"{clean_root}/{source}_cleaned"
         try:
-            load_table(spark.read.parquet(path), table, as_view)
+            load_table(_cleaned(spark, path), table, as_view)
             outcome[table] = "loaded"
-        except AnalysisException as error:
-            missing = error.getCondition() == "PATH_NOT_FOUND"
-            outcome[table] = f"File not found: {path}" if missing else f"failed: {error}"
+        except Exception as error:  # one bad source must not stop the rest
+            missing = isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"
+            outcome[table] = f"nothing at {path}; clean this source first" if missing else f"failed: {error}"
     return outcome
 
 
+def _cleaned(spark: SparkSession, path: str) -> DataFrame:
+    """A cleaned table as it was written, Parquet or CSV, by the ending of its files."""
+    heads = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
+    if heads.isEmpty():
+        return spark.read.options(**CSV_OPTIONS).csv(path)
+    return spark.read.parquet(path)
+
+
 def write_database(
     df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None
 ) -> None:

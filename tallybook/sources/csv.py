@@ -8,7 +8,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,35 +23,53 @@ def read_csv_source(
     multi_line: bool = False,
     encoding: str | None = None,
 ) -> DataFrame:
-    """Read one source, a file or a folder of files with the same header.
+    """Read one source, a file or a folder of files with the same columns, in any order.
 
-    Without ``encoding`` each file is UTF-8 if all its bytes are, else Latin-1. ``multi_line`` allows
-    line ends inside quotes but makes each file one task, so it is off unless asked for.
+    Without ``encoding`` each file is UTF-8 if all its bytes are, else Latin-1. Each file is read under its
+    own header and columns meet by name; files whose columns differ are refused. A row with more cells than
+    its header is an error. Files with line ends inside quotes are read whole, each by one task;
+    ``multi_line`` does so for all files.
     """
-    if encoding is not None:
-        return _read(spark, path, multi_line, encoding)
-    files: dict[str, list[str]] = {}
-    for file, found in file_encodings(spark, path).items():
-        files.setdefault(found, []).append(file)
-    if len(files) < 2:
-        return _read(spark, path, multi_line, next(iter(files), "UTF-8"))
-    parts = [_read(spark, group, multi_line, found) for found, group in sorted(files.items())]
+    groups: dict[tuple, list[str]] = {}
+    for file in file_facts(spark, path):
+        found = encoding or ("UTF-8" if file["valid"] else FALLBACK_ENCODING)
+        groups.setdefault((found, multi_line or file["open_quote"], file["header"]), []).append(unquote(file["file"]))
+    if not groups:
+        raise ValueError(f"No columns to read from {path}")
+    # One kind of file is read by its folder, so that the list of files does not become part of the plan.
+    parts = [
+        _read(spark, path if len(groups) == 1 else files, files[0], lines, found)
+        for (found, lines, _), files in sorted(groups.items(), key=lambda g: g[1][0])
+    ]
+    for part in parts[1:]:
+        if sorted(part.columns) != sorted(parts[0].columns):
+            raise ValueError(f"files of {path} differ in their columns: {parts[0].columns} and {part.columns}")
     return reduce(DataFrame.unionByName, parts)
 
 
-def file_encodings(spark: SparkSession, path: str | list[str]) -> dict[str, str]:
-    """Encoding of each file of a source: UTF-8 when all its bytes are, else Latin-1.
+def file_facts(spark: SparkSession, path: str | list[str]) -> list[Row]:
+    """(file, valid, open_quote, header) of each file of a source, from one distributed scan.
 
-    The check is a distributed scan; one flag per file reaches the driver, which lists them anyway.
+    Whether all bytes are UTF-8, whether a line ends inside quotes, and the first line. One small row per
+    file reaches the driver, which lists them anyway.
     """
-    lines = spark.read.text(path)
-    checked = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("valid")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    return (
+        lines.groupBy("file")
+        .agg(
+            F.bool_and(F.is_valid_utf8("value")).alias("valid"),
+            F.bool_or(quotes % 2 == 1).alias("open_quote"),
+            F.min_by("value", "place").alias("header"),
+        )
+        .collect()
     )
-    return {
-        unquote(row.file): "UTF-8" if row.valid else FALLBACK_ENCODING
-        for row in checked.collect()
-    }
+
+
+def file_encodings(spark: SparkSession, path: str | list[str]) -> dict[str, str]:
+    """Encoding of each file of a source: UTF-8 when all its bytes are, else Latin-1."""
+    return {unquote(f["file"]): "UTF-8" if f["valid"] else FALLBACK_ENCODING for f in file_facts(spark, path)}
 
 
 def read_sources(
@@ -63,7 +81,7 @@ def read_sources(
         try:
             frames[name] = read_csv_source(spark, path)
         except AnalysisException as error:
-            errors[name] = f"File not found: {path}" if _missing(error) else str(error)
+            errors[name] = f"nothing to read at {path}; check the source's path" if _missing(error) else str(error)
         except ValueError as error:
             errors[name] = str(error)
     return frames, errors
@@ -73,19 +91,21 @@ def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def _read(spark: SparkSession, path, multi_line: bool, encoding: str) -> DataFrame:
+def _read(spark: SparkSession, path, one: str, multi_line: bool, encoding: str) -> DataFrame:
+    """Files of the same header as ``one``, all cells as text."""
     options = {"encoding": encoding, "quote": '"', "escape": '"', "multiLine": str(multi_line)}
-    first = spark.read.options(**options).csv(path).head()
+    first = spark.read.options(**options).csv(one).head()
     if first is None:
-        raise ValueError(f"No columns to read from {path}")
-    raw = [value or "" for value in first]
-    names = header_names(raw)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    # Files whose header differs are refused, unless the names had to be changed here.
-    same = names == raw
-    reader = spark.read.options(**options, header="true", enforceSchema=str(not same))
-    cells = reader.schema(schema).csv(path)
-    return cells.select(*[blank_to_null(F.col(_quoted(c))).alias(c) for c in names])
+        raise ValueError(f"No columns to read from {one}")
+    names = header_names([value or "" for value in first])
+    surplus = "_surplus"
+    while surplus in names:
+        surplus += "_"
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, surplus]])
+    cells = spark.read.options(**options, header="true", enforceSchema="true").schema(schema).csv(path)
+    more = F.raise_error(F.concat(F.lit(f"a row of {one} has more cells than its header: "), F.col(surplus)))
+    whole = cells.where(F.when(F.col(surplus).isNull(), F.lit(True)).otherwise(more.cast("boolean")))
+    return whole.select(*[blank_to_null(F.col(_quoted(c))).alias(c) for c in names])
 
 
 def header_names(cells: list[str]) -> list[str]:

@@ -53,14 +53,14 @@ def read_kpi_typed(spark: SparkSession, root: str, name: str) -> DataFrame:
         return reader.csv(f"{root}/{name}")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"KPI file not found: {root}/{name}") from error
+            raise FileNotFoundError(f"no {name} under {root}; export the KPIs first") from error
         raise
 
 
 def require_rows(df: DataFrame, name: str) -> DataFrame:
     """Pass ``df`` on, or fail when it has no rows."""
     if df.isEmpty():
-        raise ValueError(f"KPI file is empty: {name}")
+        raise ValueError(f"{name} has no rows; export it again")
     return df
 
 

@@ -216,7 +216,7 @@ def test_all_sources_in_one_run(spark, raw, tmp_path):
     report = {r["name"]: r for r in cleaning.clean_all(spark, sources, str(tmp_path)).collect()}
     assert (report["good"]["success"], report["good"]["duplicates_removed"]) == (True, 1)
     assert report["good"]["null_fills"] == {"amount": 1}
-    assert report["gone"]["error"].startswith("File not found")
+    assert report["gone"]["error"].startswith("nothing to read")
     assert not report["bad"]["success"] and report["bad"]["error"]
     kept = spark.read.parquet(str(tmp_path / "good_cleaned"))
     assert rows(kept, "order_id") == [("o1", 5.0, "1"), ("o2", 0.0, "x")]

@@ -68,15 +68,15 @@ def test_missing_source_is_skipped(spark, tmp_path):
     given = {"gone": str(tmp_path / "gone.csv"), "here": here}
     frames, errors = sources.read_sources(spark, given)
     assert list(frames) == ["here"] and list(errors) == ["gone"]
-    assert errors["gone"].startswith("File not found")
+    assert errors["gone"].startswith("nothing to read")
 
 
 def test_kpi_gate(spark, tmp_path):
-    with pytest.raises(FileNotFoundError, match="KPI file not found"):
+    with pytest.raises(FileNotFoundError, match="export the KPIs first"):
         sources.read_kpi_typed(spark, str(tmp_path), "monthly_revenue")
     (tmp_path / "monthly_revenue").mkdir()
     write(tmp_path / "monthly_revenue" / "part.csv", "order_month,monthly_revenue\n")
-    with pytest.raises(ValueError, match="KPI file is empty: monthly_revenue"):
+    with pytest.raises(ValueError, match="monthly_revenue has no rows"):
         sources.read_kpi_files(spark, str(tmp_path), ["monthly_revenue"])
     write(tmp_path / "monthly_revenue" / "part.csv", "order_month,monthly_revenue\n202203,1.5\n")
     read = sources.read_kpi_files(spark, str(tmp_path), ["monthly_revenue"])

@@ -31,7 +31,7 @@ def work(spark, tmp_path_factory):
 def test_stages(spark, work, capsys):
     clean, out, report = work / "clean", work / "kpi", work / "report"
     assert main(["clean", "--raw", str(work / "raw"), "--out", str(clean)], spark) == 1
-    assert "File not found" in capsys.readouterr().out
+    assert "nothing to read" in capsys.readouterr().out
     assert rows(spark.read.parquet(f"{clean}/sale_report_cleaned")) == [("A-1", 5)]
 
     assert main(["load", "--clean", str(clean)], spark) == 1
