@@ -15,12 +15,12 @@ WORDS = r"[^\x20\x09-\x0D]+"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or an own one if unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="tallybook-")
-        spark.sparkContext.setCheckpointDir(folder)
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder.rstrip('/')}/tallybook-{spark.sparkContext.applicationId}"
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tallybook-"))
+        folder = context.getCheckpointDir()
+    return f"{folder.rstrip('/')}/tallybook-{context.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
