@@ -58,9 +58,9 @@ def test_files_with_other_headers_are_refused(spark, tmp_path):
     folder = tmp_path / "odd"
     folder.mkdir()
     write(folder / "1.csv", "a,b\n1,2\n")
-    write(folder / "2.csv", "b,a\n1,2\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        sources.read_csv_source(spark, str(folder)).collect()
+    write(folder / "2.csv", "b,c\n1,2\n")
+    with pytest.raises(ValueError, match="differ in their columns"):
+        sources.read_csv_source(spark, str(folder))
 
 
 def test_missing_source_is_skipped(spark, tmp_path):
