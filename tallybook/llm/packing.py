@@ -95,9 +95,10 @@ def pack(
     duplicate cluster, or more than ``per_source`` of one source. A null cluster conflicts with nothing; a
     null source is a source; sizes that are null count as 0, and an empty document stands in a bin with no
     length. Rows with equal ids are packed each. An empty table gives an empty result; other columns are
-    left out. Documents are dealt by a hash of id, cluster and size into groups of about ``group_rows``, each
-    packed alone, so no task grows with the table and a hot source or cluster is spread over all groups; only
-    rows alike in all three share a group.
+    left out. Documents are dealt by a hash into groups of about ``group_rows``, each packed alone, so no task
+    grows with the table and a hot source or cluster is spread over all groups. Rows alike in id, size, source
+    and cluster are counted first and dealt by number, so a row that is repeated is spread as well, and what
+    a lost executor repeats is the same.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("row"),
@@ -106,7 +107,13 @@ def pack(
         cluster.cast("bigint").alias("cluster"),
     )
     groups = max(1, -(-docs.count() // group_rows))
-    dealt = rows.withColumn("group", F.pmod(F.xxhash64(F.lit(SEED), "row", "cluster", "size"), F.lit(groups)))
+    # Copies in two steps, so that no row grows with their number: by the thousand, then each.
+    alike = rows.groupBy(rows.columns).agg(F.count("*").alias("copies"))
+    thousands = alike.withColumn("thousand", F.explode(F.expr("sequence(0, (copies - 1) div 1000)")))
+    last = F.least(F.col("copies"), (F.col("thousand") + 1) * 1000) - 1
+    each = thousands.withColumn("copy", F.explode(F.sequence(F.col("thousand") * 1000, last)))
+    key = F.xxhash64(F.lit(SEED), "row", "cluster", "size", "source", "copy")
+    dealt = each.select(*rows.columns, F.pmod(key, F.lit(groups)).alias("group"))
     packed = dealt.groupBy("group").applyInArrow(
         lambda t: _pack(t, capacity, per_source),
         "row long, size long, source string, piece_start long, piece_size long, bin long, bin_start long",

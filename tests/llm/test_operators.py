@@ -146,6 +146,12 @@ def test_packing_places_everything_and_keeps_conflicts_apart(docs, none):
     assert packing.pack(none, word_count(F.col("text")), F.lit(None)).count() == 0
 
 
+def test_packing_spreads_a_repeated_row_over_groups(spark):
+    same = spark.range(2500).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b").alias("text"), F.lit("s").alias("source"))
+    got = packing.pack(same, word_count(F.col("text")), F.lit(5).cast("long"), group_rows=100).toPandas()
+    assert len(got) == 2500 and got["bin"].is_unique and (got["bin"] // 2**32).nunique() > 20
+
+
 def test_best_fit_takes_the_tightest_compatible_bin():
     packed = {i: (b, at) for i, _, _, b, at in packing.best_fit([(0, 9, "a", 1), (1, 7, "b", 2), (2, 1, "c", 1), (3, 1, "a", 3)], 10, 1)}
     assert packed[2][0] == packed[1][0]  # the fuller bin holds its cluster
