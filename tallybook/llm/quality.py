@@ -202,6 +202,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
     last = docs.select(order.alias("o")).orderBy("o").limit(sample).agg(F.max("o"), F.count("*")).first()
     chosen = docs.where(order <= F.lit(last[0])).select(F.col(text_col).alias("text")).limit(2 * sample)
     rows = chosen.mapInArrow(_sampled, "votes string, features binary").collect() if last[1] else []
+    rows.sort(key=lambda r: (r["votes"], bytes(r["features"])))  # sums of floats depend on the order
     x = np.frombuffer(b"".join(r["features"] for r in rows), np.float32).reshape(-1, FEATURES)
     weight, bias = train(x, np.array([posterior.get(r["votes"], 0.5) for r in rows], np.float32))
     return Scorer(weight, bias, posterior)
