@@ -68,9 +68,14 @@ def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "orders").select(
         key.alias("order_key"),
         F.when(day == 31, "2022-13-01")
-        .when(day % 4 == 0, F.date_format("o_orderdate", "MM-dd-yy"))
-        .when(day % 4 == 1, F.date_format("o_orderdate", " yyyy-MM-dd"))
-        .when(day % 4 == 2, F.date_format("o_orderdate", "M/d/yyyy"))
+        .when(day % 9 == 0, F.date_format("o_orderdate", "MM-dd-yy"))
+        .when(day % 9 == 1, F.date_format("o_orderdate", " yyyy-MM-dd"))
+        .when(day % 9 == 2, F.date_format("o_orderdate", "M/d/yyyy"))
+        .when(day % 9 == 3, F.date_format("o_orderdate", "MM/dd/yy"))
+        .when(day % 9 == 4, F.date_format("o_orderdate", "yyyy/MM/dd"))
+        .when(day % 9 == 5, F.date_format("o_orderdate", "dd-MMM-yyyy"))
+        .when(day % 9 == 6, F.date_format("o_orderdate", "MMMM d, yyyy"))
+        .when(day % 9 == 7, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
         .alias("order_date"),
     )

@@ -2,7 +2,73 @@
 
 from __future__ import annotations
 
-from tallybook.functions.text import NULL_TOKENS, PLAIN_TEXT, TRUNCATION_NOTE, WHITESPACE
+# Fixed values, written out here once more, so that a wrong entry in the engine does not go unseen: white
+# space, cell texts that are null, plain texts for characters outside Latin-1, and the note after a cut.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+NULL_TOKENS = (
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+)
+PLAIN_TEXT = {
+    "—": "-",
+    "–": "-",
+    "‘": "'",
+    "’": "'",
+    "“": '"',
+    "”": '"',
+    "•": "-",
+    "…": "...",
+    "╔": "+",
+    "╗": "+",
+    "╚": "+",
+    "╝": "+",
+    "═": "=",
+    "║": "|",
+    "╣": "+",
+    "╠": "+",
+    "╦": "+",
+    "╩": "+",
+    "╬": "+",
+    "│": "|",
+    "─": "-",
+    "┌": "+",
+    "┐": "+",
+    "└": "+",
+    "┘": "+",
+    "├": "+",
+    "┤": "+",
+    "┬": "+",
+    "┴": "+",
+    "┼": "+",
+    "★": "*",
+    "☆": "*",
+    "●": "-",
+    "○": "-",
+    "▶": ">",
+    "◀": "<",
+}
+TRUNCATION_NOTE = "\n\n[...Report truncated. See full text file for complete insights.]"
 
 SALES = """
 SELECT
@@ -184,9 +250,14 @@ FROM ({SALES})
 RAW_DATES = """
 SELECT o_orderkey AS order_key,
     CASE WHEN DAY(o_orderdate) = 31 THEN '2022-13-01'
-         WHEN DAY(o_orderdate) % 4 = 0 THEN strftime(o_orderdate, '%m-%d-%y')
-         WHEN DAY(o_orderdate) % 4 = 1 THEN strftime(o_orderdate, ' %Y-%m-%d')
-         WHEN DAY(o_orderdate) % 4 = 2 THEN strftime(o_orderdate, '%-m/%-d/%Y')
+         WHEN DAY(o_orderdate) % 9 = 0 THEN strftime(o_orderdate, '%m-%d-%y')
+         WHEN DAY(o_orderdate) % 9 = 1 THEN strftime(o_orderdate, ' %Y-%m-%d')
+         WHEN DAY(o_orderdate) % 9 = 2 THEN strftime(o_orderdate, '%-m/%-d/%Y')
+         WHEN DAY(o_orderdate) % 9 = 3 THEN strftime(o_orderdate, '%m/%d/%y')
+         WHEN DAY(o_orderdate) % 9 = 4 THEN strftime(o_orderdate, '%Y/%m/%d')
+         WHEN DAY(o_orderdate) % 9 = 5 THEN strftime(o_orderdate, '%d-%b-%Y')
+         WHEN DAY(o_orderdate) % 9 = 6 THEN strftime(o_orderdate, '%B %-d, %Y')
+         WHEN DAY(o_orderdate) % 9 = 7 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
          ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS order_date
 FROM orders
 """
@@ -246,7 +317,13 @@ def date(x: str) -> str:
         "[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}": "%m-%d-%y",
         "[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}": "%m-%d-%Y",
         "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}": "%m/%d/%Y",
+        "[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}": "%m/%d/%y",
+        "[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}": "%Y/%m/%d",
+        "[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}": "%d-%b-%Y",
+        "[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}": "%b %d, %Y",
+        "[A-Za-z]{4,} [0-9]{1,2}, [0-9]{4}": "%B %d, %Y",
         "[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9:]+": "%Y-%m-%d %H:%M:%S",
+        "[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9:]+": "%Y-%m-%dT%H:%M:%S",
     }
     text = strip(x)
     cases = " ".join(

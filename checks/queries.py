@@ -71,7 +71,7 @@ def na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def missing_source_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fx.scratch(spark, "skip")
     customers = sources.read_table(spark, sf_dir, "customer")
-    sinks.write_cleaned(customers.drop("c_acctbal"), f"{path}/customers", "csv")
+    sinks.write_cleaned(customers, f"{path}/customers", "csv")
     given = {"absent": f"{path}/absent", "customers": f"{path}/customers"}
     report = cleaning.clean_all(spark, given, f"{path}/clean")
     return report.select("name", "raw_rows", "clean_rows", "success")
@@ -111,7 +111,8 @@ def read_kpi_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _export_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export_all(sources.sales_orders(spark, sf_dir), fx.scratch(spark, "export"))
+    path = fx.scratch(spark, "export")
+    return export_all(sources.sales_orders(spark, sf_dir), f"{path}/kpi", staging=f"{path}/staged")
 
 
 def export_all_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 import time
 
@@ -26,7 +27,8 @@ RAW_FILES = {
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     given = {name: f"{args.raw}/{file}" for name, file in RAW_FILES.items()}
-    return cleaning.clean_all(spark, given, args.out, file_format=args.format)
+    options = json.loads(args.options) if args.options else None
+    return cleaning.clean_all(spark, given, args.out, file_format=args.format, options=options)
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -64,6 +66,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     stage.add_argument("--raw", required=True)
     stage.add_argument("--out", required=True)
     stage.add_argument("--format", choices=("parquet", "csv"), default="parquet")
+    stage.add_argument("--options", help='options by source as JSON, such as {"may_sales": {"ignore": ["index"]}}')
     stage.set_defaults(run=clean)
 
     stage = stages.add_parser("load", help="cleaned tables to catalog tables")

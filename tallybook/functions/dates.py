@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -13,9 +14,18 @@ DATE_FORMATS = (
     (r"^\d{1,2}-\d{1,2}-\d{2}$", "M-d-yy"),
     (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
 )
 
+# Fixed value: a day with a time of day, in seconds or minutes, perhaps with a fraction and a zone.
+CLOCK = r"^(\d{4}-\d{1,2}-\d{1,2})[T ](\d{1,2}:\d{1,2})(:\d{1,2}(?:\.\d{1,9})?)?(?:Z| ?[+-]\d{2}:?\d{2})?$"
+
 # Fixed value: two-digit years above this one belong to the 1900s.
 LAST_SHORT_YEAR = "68"
 
@@ -25,21 +35,31 @@ def parse_date(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS)
 
     The text must be stripped.
     """
-    parsed = F.lit(None).cast("date")
+    parsed = F.when(text.rlike(CLOCK), _clock(text).cast("date"))
     for shape, fmt in reversed(formats):
         parsed = F.when(text.rlike(shape), _parse(text, fmt)).otherwise(parsed)
     return parsed
 
 
 def parse_timestamp(text: Column) -> Column:
-    """Timestamp without zone from stripped text; a text that holds only a date is midnight."""
-    shape, fmt = DATE_FORMATS[-1]
-    clock = F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
-    return F.when(text.rlike(shape), clock).otherwise(parse_date(text).cast("timestamp_ntz"))
+    """Timestamp from stripped text, as the clock showed it; a text that holds only a date is midnight."""
+    return F.when(text.rlike(CLOCK), _clock(text)).otherwise(parse_date(text).cast("timestamp_ntz"))
+
+
+def _clock(text: Column) -> Column:
+    """Day and time of day as written; a zone is left out."""
+    seconds = F.regexp_extract(text, CLOCK, 3)
+    full = F.concat(
+        F.regexp_extract(text, CLOCK, 1),
+        F.lit(" "),
+        F.regexp_extract(text, CLOCK, 2),
+        F.when(seconds == "", ":0").otherwise(seconds),
+    )
+    return full.try_cast("timestamp_ntz")
 
 
 def _parse(text: Column, fmt: str) -> Column:
-    if fmt.endswith("-yy"):
+    if re.search(r"\byy$", fmt):
         # Spark reads every two-digit year as 20yy, so the century is written out first.
         year = F.right(text, F.lit(2))
         century = F.when(year > LAST_SHORT_YEAR, "19").otherwise("20")

@@ -161,22 +161,48 @@ def fill_columns(schema: T.StructType) -> list[str]:
 def apply_schema(
     df: DataFrame, schema: T.StructType | str, renamed: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Project to declared columns and types; a value that does not fit becomes null.
+    """Project to declared columns and types; a value that does not fit becomes null, never a cut one.
 
-    ``renamed`` maps a declared name to the column that holds it under another name.
+    ``renamed`` maps a declared name to the column that holds it under another name. Declared columns that
+    are absent are one error that names them all. ``unfit_counts`` counts the values that do not fit.
     """
+    return df.select(*[column.alias(name) for name, _, column in _declared(df, schema, renamed)])
+
+
+def unfit_counts(
+    df: DataFrame, schema: T.StructType | str, renamed: Mapping[str, str] | None = None
+) -> DataFrame:
+    """(column_name, unfit): values of each declared column that ``apply_schema`` turns into null."""
+    declared = _declared(df, schema, renamed)
+    counts = df.agg(*[F.count_if(given.isNotNull() & column.isNull()).alias(name) for name, given, column in declared])
+    return counts.unpivot([], [F.col(_quoted(c)) for c in counts.columns], "column_name", "unfit")
+
+
+def _declared(
+    df: DataFrame, schema: T.StructType | str, renamed: Mapping[str, str] | None
+) -> list[tuple[str, Column, Column]]:
+    """Name, column as given, and column as declared."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     renamed = renamed or {}
 
-    def typed(field: T.StructField) -> Column:
-        source = F.col(renamed.get(field.name, field.name))
-        given = df.schema[renamed.get(field.name, field.name)].dataType
-        if _is_text(given) and _is_date(field.dataType):
-            source = parse_date(strip(source))
-        return source.try_cast(field.dataType).alias(field.name)
+    absent = [f.name for f in schema.fields if renamed.get(f.name, f.name) not in df.columns]
+    if absent:
+        raise ValueError(f"the table has no column for {', '.join(absent)}; it has {', '.join(df.columns)}")
+
+    def typed(field: T.StructField) -> tuple[str, Column, Column]:
+        name = renamed.get(field.name, field.name)
+        given, kind = F.col(_quoted(name)), df.schema[name].dataType
+        source = parse_date(strip(given)) if _is_text(kind) and _is_date(field.dataType) else given
+        if isinstance(kind, (T.FractionalType, T.DecimalType)) and isinstance(field.dataType, T.IntegralType):
+            source = F.when(source % 1 == 0, source)
+        return field.name, given, source.try_cast(field.dataType)
+
+    return [typed(f) for f in schema.fields]
+
 
-    return df.select(*[typed(f) for f in schema.fields])
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def stringify_objects(df: DataFrame) -> DataFrame:

@@ -37,6 +37,7 @@ REPORT_SCHEMA = (
     " warnings array<string>, success boolean, error string"
 )
 
+_READING, _CLEANING = {"multi_line", "encoding"}, {"ignore", "legacy_substring"}
 _COPIES, _FILLED, _NULLS, _UNPARSED, _UNFIT = "_copies", "_filled", "_nulls:", "_unparsed:", "_unfit:"
 
 
@@ -133,6 +134,7 @@ def clean_and_write(
     types: Mapping[str, str] | None = None,
     ignore: Iterable[str] = (),
     file_format: str = "parquet",
+    legacy_substring: bool = False,
 ) -> DataFrame:
     """Clean one source, write it, and return its report row, all in one run over the data.
 
@@ -142,7 +144,7 @@ def clean_and_write(
     rows, columns = _distinct_rows(raw, types, ignore, _COPIES)
     observed = Observation(name)
     rows = rows.observe(observed, *_counters(rows, columns))
-    write_cleaned(clean_values(_not_empty(rows, columns)), path, file_format)
+    write_cleaned(clean_values(_not_empty(rows, columns), legacy_substring), path, file_format)
     values = observed.get
     schema = T.StructType([T.StructField(key, T.LongType()) for key in values])
     counts = raw.sparkSession.createDataFrame([tuple(values.values())], schema)
@@ -155,17 +157,29 @@ def clean_all(
     out: str,
     types: Mapping[str, Mapping[str, str]] | None = None,
     file_format: str = "parquet",
+    options: Mapping[str, Mapping[str, object]] | None = None,
 ) -> DataFrame:
-    """Clean every source into ``out``. A source that fails gets an error row; the others go on."""
-    types = types or {}
-    frames, errors = read_sources(spark, sources)
+    """Clean every source into ``out``. A source that fails gets an error row; the others go on.
+
+    ``options`` gives by source what differs from the usual: ``multi_line`` and ``encoding`` of its files,
+    ``ignore`` for columns that do not make rows different, ``legacy_substring``, and ``types``. Known types
+    and a known encoding each save a scan.
+    """
+    types, options = types or {}, options or {}
+    unknown = {o for given in options.values() for o in given} - _READING - _CLEANING - {"types"}
+    if unknown or set(options) - set(sources):
+        raise ValueError(f"unknown options or sources: {sorted(unknown | set(options) - set(sources))}")
+    reading = {name: {o: v for o, v in given.items() if o in _READING} for name, given in options.items()}
+    frames, errors = read_sources(spark, sources, reading)
     reports = []
     for name in sources:
         if name not in errors:
             try:
                 path = f"{out}/{name}_cleaned"
-                known = types.get(name)
-                reports.append(clean_and_write(name, frames[name], path, known, (), file_format))
+                given = options.get(name, {})
+                known = given.get("types", types.get(name))
+                how = {o: v for o, v in given.items() if o in _CLEANING}
+                reports.append(clean_and_write(name, frames[name], path, known, file_format=file_format, **how))
                 continue
             except Exception as error:  # one bad source must not stop the rest
                 errors[name] = str(error)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallybook.plans.kpi import EXPORTS, Kpi
 from tallybook.sinks import stage, write_kpi
+from tallybook.sinks.files import remove
 
 EXPORT_SCHEMA = (
     "name string, rows bigint, output_path string, elapsed_sec double, success boolean,"
@@ -39,22 +41,34 @@ def export_all(
     kpis: Mapping[str, Kpi] = EXPORTS,
     staged: bool = False,
     at_once: int = 4,
+    staging: str | None = None,
 ) -> DataFrame:
     """Export the KPIs, a few at a time so that their small last stages overlap.
 
     With ``staged`` the columns they read are written once to the checkpoint folder first; use it
-    when ``sales`` is a join, and leave it off when it is already a table.
+    when ``sales`` is a join, and leave it off when it is already a table. ``staging`` names a shared folder
+    to write them to instead, and what is written there is removed at the end.
     """
     spark = sales.sparkSession
-    if staged:
+    own = f"{staging.rstrip('/')}/sales_orders-{uuid4().hex}" if staging else None
+    if own or staged:
         read = {c for kpi in kpis.values() for c in kpi.columns}
-        sales = stage(sales.select(*[c for c in sales.columns if c in read]), "sales_orders")
+        used = sales.select(*[c for c in sales.columns if c in read])
+        if own:
+            used.write.parquet(own)
+            sales = spark.read.parquet(own)
+        else:
+            sales = stage(used, "sales_orders")
 
     def run(item: tuple[str, Kpi]) -> tuple:
         return export_kpi(*item, sales, root)
 
-    with ThreadPoolExecutor(at_once) as pool:
-        rows = list(pool.map(inheritable_thread_target(spark)(run), kpis.items()))
+    try:
+        with ThreadPoolExecutor(at_once) as pool:
+            rows = list(pool.map(inheritable_thread_target(spark)(run), kpis.items()))
+    finally:
+        if own:
+            remove(spark, own)
     return spark.createDataFrame(rows, EXPORT_SCHEMA)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -61,3 +61,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder.rstrip('/')}/tallybook-{name}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run has written, in whatever store it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

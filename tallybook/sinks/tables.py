@@ -66,9 +66,13 @@ def _cleaned(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_database(
-    df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None
+    df: DataFrame,
+    url: str,
+    table: str,
+    properties: Mapping[str, str] | None = None,
+    connections: int = 16,
 ) -> None:
-    """Replace a database table over JDBC, one connection per partition, in multi-row batches."""
+    """Replace a database table over JDBC, in multi-row batches over at most ``connections`` at once."""
     loaded = stringify_objects(loader_columns(df))
-    options = {"url": url, "dbtable": table, "batchsize": str(INSERT_ROWS), **(properties or {})}
+    options = {"url": url, "dbtable": table, "batchsize": str(INSERT_ROWS), "numPartitions": str(connections), **(properties or {})}
     loaded.write.format("jdbc").options(**options).mode("overwrite").save()

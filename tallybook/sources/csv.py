@@ -73,13 +73,18 @@ def file_encodings(spark: SparkSession, path: str | list[str]) -> dict[str, str]
 
 
 def read_sources(
-    spark: SparkSession, sources: Mapping[str, str]
+    spark: SparkSession,
+    sources: Mapping[str, str],
+    options: Mapping[str, Mapping[str, object]] | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Read every named source; one that is missing is noted and skipped, the others go on."""
+    """Read every named source; one that is missing is noted and skipped, the others go on.
+
+    ``options`` gives ``multi_line`` and ``encoding`` by source.
+    """
     frames, errors = {}, {}
     for name, path in sources.items():
         try:
-            frames[name] = read_csv_source(spark, path)
+            frames[name] = read_csv_source(spark, path, **(options or {}).get(name, {}))
         except AnalysisException as error:
             errors[name] = f"nothing to read at {path}; check the source's path" if _missing(error) else str(error)
         except ValueError as error:

@@ -12,9 +12,14 @@ def read_database(
     properties: dict[str, str] | None = None,
     partition_column: str | None = None,
     bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Run ``query`` in the database. With a numeric ``partition_column`` many tasks read at once."""
+    """Run ``query`` in the database, in one task; with a numeric ``partition_column`` in many at once.
+
+    That needs its ``bounds``, which split the range and drop no rows, and the number of ``partitions``.
+    """
+    if partition_column is not None and (bounds is None or not partitions):
+        raise ValueError("a partition column needs bounds and a number of partitions")
     reader = spark.read.format("jdbc").option("url", url).options(**(properties or {}))
     if partition_column is None:
         return reader.option("query", query).load()
