@@ -163,7 +163,7 @@ def clean_all(
 
     ``options`` gives by source what differs from the usual: ``multi_line`` and ``encoding`` of its files,
     ``ignore`` for columns that do not make rows different, ``legacy_substring``, and ``types``. Known types
-    and a known encoding each save a scan.
+    save a scan.
     """
     types, options = types or {}, options or {}
     unknown = {o for given in options.values() for o in given} - _READING - _CLEANING - {"types"}
