@@ -15,6 +15,8 @@ from tallybook.llm.common import cut, new_path
 
 BUCKET_BYTES = 16 << 20
 BUCKET_ROWS = 2048
+#: A bucket of more than so many times these has rows that repeat.
+CROWDED = 4
 ROW_BYTES = 16
 SEED = 20240607
 
@@ -46,6 +48,23 @@ def fisher_yates(n: Column, *seed: Column) -> Column:
     return F.aggregate(places, F.array().cast("array<int>"), step)
 
 
+def scatter(keyed: DataFrame, shards: int, bucket_bytes: int, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``keyed`` with the bucket of each record, as many in a shard as it needs, and what each bucket holds.
+
+    Two numbers per shard reach the driver.
+    """
+    held = keyed.groupBy("_shard").agg(F.sum("_size").alias("bytes"), F.count("*").alias("rows")).collect()
+    buckets = [1] * shards
+    for r in held:
+        buckets[r["_shard"]] = max(1, math.ceil(r["bytes"] / bucket_bytes), math.ceil(r["rows"] / bucket_rows))
+    own = F.get(F.array(*map(F.lit, buckets)), F.col("_shard"))
+    placed = keyed.withColumn("_bucket", F.pmod("_scatter", own).cast("int"))
+    counts = placed.groupBy("_shard", "_bucket").agg(
+        F.count("*").alias("_rows"), F.sum("_size").alias("_bytes"), F.max("_size").alias("_longest")
+    )
+    return placed, cut(counts, "bucket-counts")
+
+
 def shard(
     docs: DataFrame,
     shards: int,
@@ -58,11 +77,12 @@ def shard(
     """``docs`` with ``_size``, ``_shard`` and ``_slot``, in a seeded random order within each shard.
 
     The id and the number of shards decide the shard. A record's size is its text's UTF-8 bytes plus 16;
-    a null text has none. Slots count from 0 without gaps. A shard's records are scattered over as many
-    buckets as keep a bucket near ``bucket_bytes`` and ``bucket_rows``, by a hash of id and text, so a hot
-    id fills many buckets of its shard; rows equal in id and text share one. Rows that tie in the scatter
-    order are alike in id and text and may swap. A null id is a key like any other; an empty table gives
-    an empty result. Other columns are carried along.
+    a null text has none. Slots count from 0 without gaps. Each shard's records are scattered over as many
+    buckets as keep one near ``bucket_bytes`` and ``bucket_rows``, by a hash of id and text, so the shard of
+    a hot id has more of them. Where rows equal in id and text would crowd a bucket, all rows are numbered
+    and written once, and scattered by that number too. Rows that tie in the scatter order are alike in id
+    and text and may swap. A null id is a key like any other; an empty table gives an empty result. Other
+    columns are carried along.
     """
     size = (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + ROW_BYTES).cast("bigint")
     keyed = docs.select(
@@ -72,14 +92,12 @@ def shard(
         F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_scatter"),
     )
     keyed = keyed.withColumn("_shard", shard_of(F.col("_id"), shards, seed))
-    total = keyed.agg(F.sum("_size").alias("bytes"), F.count("*").alias("rows")).first()
-    buckets = max(
-        1,
-        math.ceil((total["bytes"] or 0) / shards / bucket_bytes),
-        math.ceil(total["rows"] / shards / bucket_rows),
-    )
-    keyed = keyed.withColumn("_bucket", F.pmod(F.col("_scatter"), F.lit(buckets)).cast("int"))
-    counts = cut(keyed.groupBy("_shard", "_bucket").agg(F.count("*").alias("_rows")), "bucket-counts")
+    placed, counts = scatter(keyed, shards, bucket_bytes, bucket_rows)
+    crowded = (F.col("_rows") > CROWDED * bucket_rows) | (F.col("_bytes") > CROWDED * bucket_bytes + F.col("_longest"))
+    if not counts.where(crowded).isEmpty():
+        number = F.xxhash64("_scatter", F.monotonically_increasing_id())
+        numbered = cut(keyed.withColumn("_scatter", number), "numbered-records")
+        placed, counts = scatter(numbered, shards, bucket_bytes, bucket_rows)
     before = counts.select(
         "_shard",
         "_bucket",
@@ -88,7 +106,7 @@ def shard(
             " rows between unbounded preceding and 1 preceding), 0)"
         ).alias("_before"),
     )
-    gathered = keyed.groupBy("_shard", "_bucket").agg(
+    gathered = placed.groupBy("_shard", "_bucket").agg(
         F.collect_list(F.struct("_scatter", "_size", "_record")).alias("_records")
     )
     # The order of arrival differs from run to run; the shuffle starts from the scatter hash's order.

@@ -62,6 +62,25 @@ def test_sharding_is_gapless_stable_and_grows_into_the_new_shard(spark, docs, no
     assert sharding.write_shards(sharding.shard(none, 4)).count() == 0
 
 
+def test_sharding_spreads_a_hot_id_and_a_repeated_row(spark):
+    ids = F.when(F.col("id") < 600, F.lit(7)).otherwise(F.col("id")).alias("doc_id")
+    texts = F.when(F.col("id") < 300, F.lit("same")).otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text")
+    rows = spark.range(1200).select(ids, texts, F.col("id").alias("number"))
+    keyed = rows.select(
+        F.xxhash64("number").alias("_scatter"), sharding.shard_of(F.col("doc_id"), 4).alias("_shard"), F.lit(20).alias("_size")
+    )
+    counts = sharding.scatter(keyed, 4, 1 << 20, 20)[1].toPandas()
+    assert counts["_rows"].max() <= 60 and counts["_rows"].sum() == 1200
+    written = sharding.write_shards(sharding.shard(rows, 4, bucket_rows=20)).toPandas()
+    assert sorted(written["number"]) == list(range(1200))
+    assert written[written["doc_id"] == 7]["_shard"].nunique() == 1
+    for _, own in written.groupby("_shard"):
+        assert sorted(own["_slot"]) == list(range(len(own)))
+    # Copies of the repeated row do not stand together.
+    same = written[written["text"] == "same"]["_slot"]
+    assert same.max() - same.min() > 450
+
+
 def test_fisher_yates_is_a_permutation(spark):
     got = spark.range(40).select(sharding.fisher_yates(F.col("id").cast("int"), F.col("id")).alias("p")).collect()
     assert all(sorted(r["p"]) == list(range(i)) for i, r in enumerate(got))
