@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,12 @@ WORDS = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or an own one if unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; an own one on a single machine."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tallybook-"))
         folder = context.getCheckpointDir()
     return f"{folder.rstrip('/')}/tallybook-{context.applicationId}"
@@ -41,6 +44,29 @@ def discard_cuts(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(taken: Iterable[str], name: str) -> str:
+    """``name``, with as many ``_`` behind as it takes to differ from all others, in any case of letters."""
+    taken = {c.lower() for c in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row(docs: DataFrame, id_col: str, name: str) -> tuple[DataFrame, bool]:
+    """``docs`` with a number that no two rows share, and whether it is the id.
+
+    It is where ids are whole numbers, unique and not null. Otherwise the rows are written once, numbered.
+    ``name`` must be free.
+    """
+    whole = dict(docs.dtypes)[id_col] in ("tinyint", "smallint", "int", "bigint")
+    if whole:
+        counts = docs.groupBy(id_col).agg(F.count("*").alias("n"))
+        worst = counts.agg(F.max("n").alias("n"), F.max(F.col(id_col).isNull().cast("int")).alias("null")).first()
+        if (worst["n"] or 0) <= 1 and not worst["null"]:
+            return docs.withColumn(name, F.col(id_col).cast("bigint")), True
+    return cut(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), False
+
+
 def collapsed(text: Column) -> Column:
     """Runs of white space as one space; null as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " ")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import connected, cut
+from tallybook.llm.common import connected, cut, free_name, with_row
 
 MASK = (1 << 64) - 1
 #: Sets up to this size emit all shingles, so that either way is open to them.
@@ -33,7 +33,11 @@ SMALLEST_LARGE = 64
 CHUNK = 1024
 #: Members of a list that stand in each of its chunks, so that chunks meet.
 PIVOTS = 32
-CACHED_WORDS = 400_000
+#: Shingles that a chunk holds, about, and that a call compares: 8 bytes each.
+CHUNK_SHINGLES, CALL_SHINGLES = 1 << 21, 1 << 20
+#: Words whose hashes a task keeps, and the longest of them.
+CACHED_WORDS, CACHED_BYTES = 250_000, 64
+SLICE_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -73,13 +77,24 @@ class Rule:
 
 
 class _Hashes(dict):
+    """Word -> hash, for a bounded number of bytes: long words are not kept."""
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= CACHED_BYTES:
+            if len(self) > CACHED_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
 
+def _slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``SLICE_BYTES`` of text, so that few texts are Python objects at a time."""
+    step = max(1, batch.num_rows * SLICE_BYTES // max(SLICE_BYTES, batch.column(text).nbytes))
+    for start in range(0, batch.num_rows, step):
+        yield batch.slice(start, step)
+
+
 _hashes = _Hashes()
 
 
@@ -105,7 +120,7 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     cut_at = np.uint64(min(MASK, int(rule.share * 2**64)))
-    for batch in batches:
+    for batch in (part for whole in batches for part in _slices(whole, 1)):
         ids, n, front, high, low, keys, offsets = batch.column(0), [], [], [], [], [], [0]
         for text in batch.column(1).to_pylist():
             own = shingles(text, rule.width)
@@ -124,6 +139,7 @@ def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBa
             [ids, *(pa.array(x, t) for x, t in ((n, pa.int32()), (front, pa.int32()), (high, pa.int64()), (low, pa.int64()))), lists],
             names=["id", "n", "front", "high", "low", "keys"],
         )
+    _hashes.clear()
 
 
 def _subsets(batches: Iterator[pa.RecordBatch], rule: Rule, limit: int) -> Iterator[pa.RecordBatch]:
@@ -150,8 +166,12 @@ def _subsets(batches: Iterator[pa.RecordBatch], rule: Rule, limit: int) -> Itera
 
 def _tokens(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingles(text, rule.width).tobytes() for text in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "tokens"])
+        for part in _slices(batch, 1):
+            sets = [shingles(text, rule.width) for text in part.column(1).to_pylist()]
+            n = pa.array([len(x) for x in sets], pa.int32())
+            packed = pa.array([x.tobytes() for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), n, packed], names=["id", "n", "tokens"])
+    _hashes.clear()
 
 
 def smallest_reachable(linked: np.ndarray) -> np.ndarray:
@@ -274,8 +294,11 @@ def _member_lists(entries: DataFrame, rule: Rule) -> DataFrame:
     ).distinct()
 
 
-def _joined(lists: DataFrame, chunk: int) -> DataFrame:
-    """The same comparisons with fewer copies of each set: lists that overlap become one, up to ``chunk`` members."""
+def _joined(lists: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """The same comparisons with fewer copies of each set: lists that overlap become one, up to ``chunk`` members.
+
+    Lists of parts with more members come second, as they are.
+    """
     leaders = cut(lists.groupBy("list").agg(F.min("id").alias("leader")), "leaders")
     parts = cut(
         connected(lists.join(leaders, "list").select(F.col("id").alias("a"), F.col("leader").alias("b"))), "list-parts"
@@ -286,33 +309,45 @@ def _joined(lists: DataFrame, chunk: int) -> DataFrame:
         F.col("component").alias("list"), F.col("node").alias("id"), F.col("members").alias("size")
     )
     wide = sized.where(F.col("members") > chunk).select(F.col("node").alias("id"))
-    return cut(whole.unionByName(lists.join(wide, "id", "left_semi")), "joined-lists")
+    return cut(whole, "joined-lists"), cut(lists.join(wide, "id", "left_semi"), "wide-lists")
+
 
+def _largest(wide: DataFrame) -> DataFrame:
+    """Of the lists of large parts, those that are the largest one of some member."""
+    best = wide.groupBy("id").agg(F.max(F.struct("size", "list"))["list"].alias("list"))
+    return best.select("list").distinct()
 
-def _across(entries: DataFrame, parts: DataFrame, chunk: int) -> DataFrame:
-    """Pairs of chunks of the lists that are not connected yet, each as one list, with the part of each id."""
+
+def _open(members: DataFrame, key: str, parts: DataFrame, name: str) -> DataFrame:
+    """The rows of ``members`` whose ``key`` has members in several parts, with the part of each id."""
     labelled = cut(
-        entries.join(parts.select(F.col("node").alias("id"), "component"), "id", "left").select(
-            "token", "id", "chunks", F.coalesce("component", "id").alias("label")
-        ),
-        "labelled",
+        members.join(parts.select(F.col("node").alias("id"), "component"), "id", "left")
+        .withColumn("label", F.coalesce("component", "id")).drop("component"),
+        name,
     )
-    open_lists = labelled.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
-    own = labelled.join(cut(open_lists.select("token"), "open-lists"), "token").withColumn("i", _place(F.col("chunks")))
+    several = labelled.groupBy(key).agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
+    return labelled.join(several.select(key), key, "left_semi")
+
+
+def _across(entries: DataFrame, parts: DataFrame, rule: Rule) -> DataFrame:
+    """Of pairs of chunks of the lists that are not connected yet: what sizes and places leave to compare."""
+    own = _open(entries, "token", parts, "labelled").withColumn("i", _place(F.col("chunks")))
     other = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("i <> j")
-    return other.select(
-        F.xxhash64("token", F.least("i", "j"), F.greatest("i", "j")).alias("list"),
-        F.lit(2 * chunk).alias("size"),
-        "id",
-        "label",
+    pairs = other.select(
+        F.xxhash64("token", F.least("i", "j"), F.greatest("i", "j")).alias("key"), "id", "n", "at"
     )
+    found = pairs.groupBy("key").applyInArrow(lambda t: _feasible(t, rule), "list long, id long, size int")
+    return _open(found.distinct(), "list", parts, "labelled-pairs")
 
 
 def _compared(lists: DataFrame, tokens: DataFrame, rule: Rule) -> DataFrame:
-    """The ties (a, b) of each list; short lists share a task's call, long ones have their own."""
-    calls = max(1, lists.count() // 2000)
-    call = F.when(F.col("size") >= 64, F.col("list")).otherwise(F.pmod("list", F.lit(calls)))
-    sent = lists.join(tokens, "id").withColumn("call", call)
+    """The ties (a, b) of each list; lists of few shingles share a task's call, others have their own."""
+    weighed = lists.join(tokens.select("id", "n"), "id").groupBy("list").agg(F.sum("n").alias("weight"))
+    weights = cut(weighed, "list-weights")
+    calls = max(1, (weights.agg(F.sum("weight")).first()[0] or 0) // CALL_SHINGLES)
+    heavy = F.col("weight") >= CALL_SHINGLES // 4
+    call = F.when(heavy, F.col("list")).otherwise(F.pmod("list", F.lit(calls)))
+    sent = lists.join(weights.select("list", call.alias("call")), "list").join(tokens.drop("n"), "id")
     return sent.groupBy("call").applyInArrow(lambda t: _compare(t, rule), "a long, b long")
 
 
@@ -386,28 +421,67 @@ def jaccard_components(
     )
     postings = cut(fronts.join(first, "id", "left_semi").select("id", "n", "entry.token", "entry.at"), "postings")
     lengths = cut(
-        postings.groupBy("token").agg(F.count_distinct("id").alias("length")).where("length > 1"), "list-lengths"
+        postings.groupBy("token").agg(F.count_distinct("id").alias("length"), F.sum("n").alias("shingles"))
+        .where("length > 1"),
+        "list-lengths",
     )
-    entries = postings.join(lengths, "token").withColumn("chunks", F.ceil(F.col("length") / chunk).cast("int"))
-    lists = _joined(cut(_member_lists(entries, rule), "lists"), chunk)
-    wanted = lists.select("id").distinct()
+    chunks = F.greatest(F.ceil(F.col("length") / chunk), F.ceil(F.col("shingles") / CHUNK_SHINGLES)).cast("int")
+    entries = postings.join(lengths.select("token", "length", chunks.alias("chunks")), "token")
+    found = cut(_member_lists(entries, rule), "lists")
+    whole, wide = _joined(found, chunk)
+    # Members of long lists are compared across chunks too, also those that are alone in their own.
+    long_ones = entries.where("chunks > 1")
+    wanted = whole.select("id").unionByName(wide.select("id")).unionByName(long_ones.select("id")).distinct()
     tokens = cut(
-        named.join(wanted, "id", "left_semi").mapInArrow(lambda it: _tokens(it, rule), "id long, tokens binary"),
+        named.join(wanted, "id", "left_semi").mapInArrow(
+            lambda it: _tokens(it, rule), "id long, n int, tokens binary"
+        ),
         "set-tokens",
     )
-    links = cut(links.unionByName(_compared(lists, tokens, rule)).distinct(), "links")
+    # Large parts first by their largest lists, which connect most of them; then what is still apart.
+    largest = cut(_largest(wide), "largest-lists")
+    now = whole.unionByName(wide.join(largest, "list", "left_semi"))
+    links = cut(links.unionByName(_compared(now, tokens, rule)).distinct(), "links")
     parts = connected(links)
-    longer = lengths.where(F.col("length") > chunk)
-    if not longer.isEmpty():
+    if not wide.isEmpty():
+        parts = cut(parts, "parts")
+        rest = cut(_open(wide.join(largest, "list", "left_anti"), "list", parts, "labelled-lists"), "open-lists")
+        if not rest.isEmpty():
+            links = cut(links.unionByName(_compared(rest, tokens, rule)).distinct(), "more-links")
+            parts = connected(links)
+    if not long_ones.isEmpty():
         parts = cut(parts, "parts")
-        rest = _across(entries.where("chunks > 1"), parts, chunk)
-        links = cut(links.unionByName(_compared(rest, tokens, rule)).distinct(), "all-links")
-        parts = connected(links)
+        rest = cut(_across(long_ones, parts, rule), "open-pairs")
+        if not rest.isEmpty():
+            links = cut(links.unionByName(_compared(rest, tokens, rule)).distinct(), "all-links")
+            parts = connected(links)
     parts = cut(parts.select(F.col("node").alias("set_id"), F.col("component").alias("component_id")), "components")
     ids = sets.select("id", "n", "high", "low").join(classes, ["n", "high", "low"], "left")
     return ids.join(parts, "set_id", "left").select(
         F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
+        F.col("n").cast("bigint").alias("n_shingles"),
         F.coalesce("component_id", "set_id", "id").alias("component_id"),
         F.coalesce("set_id", "id").alias("set_id"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each group that links connect, with all columns of ``docs`` under their own names.
+
+    The row with the smallest id stays, null ids last. Rows are compared each, whatever their ids, so rows that
+    share an id or have none lose nothing. Texts without words are linked with nothing and stay. An empty
+    table stays empty.
+    """
+    number = free_name(docs.columns, "row_number")
+    rows, unique = with_row(docs, id_col, number)
+    groups = jaccard_components(rows.select(F.col(number).alias("row"), F.col(text_col).alias("text")), rule, "row", "text", **options)
+    later = cut(groups.where("row <> component_id").select("row", "component_id"), "later-members")
+    if not unique:  # the smallest number need not be that of the smallest id
+        first = later.select(F.col("component_id").alias("row"), "component_id").distinct()
+        ids = rows.select(F.col(number).alias("row"), F.col(id_col).alias("id"))
+        members = cut(later.unionByName(first).join(ids, "row"), "members")
+        order = F.struct(F.col("id").isNull().alias("null"), F.col("id").alias("id"), F.col("row").alias("row"))
+        kept = members.groupBy("component_id").agg(F.min(order)["row"].alias("kept"))
+        later = members.join(kept, "component_id").where("row <> kept")
+    dropped = later.select(F.col("row").alias(number))
+    return rows.join(dropped, number, "left_anti").select(*(rows[c] for c in docs.columns))

@@ -344,7 +344,7 @@ ORACLE = {
             UNION
             SELECT r.node, p.b FROM reach r JOIN pairs p ON r.other = p.a
         )
-        SELECT s.doc_id, CAST(len(s.shingles) AS INTEGER) AS n_shingles,
+        SELECT s.doc_id, len(s.shingles) AS n_shingles,
                least(s.doc_id, coalesce((SELECT min(other) FROM reach WHERE node = s.doc_id), s.doc_id)) AS component_id
         FROM s
     """,
