@@ -1,6 +1,9 @@
 """From raw documents to packed sequences: five stages, each over all that the one before kept.
 
-Each stage takes and returns the columns of ``documents``; the last one returns the packing.
+Each stage takes and returns the columns of ``documents``; the last one returns the packing. Documents with
+null or empty texts are rejected by the first stage. Rows that share an id, or have none, are handled each for
+itself by all stages; columns beside those of ``documents`` are carried along, whatever their names; an empty
+table passes through all stages.
 """
 
 from __future__ import annotations
@@ -9,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import exact_dedup, jaccard, mixing, packing, quality
-from tallybook.llm.common import collapsed, cut, word_count
+from tallybook.llm.common import collapsed, cut, free_name, with_row, word_count
 
 
 def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,14 +27,15 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, 0.8), the one with the smallest id."""
-    groups = jaccard.jaccard_components(docs, jaccard.Rule(5, 80))
-    dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return jaccard.drop_near_duplicates(docs, jaccard.Rule(5, 80))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, whole, each as often as it takes it."""
-    return mixing.take_copies(docs, mixing.mix(docs, word_count(F.col("text")), whole=True)).select(docs.columns)
+    number = free_name(docs.columns, "row_number")
+    rows, _ = with_row(docs, "doc_id", number)
+    mixed = mixing.mix(rows, word_count(F.col("text")), whole=True, row_col=number)
+    return mixing.take_copies(rows, mixed, number).select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,25 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import collapsed, cut
+from tallybook.llm.common import collapsed, cut, free_name, with_row
 
 BLOCK_BYTES = 4096
 
 
-def with_row(docs: DataFrame, id_col: str) -> DataFrame:
-    """``docs`` with ``_row``, a number that no two rows share: the id where ids are unique and not null.
-
-    Otherwise the rows are written once, numbered, with the id's order kept among equal texts later on.
-    """
-    counts = docs.groupBy(id_col).agg(F.count("*").alias("n"))
-    worst = counts.agg(
-        F.max("n").alias("n"), F.max(F.col(id_col).isNull().cast("int")).alias("null")
-    ).first()
-    if (worst["n"] or 0) <= 1 and not worst["null"]:
-        return docs.withColumn("_row", F.col(id_col).cast("bigint"))
-    return cut(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-
-
 def block_names(
     rows: DataFrame, block_bytes: int = BLOCK_BYTES, fingerprint: Callable[[Column], Column] = F.xxhash64
 ) -> DataFrame:
@@ -104,7 +90,7 @@ def exact_duplicates(
     ``keep_id``. An empty table gives an empty result. Hot groups: texts combine per task before the
     shuffle, and names return by joins whose hot keys Spark splits.
     """
-    rows = with_row(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_raw")), "_id")
+    rows, _ = with_row(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_raw")), "_id", "_row")
     rows = rows.withColumn("_text", collapsed(F.col("_raw")))
     names = cut(block_names(rows.select("_row", "_text"), block_bytes, fingerprint), "identities")
     light = rows.select("_row", "_id", F.sha2("_text", 256).alias("text_sha256"))
@@ -124,15 +110,19 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The kept row of each group of equal texts, with all columns of ``docs``."""
-    marker = "_row"
-    while marker in docs.columns:
-        marker += "_"
-    rows = with_row(docs.withColumnRenamed("_row", "_row_in") if "_row" in docs.columns else docs, id_col)
-    text = collapsed(F.col(text_col)).alias("_text")
-    names = block_names(rows.select("_row", text))
-    order = F.struct(F.col(id_col).isNull().alias("null"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
-    own = rows.select("_row", id_col).join(names, "_row")
-    kept = cut(own.groupBy("name").agg(F.min(order)["row"].alias("_row")).select("_row"), "kept")
-    out = rows.join(kept, "_row", "left_semi").drop("_row")
-    return out.withColumnRenamed("_row_in", "_row") if "_row_in" in out.columns else out
+    """The kept row of each group of equal texts, with all columns of ``docs`` under their own names.
+
+    Of a group stays the row with the smallest id, null ids last; of rows that share it the first one
+    numbered. Null counts as empty, and runs of white space as one space. An empty table stays empty.
+    """
+    number = free_name(docs.columns, "row_number")
+    rows, _ = with_row(docs, id_col, number)
+    texts = rows.select(F.col(number).alias("_row"), F.col(id_col).alias("_id"), collapsed(F.col(text_col)).alias("_text"))
+    names = block_names(texts.select("_row", "_text"))
+    order = F.struct(F.col("_id").isNull().alias("null"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    own = cut(texts.select("_row", "_id").join(names, "_row"), "own-identity")
+    kept = own.groupBy("name").agg(F.min(order)["row"].alias("_row"), F.count("*").alias("rows")).where("rows > 1")
+    # Rows that go are far fewer than rows that stay, so they are what meets the texts.
+    several = own.join(kept.select("name", F.col("_row").alias("first")), "name").where("_row <> first")
+    dropped = cut(several.select(F.col("_row").alias(number)), "dropped")
+    return rows.join(dropped, number, "left_anti").select(*(rows[c] for c in docs.columns))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import cut
+from tallybook.llm.common import cut, free_name, with_row
 
 SEED = "mix-1"
 #: Groups that the driver routes at most; more is an error, not a cut.
@@ -90,6 +90,7 @@ def mix(
     seed: str = SEED,
     run_rows: int = RUN_ROWS,
     whole: bool = False,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: ``id_col``, ``size``, ``source_size``, ``target``, ``taken`` and ``pattern``.
 
@@ -99,7 +100,9 @@ def mix(
     group is taken in part, unless ``whole``: then it is taken or left, whatever is nearer. ``source_size``
     and ``target`` are sums over a document's sources. A document without any source is taken not at all.
     Sizes that are null count as 0. The order is by a hash of seed and id, so reruns agree; rows that share
-    an id tie and are ordered by size. Other columns are left out; an empty table gives an empty result.
+    an id, or have none, are ordered by a number of theirs, so no run holds them all. Other columns are left
+    out, but for ``row_col``, a number that no two rows share, if it is given. An empty table gives an empty
+    result.
 
     Only the sums per group reach the driver. Cumulative sums go over runs of the seeded order, so the
     documents of a hot source are spread over many small runs.
@@ -112,7 +115,9 @@ def mix(
         F.col(id_col).alias("id"),
         F.coalesce(size, F.lit(0)).cast("bigint").alias("size"),
         F.array_sort(F.array_distinct(F.coalesce(source, F.array(F.lit(None).cast("string"))))).alias("pattern"),
+        *([F.col(row_col).cast("bigint").alias("given")] if row_col else []),
     )
+    rows, unique = with_row(rows, "id", "row")
     sums = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
     groups = sums.limit(MAX_PATTERNS + 1).collect()
     if len(groups) > MAX_PATTERNS:
@@ -143,7 +148,8 @@ def mix(
         "pattern array<string>, group_size long, amount long, source_size long, target double",
     )
     digits = max(1, math.ceil(math.log(max(1, sum(g["rows"] for g in groups)) / run_rows + 1, 16)))
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    key = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    key = F.md5(F.concat(F.lit(seed + ":"), key) if unique else F.concat(F.lit(seed + ":"), key, F.lit(":"), F.col("row")))
     ordered = rows.withColumn("key", key).withColumn("run", F.substring("key", 1, digits))
     runs = cut(ordered.groupBy("pattern", "run").agg(F.sum("size").alias("run_size")), "run-sizes")
     runs = runs.select(
@@ -155,7 +161,7 @@ def mix(
     placed = ordered.withColumn("name", named).join(runs, ["name", "run"]).withColumn(
         "start",
         F.col("before")
-        + F.expr("sum(size) over (partition by name, run order by key, id, size rows unbounded preceding)")
+        + F.expr("sum(size) over (partition by name, run order by key, id, size, row rows unbounded preceding)")
         - F.col("size"),
     )
     copies = []
@@ -163,18 +169,24 @@ def mix(
         room = F.col("amount") - copy * F.col("group_size") - F.col("start")
         part = F.greatest(F.least(room, F.col("size")), F.lit(0))
         copies.append(F.when(2 * room >= F.col("size"), F.col("size")).otherwise(0) if whole else part)
-    return placed.select(
-        F.col("id").alias(id_col), "size", "source_size", "target", sum(copies[1:], copies[0]).cast("bigint").alias("taken"), "pattern"
-    )
+    taken = sum(copies[1:], copies[0]).cast("bigint").alias("taken")
+    own = [F.col("given").alias(row_col)] if row_col else []
+    return placed.select(F.col("id").alias(id_col), "size", "source_size", "target", taken, "pattern", *own)
 
 
-def take_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with each row as often as the mix takes it; rows that share an id are taken alike.
+def take_copies(docs: DataFrame, mixed: DataFrame, row_col: str = "doc_id") -> DataFrame:
+    """``docs`` with each row as often as the mix takes it; ``row_col`` names a row in both, a number that no two share.
 
-    A row without an id is left out, as the mix cannot name it. Columns stay as they are.
+    Rows meet by their number, so rows that share an id, or have none, are taken each for itself. Columns
+    stay as they are, whatever their names; ``row_col`` too.
     """
     copies = F.ceil(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
-    times = mixed.groupBy(F.col(id_col).alias("_mix_id")).agg(F.max(copies).alias("_mix_times")).where("_mix_times > 0")
-    taken = docs.join(times, F.col(id_col) == F.col("_mix_id"))
-    copied = taken.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times"))))
-    return copied.drop("_mix_id", "_mix_times", "_mix_copy")
+    other, times = (free_name(docs.columns, c) for c in ("mix_row", "mix_times"))
+    wanted = mixed.select(F.col(row_col).alias(other), copies.alias(times)).where(F.col(times) > 0)
+    taken = docs.join(wanted, F.col(_quoted(row_col)) == F.col(other))
+    names = [F.col(_quoted(c)) for c in docs.columns]
+    return taken.select(*names, F.explode(F.sequence(F.lit(1), F.col(times))).alias(times)).select(*names)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
