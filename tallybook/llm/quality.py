@@ -2,7 +2,7 @@
 
 Each heuristic votes good, bad or nothing. How often each vote is right follows, without any true label,
 from how the votes agree over all documents. The posterior of a bounded sample then trains a logistic
-model on hashed features of the words, which also sees what no heuristic looks at.
+model on hashed words, pairs of words and shapes of words, which also sees what no heuristic looks at.
 """
 
 from __future__ import annotations
@@ -18,10 +18,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Features of the scorer, documents that train it (those with the smallest seeded hash), steps, shrinkage.
-FEATURES, SAMPLE, STEPS, SHRINK = 1024, 8000, 300, 1e-4
+#: Features of word shapes and of words and pairs of words, the latter behind the former.
+SHAPES, WORDS = 1 << 10, 1 << 13
+FEATURES = SHAPES + WORDS
+#: Documents that train the scorer (those with the smallest seeded hash), steps, shrinkage.
+SAMPLE, STEPS, SHRINK = 8000, 150, 1e-4
 SEED = 3
-CACHED_WORDS = 500_000
+#: Words whose codes a task keeps, and the longest of them; bytes of text that are Python objects at a time.
+CACHED_WORDS, CACHED_BYTES, SLICE_BYTES = 250_000, 64, 4 << 20
 BAD, GOOD, NONE = 0, 1, 2
 #: Heuristics: (name, bad from here, good up to here, least number of words).
 HEURISTICS = (
@@ -44,20 +48,25 @@ _SYMBOLS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 class _Shapes(dict):
-    """Word -> twice the feature of its shape, plus 1 if it ends in two characters that are no letters or digits.
+    """Word -> hash of the word, feature of its shape (10 bits), and 1 if it ends in two characters that are no
+    letters or digits.
 
-    The shape is how a word begins and ends, its case and its length.
+    The shape is how a word begins and ends, its case and its length. The word is hashed without
+    such an end, in lower case.
     """
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHED_WORDS:
-            self.clear()
         core = word.rstrip(_SYMBOLS)
         tail = word[len(core) :]
         case = 2 if len(core) > 1 and core.isupper() else core.islower()
         shape = b"%b %d %d %d %d" % (tail[:4], word[:1].isalnum(), case, min(len(core), 16), core.isalpha())
         ends = len(word) > 2 and len(tail) > 1
-        value = self[word] = xxhash.xxh32_intdigest(shape, SEED) % FEATURES * 2 + ends
+        own = xxhash.xxh32_intdigest((core or word).lower(), SEED)
+        value = own << 11 | xxhash.xxh32_intdigest(shape, SEED) % SHAPES << 1 | ends
+        if len(word) <= CACHED_BYTES:
+            if len(self) > CACHED_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -65,7 +74,7 @@ _shapes = _Shapes()
 
 
 def look(text: str | None) -> tuple[int, list[float], np.ndarray]:
-    """Number of words, the share that each heuristic looks at, and the code of each word's shape."""
+    """Number of words, the share that each heuristic looks at, and the code of each word."""
     data = (text or "").encode("utf-8", "surrogatepass")
     words = data.split()
     n = len(words)
@@ -127,13 +136,21 @@ def posteriors(patterns: dict[str, int], rounds: int = 60) -> dict[str, float]:
     return dict(zip(keys, good.tolist(), strict=True))
 
 
-def features(n: int, shares: list[float], codes: np.ndarray) -> np.ndarray:
-    """Shares of the hashed word shapes, and a feature for the step of each measure."""
-    out = np.zeros(FEATURES, np.float32)
-    if n:
-        out += np.bincount(codes >> 1, minlength=FEATURES) / n
-    out[_steps(n, shares)] += 1
-    return out
+def _unit(features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct features and their counts, as a vector of length 1."""
+    at, count = np.unique(features, return_counts=True)
+    return at, count / np.sqrt(float((count * count).sum()) or 1)
+
+
+def features(n: int, shares: list[float], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features and their values: shares of word shapes, words, pairs of neighbours, and the step of each measure."""
+    words = codes >> 11
+    pairs = (words[:-1] * 40503 + words[1:]) * 2654435761 >> 16
+    shape, times = np.unique(codes >> 1 & SHAPES - 1, return_counts=True)
+    word, pair = _unit(SHAPES + words % WORDS), _unit(SHAPES + pairs % WORDS)
+    steps = np.array(_steps(n, shares))
+    at = np.concatenate([shape, word[0], pair[0], steps])
+    return at, np.concatenate([times / max(n, 1), word[1], pair[1], np.ones(len(steps))])
 
 
 def _steps(n: int, shares: list[float]) -> list[int]:
@@ -142,7 +159,7 @@ def _steps(n: int, shares: list[float]) -> list[int]:
 
 @cache
 def _step(measure: int, step: int) -> int:
-    return xxhash.xxh32_intdigest(f"{measure} {step}", SEED) % FEATURES
+    return xxhash.xxh32_intdigest(f"{measure} {step}", SEED) % SHAPES
 
 
 @dataclass
@@ -152,75 +169,108 @@ class Scorer:
     posterior: dict[str, float]
 
     def score(self, n: int, shares: list[float], codes: np.ndarray) -> float:
-        total = self.bias + float(self.weight[_steps(n, shares)].sum())
-        if n:
-            total += float(self.weight[codes >> 1].mean())
+        at, value = features(n, shares, codes)
+        total = self.bias + float(self.weight[at] @ value)
         return float(1 / (1 + np.exp(-np.clip(total, -50, 50))))
 
 
-def train(x: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by accelerated gradient steps."""
-    weight, bias = np.zeros(x.shape[1], np.float32), 0.0
+def train(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels by accelerated gradient steps, over sparse rows."""
+    weight, bias = np.zeros(FEATURES), 0.0
+    if not rows:
+        return weight, bias
+    at = np.concatenate([r[0] for r in rows])
+    value = np.concatenate([r[1] for r in rows])
+    sizes = np.array([len(r[0]) for r in rows])
+    starts, row = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(rows)), sizes)
     ahead, ahead_bias = weight, bias
-    rate = 4 / (1 + float((x * x).sum(axis=1).max(initial=0)))
+    rate = 4 / (1 + float(np.add.reduceat(value * value, starts).max()))
     for step in range(STEPS):
-        wrong = 1 / (1 + np.exp(-np.clip(x @ ahead + ahead_bias, -50, 50))) - good
-        new = ahead - rate * (x.T @ wrong / max(1, len(x)) + SHRINK * ahead)
-        new_bias = ahead_bias - rate * float(wrong.mean()) if len(x) else 0.0
+        seen = np.add.reduceat(value * ahead[at], starts)
+        wrong = 1 / (1 + np.exp(-np.clip(seen + ahead_bias, -50, 50))) - good
+        slope = np.bincount(at, value * wrong[row], FEATURES) / len(rows)
+        new = ahead - rate * (slope + SHRINK * ahead)
+        new_bias = ahead_bias - rate * float(wrong.mean())
         momentum = step / (step + 3)
         ahead, ahead_bias = new + momentum * (new - weight), new_bias + momentum * (new_bias - bias)
-        weight, bias = new.astype(np.float32), new_bias
+        weight, bias = new, new_bias
     return weight, bias
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, few at a time as Python objects."""
+    step = max(1, len(column) * SLICE_BYTES // max(SLICE_BYTES, column.nbytes))
+    for start in range(0, len(column), step):
+        yield from column.slice(start, step).to_pylist()
+
+
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[str] = Counter()
     for batch in batches:
-        counts.update(votes(*look(t)[:2]) for t in batch.column(0).to_pylist())
+        counts.update(votes(*look(t)[:2]) for t in _texts(batch.column(0)))
+    _shapes.clear()
     yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["votes", "count"])
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        seen = [look(t) for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([votes(*x[:2]) for x in seen]), pa.array([features(*x).tobytes() for x in seen], pa.binary())],
-            names=["votes", "features"],
-        )
+        for key, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), strict=True):
+            seen = look(text)
+            at, value = features(*seen)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "order": pa.array([key], pa.int64()),
+                    "votes": [votes(*seen[:2])],
+                    "features": [at.astype("<u2").tobytes()],
+                    "weights": [value.astype("<f4").tobytes()],
+                }
+            )
+    _shapes.clear()
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Scorer:
     """Weigh the heuristics over all documents, and train on those ``sample`` with the smallest seeded hash.
 
-    Patterns of votes are at most 3 to the number of heuristics (19,683); the sample sends one vector each.
+    The hash is of id and text, and rows alike in both train once, so the sample is the same however the rows
+    are dealt; those without any vote do not train. Patterns of votes are at most 3 to the number of heuristics (19,683). The sample sends its
+    features, at most ``FEATURES`` of 6 bytes a document, to the driver. Null ids and texts are hashed like
+    others; without documents the scorer rests on nothing and gives one half.
     """
     texts = docs.select(F.col(text_col).alias("text"))
     counted = texts.mapInArrow(_votes, "votes string, count long").groupBy("votes").agg(F.sum("count").alias("count"))
     posterior = posteriors({r["votes"]: r["count"] for r in counted.collect()})
     # First the smallest hashes alone, so that no text is sorted; then the texts at or below the last of them.
-    order = F.xxhash64(F.col(id_col), F.lit(SEED))
-    last = docs.select(order.alias("o")).orderBy("o").limit(sample).agg(F.max("o"), F.count("*")).first()
-    chosen = docs.where(order <= F.lit(last[0])).select(F.col(text_col).alias("text")).limit(2 * sample)
-    rows = chosen.mapInArrow(_sampled, "votes string, features binary").collect() if last[1] else []
-    rows.sort(key=lambda r: (r["votes"], bytes(r["features"])))  # sums of floats depend on the order
-    x = np.frombuffer(b"".join(r["features"] for r in rows), np.float32).reshape(-1, FEATURES)
-    weight, bias = train(x, np.array([posterior.get(r["votes"], 0.5) for r in rows], np.float32))
+    order = F.xxhash64(F.col(id_col), F.col(text_col), F.lit(SEED)).alias("order")
+    hashes = docs.select(order).groupBy("order").agg(F.count("*").alias("rows"))
+    last = hashes.orderBy("order").limit(sample).agg(F.max("order")).first()[0]
+    if last is None:
+        return Scorer(np.zeros(FEATURES), 0.0, posterior)
+    chosen = docs.select(order, F.col(text_col).alias("text")).where(F.col("order") <= last).dropDuplicates(["order"])
+    rows = chosen.mapInArrow(_sampled, "order long, votes string, features binary, weights binary").collect()
+    # Where no heuristic votes nothing is known, so words and shapes decide there as they do elsewhere.
+    rows = sorted((r for r in rows if r["votes"].strip(str(NONE))), key=lambda r: r["order"])
+    sparse = [(np.frombuffer(r["features"], "<u2").astype(np.int64), np.frombuffer(r["weights"], "<f4").astype(float)) for r in rows]
+    weight, bias = train(sparse, np.array([posterior.get(r["votes"], 0.5) for r in rows]))
     return Scorer(weight, bias, posterior)
 
 
 def _score(batches: Iterator[pa.RecordBatch], scorer: Scorer) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        seen = [look(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-        own = [votes(*x[:2]) for x in seen]
+        own, scores = [], []
+        for text in _texts(batch.column(batch.num_columns - 1)):
+            seen = look(text)
+            own.append(votes(*seen[:2]))
+            scores.append(scorer.score(*seen))
         yield pa.RecordBatch.from_arrays(
             [
                 *batch.columns[:-1],
-                pa.array(own),
-                pa.array([scorer.posterior.get(v, 0.5) for v in own]),
-                pa.array([scorer.score(*x) for x in seen]),
+                pa.array(own, pa.string()),
+                pa.array([scorer.posterior.get(v, 0.5) for v in own], pa.float64()),
+                pa.array(scores, pa.float64()),
             ],
             names=[*batch.schema.names[:-1], "votes", "weak_quality", "quality"],
         )
+    _shapes.clear()
 
 
 def quality_scores(
@@ -239,13 +289,18 @@ def quality_scores(
     return scored.withColumn("kept", F.col("quality") >= threshold).withColumnRenamed("id", id_col)
 
 
-def _keep(batches: Iterator[pa.RecordBatch], scorer: Scorer, text_at: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        scores = [scorer.score(*look(t)) for t in batch.column(text_at).to_pylist()]
-        yield batch.filter(pa.array([s >= threshold for s in scores]))
+def keep_good(docs: DataFrame, scorer: Scorer, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text the scorer does not reject, as they are.
 
+    Texts alone go to Python and scores come back; rows are filtered where they are, so columns of any name
+    and number stay. Repeated rows and null ids are scored like others; a text that is null, empty or
+    white space is rejected. An empty table stays empty.
+    """
 
-def keep_good(docs: DataFrame, scorer: Scorer, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose text the scorer does not reject, as they are."""
-    at = docs.columns.index(text_col)
-    return docs.mapInArrow(lambda it: _keep(it, scorer, at, threshold), docs.schema)
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            yield pa.array([scorer.score(*look(t)) for t in _texts(part)], pa.float64())
+        _shapes.clear()
+
+    return docs.where(score(F.col(text_col)) >= threshold)
