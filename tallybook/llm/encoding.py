@@ -6,37 +6,70 @@ merged across. So the ids of a text are those of its pieces, and pieces repeat.
 
 from __future__ import annotations
 
+import json
+import os
 import re
-from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-CACHED_PIECES = 800_000
+#: What a task keeps of the pieces it has encoded: their number, and their bytes.
+CACHED_PIECES, CACHED_BYTES = 800_000, 64 << 20
 #: Characters of text that are encoded together, about, and new pieces that are.
 STEP = 1 << 21
 TOGETHER = 1000
-_ODD = re.compile(r" \s|\s ")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: White space but the blank; where one stands beside a blank, a text is not split at that blank.
+_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+_COMMON, _RARE = ("\n", "\t", "\r"), [c for c in _SPACES if c not in "\n\t\r"]
+
+
+def _is_odd(text: str) -> bool:
+    """Whether a blank stands at an end or beside other white space."""
+    if not text or text[0] == " " or text[-1] == " " or "  " in text:
+        return True
+    rare = [c for c in _RARE if c in text] if not text.isascii() or not text.isprintable() else ()
+    return any(f" {c}" in text or f"{c} " in text for c in (*_COMMON, *rare))
+
+
+#: Marks that are split off a letter or digit before them, as the byte-level pattern does.
+_MARKS = ".,;:!?"
 
 
 class _Pieces(dict):
-    """Piece without its leading space -> number of its entry; new pieces wait to be encoded."""
+    """Piece without its leading space -> its number; new pieces wait to be encoded.
+
+    A piece that ends in marks after a letter or digit is made of two others, which it shares with many.
+    """
 
-    def __init__(self, waiting: list[str], starts: array, lead: str):
-        self.waiting, self.starts, self.lead = waiting, starts, lead
+    def __init__(self, owner: Encoder, lead: str):
+        self.owner, self.lead = owner, lead
 
     def __missing__(self, piece: str) -> int:
-        number = self[piece] = len(self.starts) - 1 + len(self.waiting)
-        self.waiting.append(self.lead + piece)
+        owner, core = self.owner, piece.rstrip(_MARKS)
+        if core != piece and core[-1:].isalnum():
+            owner.pairs += (self[core], owner.first[piece[len(core) :]])
+            number = self[piece] = owner.pieces
+            owner.paired.append(number)
+        else:
+            number = self[piece] = owner.pieces
+            owner.waiting.append(self.lead + piece)
+            owner.numbers.append(number)
+        owner.pieces = number + 1
         return number
 
 
 class Encoder:
+    """Encodes by a byte-level BPE file that splits texts before blanks; other files are refused."""
+
     def __init__(self, path: str):
+        # A task has one core; threads of the library would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        if not self._splits_at_blanks():
+            raise ValueError(f"{path} does not split texts before single blanks, so its pieces cannot be encoded alone")
         vocabulary = self.tokenizer.get_vocab()
         #: UTF-8 bytes of each token: a byte-level vocabulary has one character for each byte.
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -44,46 +77,80 @@ class Encoder:
             self.bytes[number] = len(token)
         self.clear()
 
+    def _splits_at_blanks(self) -> bool:
+        """Whether the file is byte-level BPE with its usual pattern, changes no text and adds no token with a blank."""
+        parts = json.loads(self.tokenizer.to_str())
+        step = parts.get("pre_tokenizer") or {}
+        return (
+            parts["model"]["type"] == "BPE"
+            and step.get("type") == "ByteLevel"
+            and step.get("use_regex", True)
+            and not step.get("add_prefix_space", True)
+            and not parts.get("normalizer")
+            and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in parts.get("added_tokens", []))
+        )
+
     def clear(self) -> None:
-        self.waiting: list[str] = []
-        self.ids, self.starts = array("I"), array("q", [0])
-        self.first, self.later = (_Pieces(self.waiting, self.starts, lead) for lead in ("", " "))
+        self.waiting: list[str] = []  # pieces to encode, and their numbers
+        self.numbers: list[int] = []
+        self.paired: list[int] = []  # pieces made of two others, and these
+        self.pairs: list[int] = []
+        self.pieces = self.held = 0
+        self.ids = np.empty(0, np.uint32)
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.first, self.later = (_Pieces(self, lead) for lead in ("", " "))
 
     def _encode_waiting(self) -> None:
         # Texts of many pieces; what could merge with its neighbour is a text of its own.
-        texts: list[list[str]] = []
-        for piece in self.waiting:
-            joins = piece[:1] == " " and piece[1:2] and not piece[1].isspace() and not piece[-1].isspace()
-            if joins and texts and len(texts[-1]) < TOGETHER and not texts[-1][-1][-1:].isspace() and texts[-1][-1]:
-                texts[-1].append(piece)
-            else:
-                texts.append([piece])
-        encoded = self.tokenizer.encode_batch_fast(["".join(x) for x in texts], add_special_tokens=False)
-        for own, result in zip(texts, encoded, strict=True):
+        alone = [k for k, p in enumerate(self.waiting) if p[:1] != " " or p.strip() != p[1:] or len(p) == 1]
+        texts, start = [], 0
+        for end in (*alone, len(self.waiting)):
+            texts += [self.waiting[k : min(k + TOGETHER, end)] for k in range(start, end, TOGETHER)]
+            texts += [[self.waiting[end]]] if end < len(self.waiting) else []
+            start = end + 1
+        joined = ["".join(x) for x in texts]
+        encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        found, counts, at = [self.ids], [], len(self.ids)
+        for own, text, result in zip(texts, joined, encoded, strict=True):
             ids = np.array(result.ids, np.uint32)
-            ends = np.cumsum([len(x.encode()) for x in own])
-            at = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1 if len(ids) else np.zeros(len(own), int)
-            self.starts.extend((at + len(self.ids)).tolist())
-            self.ids.frombytes(ids.tobytes())
-        self.waiting.clear()
+            sizes = list(map(len, own)) if text.isascii() else [len(x.encode()) for x in own]
+            ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(sizes)) + 1 if len(ids) else np.zeros(len(own), int)
+            counts.append(np.diff(ends, prepend=0))
+            found.append(ids)
+            self.held += len(text)
+        grown = self.pieces - len(self.size)
+        self.start, self.size = (np.concatenate([x, np.zeros(grown, np.int64)]) for x in (self.start, self.size))
+        if texts:
+            n = np.concatenate(counts)
+            self.size[self.numbers], self.start[self.numbers] = n, at + np.cumsum(n) - n
+        self.ids = np.concatenate(found)
+        if self.pairs:
+            both = np.array(self.pairs)
+            flat, _ = self._gathered(both)
+            n = self.size[both[::2]] + self.size[both[1::2]]
+            self.size[self.paired], self.start[self.paired] = n, len(self.ids) + np.cumsum(n) - n
+            self.ids = np.concatenate([self.ids, flat])
+        self.waiting, self.numbers, self.paired, self.pairs = [], [], [], []
+
+    def _gathered(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, one after the other, and where each ends."""
+        n = self.size[pieces]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.start[pieces] - (ends - n), n) + np.arange(total)], ends
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each has."""
         numbers = []
         for text in texts:
-            pieces = _BETWEEN.split(text) if _ODD.search(text) else text.split(" ")
+            pieces = _BETWEEN.split(text) if _is_odd(text) else text.split(" ")
             own = np.fromiter(map(self.later.__getitem__, pieces), np.int64, len(pieces))
             own[0] = self.first[pieces[0]]
             numbers.append(own)
         self._encode_waiting()
-        starts, ids = np.array(self.starts), np.array(self.ids)
-        piece = np.concatenate(numbers)
-        n = starts[piece + 1] - starts[piece]
-        ends = np.cumsum(n)
-        flat = ids[np.repeat(starts[piece] - (ends - n), n) + np.arange(ends[-1])]
-        last = np.cumsum([len(x) for x in numbers]) - 1
-        total = ends[last]
-        if len(self.starts) > CACHED_PIECES:
+        flat, ends = self._gathered(np.concatenate(numbers))
+        total = ends[np.cumsum([len(x) for x in numbers]) - 1]
+        if self.pieces > CACHED_PIECES or self.held > CACHED_BYTES:
             self.clear()
         return flat, np.diff(total, prepend=0)
 
