@@ -17,6 +17,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,8 +29,10 @@ MASK = (1 << 64) - 1
 LONGEST = 4
 #: Words in an encoded row, about; chunks of all languages together hold twice as many.
 CHUNK_WORDS = 1 << 19
-#: Entries of a container that bursts, and of a trie that spills.
-BURST, TRIE_ENTRIES = 4096, 600_000
+#: Entries of a container that bursts, and of a task's tries together before subtrees leave them.
+BURST, TRIE_ENTRIES = 4096, 300_000
+#: Bytes of text that are Python objects at a time, and rows of a run that leave a task together.
+SLICE_BYTES, RUN_ROWS = 4 << 20, 50_000
 #: A word id has 21 bits, so that three of them are one number.
 ID_BITS = 21
 #: Bits of a bitmap at most (32 MB), and bits for each entry below that.
@@ -53,7 +56,7 @@ class _Numbers(dict):
 class _Chunk:
     """Words of one language, as numbers of an own dictionary."""
 
-    def __init__(self, context: Sequence[bytes] = ()):
+    def __init__(self):
         self.numbers, self.ids = _Numbers(), array("i")
 
     def row(self, lang: str, tail: int) -> tuple:
@@ -106,7 +109,8 @@ def _encode(batches: Iterator[pa.RecordBatch], chunk_words: int) -> Iterator[pa.
     texts = (
         (lang, text)
         for batch in batches
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        for part in _slices(batch)
+        for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
         if text
     )
     for lang, words, counts, ids, tail in _encoded_rows(texts, chunk_words):
@@ -114,6 +118,12 @@ def _encode(batches: Iterator[pa.RecordBatch], chunk_words: int) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays(one, names=["lang", "words", "counts", "ids", "tail"])
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    step = max(1, batch.num_rows * SLICE_BYTES // max(SLICE_BYTES, batch.column(1).nbytes))
+    for start in range(0, batch.num_rows, step):
+        yield batch.slice(start, step)
+
+
 def _list(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -153,13 +163,15 @@ class HatTrie:
             left -= size
         return out
 
-    def take(self, head: int) -> tuple[np.ndarray, np.ndarray]:
-        """Remove a subtree and return it as a sorted run: packed rests and counts."""
-        tree = self.root.pop(head)
-        self.entries -= tree.size
-        rest, n = tree.run()
-        order = np.argsort(rest)
-        return rest[order], n[order]
+    def take(self, heads: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Remove subtrees and return their entries: first words, packed rests and counts."""
+        rest, n, sizes = array("q"), array("q"), []
+        for head in heads:
+            tree = self.root.pop(head)
+            tree.fill(rest, n)
+            sizes.append(tree.size)
+        self.entries -= sum(sizes)
+        return np.repeat(np.array(heads, np.int64), sizes), np.array(rest, np.int64), np.array(n, np.int64)
 
 
 class _Subtree:
@@ -201,11 +213,16 @@ class _Subtree:
             self.children.setdefault(rest >> (2 * ID_BITS), {})[rest & self.LOW] = n
         self.held = None
 
-    def run(self) -> tuple[np.ndarray, np.ndarray]:
-        parts = [(0, self.held)] if self.held is not None else self.children.items()
-        rest = [np.fromiter(own, np.int64, len(own)) + (word << (2 * ID_BITS)) for word, own in parts]
-        n = [np.fromiter(own.values(), np.int64, len(own)) for _, own in parts]
-        return np.concatenate(rest), np.concatenate(n)
+    def fill(self, rest: array, n: array) -> None:
+        """Append the packed rests and the counts of all entries."""
+        if self.held is not None:
+            rest.extend(self.held)
+            n.extend(self.held.values())
+            return
+        for word, own in self.children.items():
+            start = word << (2 * ID_BITS)
+            rest.extend([start + key for key in own])
+            n.extend(own.values())
 
 
 class _Frequent:
@@ -274,35 +291,31 @@ class _Counter:
             yield from self._spill(max(self.tries, key=lambda k: self.tries[k][0].entries), 0.5)
 
     def _spill(self, lang: str, share: float) -> Iterator[pa.RecordBatch]:
-        """Runs of whole subtrees, in the order of their phrases."""
+        """Whole subtrees as one sorted run: by first words, then by the words that follow."""
         trie, numbers = self.tries[lang]
-        names = [b"", *numbers]
+        heads = trie.largest(share)
+        if not heads:
+            return
+        first, rest, n = trie.take(heads)
         low = (1 << ID_BITS) - 1
-        firsts, texts, counts = [], [], []
-        for head in sorted(trie.largest(share), key=names.__getitem__):
-            rest, n = trie.take(head)
-            first = names[head]
-            own = []
-            for r in rest.tolist():
-                b, c, d = r >> (2 * ID_BITS), r >> ID_BITS & low, r & low
-                own.append(b" ".join((first, names[b], names[c], names[d]) if d else (first, names[b], names[c]) if c else (first, names[b])))
-            order = sorted(range(len(own)), key=own.__getitem__)
-            firsts += [first] * len(own)
-            texts += [own[i] for i in order]
-            counts.append(n[order])
-            if len(texts) >= 50_000:
-                yield self._batch(lang, firsts, texts, counts)
-                firsts, texts, counts = [], [], []
-        if texts:
-            yield self._batch(lang, firsts, texts, counts)
-
-    @staticmethod
-    def _batch(lang: str, firsts: list[bytes], texts: list[bytes], counts: list[np.ndarray]) -> pa.RecordBatch:
-        strings = [pa.array(x, pa.binary()).cast(pa.string()) for x in (firsts, texts)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(texts)), *strings, pa.array(np.concatenate(counts), pa.int64())],
-            names=["lang", "first", "phrase", "n"],
-        )
+        ids = [first, rest >> (2 * ID_BITS), rest >> ID_BITS & low, rest & low]
+        names = [b"", *numbers]
+        rank = np.empty(len(names), np.int64)
+        rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
+        order = np.lexsort([rank[x] for x in reversed(ids)])
+        words = pa.array(names, pa.binary()).cast(pa.string())
+        for start in range(0, len(order), RUN_ROWS):
+            own = order[start : start + RUN_ROWS]
+            parts = [words.take(pa.array(x[own])) for x in ids]
+            phrase = parts[0]
+            for k in (1, 2, 3):  # words that are missing stand at the end, as number 0
+                more = pa.array(ids[k][own] > 0)
+                if k > 1 and not pc.any(more).as_py():
+                    break
+                phrase = pc.if_else(more, pc.binary_join_element_wise(phrase, parts[k], " "), phrase)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(own)), parts[0], phrase, pa.array(n[own])], names=["lang", "first", "phrase", "n"]
+            )
 
     def close(self) -> Iterator[pa.RecordBatch]:
         for lang in list(self.tries):
