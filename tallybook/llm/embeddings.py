@@ -1,14 +1,15 @@
 """Near-duplicate vectors by int8 tile products with error bounds.
 
 A unit vector x is rounded to x' = scale * q with integers q up to 127. Its error is the length of x - x',
-computed exactly. For two vectors the cosine differs from x'.y' by at most e_x + |x'| e_y, so only pairs
-whose product plus that bound reaches the threshold can link, and these alone are computed in double.
+computed exactly. For two vectors the cosine differs from x'.y' by at most e_x + |x'| e_y. Tiles of blocks
+get the integers, one byte a component, and what follows from the bound is final: pairs that must link
+and pairs that cannot. Only vectors with a pair in between go to their tile again, in double precision.
 """
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,87 +18,186 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.common import connected, cut
 
-#: Vectors of a block. A tile compares two blocks, and holds their product in memory, 4 bytes a pair.
+#: Vectors of a block. A tile compares two blocks, and holds a byte a pair in memory.
 BLOCK = 4096
-SEED = 5
+#: Bytes of a strip of a tile that are computed together.
+STRIP = 32 << 20
+#: How far rounding in floats may move a comparison; pairs nearer to a bound are computed in double.
+MARGIN = 1e-9
 
 
-def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Integers (as float32, for the matrix product), scales, lengths of the rounded vectors, and errors."""
-    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+@dataclass
+class Quantised:
+    """Integers, and per vector the scale, the length of the rounded vector and the error."""
+
+    q: np.ndarray
+    scale: np.ndarray
+    length: np.ndarray
+    error: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.q)
+
+    def __getitem__(self, at) -> Quantised:
+        return Quantised(self.q[at], self.scale[at], self.length[at], self.error[at])
+
+
+def quantise(x: np.ndarray) -> Quantised:
+    """The rounded unit vectors; components beyond the range of doubles are scaled down first."""
+    unit = x / np.abs(x).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     scale = np.abs(unit).max(axis=1) / 127
     q = np.rint(unit / scale[:, None])
     rounded = q * scale[:, None]
-    return q.astype(np.float32), scale, np.linalg.norm(rounded, axis=1), np.linalg.norm(unit - rounded, axis=1)
+    return Quantised(q.astype(np.int8), scale, np.linalg.norm(rounded, axis=1), np.linalg.norm(unit - rounded, axis=1))
 
 
-def tile_links(x: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of x and y with cosine >= threshold; of one block with itself, each pair once."""
-    qx, sx, nx, ex = quantise(x)
-    qy, sy, _, ey = quantise(y)
+def tile_masks(x: Quantised, y: Quantised, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs link for certain, and which the bound leaves open; of one block with itself, each pair once."""
     # Integer sums up to 127 * 127 * dimensions are exact in float32 up to 1040 dimensions, in double beyond.
-    kind = np.float32 if 127 * 127 * x.shape[1] < 1 << 24 else np.float64
-    found = []
-    step = max(1, (32 << 20) // (8 * len(y)))
+    kind = np.float32 if 127 * 127 * x.q.shape[1] < 1 << 24 else np.float64
+    linked, open_ = np.zeros((len(x), len(y)), bool), np.zeros((len(x), len(y)), bool)
+    right = y.q.T.astype(kind)
+    step = max(1, STRIP // (8 * max(1, len(y))))
     for a in range(0, len(x), step):
-        own = slice(a, a + step)
-        product = qx[own].astype(kind) @ qy.T.astype(kind)
-        # product * sx * sy + ex + nx * ey >= threshold, divided by sx * sy; a little lower for the division.
-        limit = (threshold - 1e-9 - ex[own, None] - nx[own, None] * ey[None, :]) / (sx[own, None] * sy[None, :])
-        i, j = np.nonzero(product >= limit)
-        if same:
-            i, j = i[i + a < j], j[i + a < j]
-        found.append(np.stack([i + a, j]))
-    i, j = np.concatenate(found, axis=1)
-    length_x, length_y = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
-    keep = np.empty(len(i), bool)
-    for a in range(0, len(i), 1 << 17):
-        p, r = i[a : a + (1 << 17)], j[a : a + (1 << 17)]
-        keep[a : a + (1 << 17)] = np.einsum("ij,ij->i", x[p], y[r]) / (length_x[p] * length_y[r]) >= threshold
-    return i[keep], j[keep]
-
-
-def _vectors(packed: pa.ChunkedArray) -> np.ndarray:
-    flat = np.frombuffer(b"".join(packed.to_pylist()), np.float64)
-    return flat.reshape(len(packed), -1)
-
-
-def _tile(table: pa.Table, threshold: float) -> pa.Table:
-    """Of one tile: the weight of each vector's links, and a tie to a vector that it is connected with."""
-    block = table.column("block").to_numpy()
-    order = np.argsort(block, kind="stable")
-    table, block = table.take(pa.array(order)), block[order]
-    cls, weight = table.column("cls").to_numpy(), table.column("weight").to_numpy()
-    x = _vectors(table.column("vector"))
-    same = bool(block[0] == block[-1]) and table.column("i")[0].as_py() == table.column("j")[0].as_py()
-    middle = int(np.searchsorted(block, block[-1]))
+        own = x[a : a + step]
+        # The cosine lies within the bound of product * scale * scale; all is divided by the scales.
+        product = own.q.astype(kind) @ right
+        bound = own.error[:, None] + own.length[:, None] * y.error[None, :]
+        scales = own.scale[:, None] * y.scale[None, :]
+        above = product >= (threshold + MARGIN + bound) / scales
+        below = product < (threshold - MARGIN - bound) / scales
+        linked[a : a + step], open_[a : a + step] = above, ~above & ~below
     if same:
-        i, j = tile_links(x, x, threshold, True)
-    elif middle:
-        i, j = tile_links(x[:middle], x[middle:], threshold, False)
-        j = j + middle
-    else:
-        i = j = np.empty(0, int)
-    links = np.bincount(i, weight[j], len(cls)) + np.bincount(j, weight[i], len(cls))
-    least = np.arange(len(cls))
-    while True:  # smallest reachable, in the tile
-        seen = least.copy()
-        np.minimum.at(least, i, seen[j])
-        np.minimum.at(least, j, seen[i])
-        least = least[least]
-        if (least == seen).all():
-            break
-    hit = links > 0
-    return pa.table({"cls": pa.array(cls[hit]), "links": pa.array(links[hit].astype(np.int64)), "tie": pa.array(cls[least[hit]])})
+        upper = np.triu(np.ones((len(x), len(x)), bool), 1)
+        linked &= upper
+        open_ &= upper
+    return linked, open_
+
+
+def exact_links(x: np.ndarray, y: np.ndarray, open_: np.ndarray, threshold: float) -> np.ndarray:
+    """Of the open pairs, those whose cosine in double precision reaches the threshold."""
+    out = np.zeros_like(open_)
+    length_x, length_y = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
+    step = max(1, STRIP // (8 * max(1, x.shape[1])))
+    i, j = np.nonzero(open_)
+    for a in range(0, len(i), step):
+        p, r = i[a : a + step], j[a : a + step]
+        out[p, r] = np.einsum("ij,ij->i", x[p], y[r]) / (length_x[p] * length_y[r]) >= threshold
+    return out
+
+
+def smallest_labels(linked: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest label that each row and each column of a tile can reach."""
+    rows, columns = linked.any(axis=1), linked.any(axis=0)
+    mask, least_x, least_y = linked[np.ix_(rows, columns)], x[rows].copy(), y[columns].copy()
+    top = np.iinfo(np.int64).max
+    step = max(1, STRIP // (8 * max(1, len(least_y))))
+    moved = mask.size > 0
+    while moved:
+        before = least_x.copy(), least_y.copy()
+        for a in range(0, len(mask), step):
+            own = mask[a : a + step]
+            np.minimum(least_x[a : a + step], np.where(own, least_y[None, :], top).min(axis=1), out=least_x[a : a + step])
+            np.minimum(least_y, np.where(own, least_x[a : a + step, None], top).min(axis=0), out=least_y)
+        moved = (before[0] != least_x).any() or (before[1] != least_y).any()
+    out_x, out_y = x.copy(), y.copy()
+    out_x[rows], out_y[columns] = least_x, least_y
+    return out_x, out_y
+
+
+@dataclass
+class _Tile:
+    """The two sides of a tile; of one block with itself, both are the same."""
+
+    table: pa.Table
+    x: np.ndarray
+    y: np.ndarray
+    same: bool
+
+    @classmethod
+    def of(cls, table: pa.Table) -> _Tile:
+        order = np.lexsort([table.column("no").to_numpy(), table.column("block").to_numpy()])
+        table = table.take(pa.array(order))
+        block = table.column("block").to_numpy()
+        same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        middle = len(block) if same else int(np.searchsorted(block, block[-1]))
+        at = np.arange(len(block))
+        return cls(table, at if same else at[:middle], at if same else at[middle:], same)
+
+    def quantised(self) -> Quantised:
+        q = np.frombuffer(b"".join(self.table.column("q").to_pylist()), np.int8).reshape(len(self.table), -1)
+        return Quantised(q, *(self.table.column(c).to_numpy() for c in ("scale", "length", "error")))
+
+    def sums(self, linked: np.ndarray, open_: np.ndarray | None) -> pa.Table:
+        """Per vector: the weight of its links, a tie to a vector it is connected with, and whether pairs are open."""
+        n = len(self.table)
+        cls, weight = self.table.column("cls").to_numpy(), self.table.column("weight").to_numpy()
+        links, unsure = np.zeros(n, np.int64), np.zeros(n, bool)
+        links[self.x] += (linked @ weight[self.y].astype(float)).astype(np.int64)
+        links[self.y] += (weight[self.x].astype(float) @ linked).astype(np.int64)
+        if open_ is not None:
+            unsure[self.x] |= open_.any(axis=1)
+            unsure[self.y] |= open_.any(axis=0)
+        tie = cls.copy()
+        both = linked | linked.T if self.same else linked
+        tie[self.x], least_y = smallest_labels(both, cls[self.x], cls[self.y])
+        if not self.same:
+            tie[self.y] = least_y
+        hit = np.flatnonzero((links > 0) | unsure)
+        own = self.table.select(["bytes", "i", "j", "no", "cls"]).take(pa.array(hit))
+        return own.append_column("links", pa.array(links[hit])).append_column("tie", pa.array(tie[hit])).append_column(
+            "unsure", pa.array(unsure[hit])
+        )
+
+
+SUMS = "bytes int, i int, j int, no long, cls long, links long, tie long, unsure boolean"
+
+
+def _bounded(table: pa.Table, threshold: float) -> pa.Table:
+    """Of one tile, what the bound decides."""
+    tile = _Tile.of(table)
+    all_ = tile.quantised()
+    linked, open_ = tile_masks(all_[tile.x], all_[tile.y], threshold, tile.same)
+    return tile.sums(linked, open_)
+
+
+def _resolved(table: pa.Table, threshold: float) -> pa.Table:
+    """Of the vectors of one tile that the bound left unsure, the open pairs that do link."""
+    tile = _Tile.of(table)
+    all_ = tile.quantised()
+    _, open_ = tile_masks(all_[tile.x], all_[tile.y], threshold, tile.same)
+    exact = np.frombuffer(b"".join(tile.table.column("vector").to_pylist()), np.float64).reshape(len(tile.table), -1)
+    return tile.sums(exact_links(exact[tile.x], exact[tile.y], open_, threshold), None)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors as bytes; null where one cannot link."""
+    for batch in batches:
+        lists = batch.column(1)
+        flat, offsets = lists.values.to_numpy(zero_copy_only=False).astype(np.float64), lists.offsets.to_numpy()
+        bad = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])  # nulls have become not-a-number
+        full = np.concatenate([[0], np.cumsum(flat != 0)])
+        start, end = offsets[:-1], offsets[1:]
+        usable = (bad[end] == bad[start]) & (full[end] > full[start]) & lists.is_valid().to_numpy(zero_copy_only=False)
+        data = [flat[a:b].tobytes() if ok else None for a, b, ok in zip(start, end, usable.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["id", "vector"])
+
+
+def _quantised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        vectors = []
-        for v in batch.column(1).to_pylist():
-            usable = v is not None and all(c is not None and np.isfinite(c) for c in v) and any(v)
-            vectors.append(struct.pack(f"<{len(v)}d", *v) if usable else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.binary())], names=["id", "vector"])
+        data = batch.column(0).to_pylist()
+        sizes = np.array([len(v) for v in data])
+        q: list = [None] * len(data)
+        scale, length, error = (np.zeros(len(data)) for _ in range(3))
+        for size in np.unique(sizes):
+            at = np.flatnonzero(sizes == size)
+            own = quantise(np.frombuffer(b"".join(data[i] for i in at), np.float64).reshape(len(at), -1))
+            scale[at], length[at], error[at] = own.scale, own.length, own.error
+            for i, row in zip(at.tolist(), own.q, strict=True):
+                q[i] = row.tobytes()
+        columns = [*batch.columns, pa.array(q, pa.binary()), pa.array(scale), pa.array(length), pa.array(error)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "q", "scale", "length", "error"])
 
 
 def near_vectors(
@@ -116,7 +216,8 @@ def near_vectors(
     included. Other columns are left out; an empty table gives an empty result.
 
     Equal vectors are one row with a weight. The rest is dealt into blocks by a hash, and each pair of blocks
-    is one task's tile: all pairs are compared, none is emitted. A tile returns sums and ties per vector.
+    is one task's tile: all pairs are compared, none is emitted. A tile gets a byte a component, and returns sums
+    and ties per vector; the vectors of its open pairs meet once more as doubles.
     """
     rows = cut(
         vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
@@ -124,26 +225,30 @@ def near_vectors(
         "vectors",
     )
     known = rows.where("vector is not null and id is not null")
+    grouped = known.groupBy("vector").agg(F.min("id").alias("first"), F.count("*").alias("weight"))
     classes = cut(
-        known.groupBy("vector").agg(F.min("id").alias("first"), F.count("*").alias("weight"))
-        .select(F.xxhash64("vector", "first").alias("hash"), "first", "weight", "vector"),
+        grouped.select("vector", "first", "weight", F.xxhash64("vector", "first").alias("hash"))
+        .mapInArrow(
+            _quantised,
+            "vector binary, first long, weight long, hash long, q binary, scale double, length double, error double",
+        )
+        .withColumn("no", F.monotonically_increasing_id()),
         "vector-classes",
     )
     sizes = classes.groupBy(F.octet_length("vector").alias("bytes")).count().collect()
     blocks = max(1, -(-sum(r["count"] for r in sizes) // block))
-    # Vectors of one length share tiles; an id can stand for several vectors, so the class has its own number.
-    placed = classes.select(
-        F.col("first").alias("cls"), "weight", "vector", F.octet_length("vector").alias("bytes"),
+    # Vectors of one length share tiles; an id can stand for several vectors, so a class has its own number.
+    light = classes.select(
+        "no", F.col("first").alias("cls"), "weight", "q", "scale", "length", "error", F.octet_length("q").alias("bytes"),
         F.pmod("hash", F.lit(blocks)).cast("int").alias("block"),
     )
-    each = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    tiles = each.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    found = cut(
-        tiles.groupBy("bytes", "i", "j").applyInArrow(
-            lambda t: _tile(t, threshold), "cls long, links long, tie long"
-        ),
-        "tile-sums",
-    )
+    each = light.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    tiles = each.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+    found = cut(tiles.groupBy("bytes", "i", "j").applyInArrow(lambda t: _bounded(t, threshold), SUMS), "tile-sums")
+    unsure = found.where("unsure").select("bytes", "i", "j", "no")
+    again = unsure.join(light.drop("bytes"), "no").join(classes.select("no", "vector"), "no")
+    more = cut(again.groupBy("bytes", "i", "j").applyInArrow(lambda t: _resolved(t, threshold), SUMS), "open-sums")
+    found = found.unionByName(more)
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     parts = connected(found.select(F.col("cls").alias("a"), F.col("tie").alias("b"))).select(
         F.col("node").alias("cls"), "component"
