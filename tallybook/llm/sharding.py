@@ -7,11 +7,12 @@ at a time, puts it into a random order by Fisher-Yates, and writes it behind the
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import cut, new_path
+from tallybook.llm.common import cut, free_name, new_path
 
 BUCKET_BYTES = 16 << 20
 BUCKET_ROWS = 2048
@@ -48,21 +49,31 @@ def fisher_yates(n: Column, *seed: Column) -> Column:
     return F.aggregate(places, F.array().cast("array<int>"), step)
 
 
-def scatter(keyed: DataFrame, shards: int, bucket_bytes: int, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
-    """``keyed`` with the bucket of each record, as many in a shard as it needs, and what each bucket holds.
+def scatter(keyed: DataFrame, shards: int, bucket_bytes: int, bucket_rows: int) -> tuple[DataFrame, DataFrame, int]:
+    """``keyed`` with the bucket of each record, as many in a shard as it needs; what each bucket holds; partitions.
 
-    Two numbers per shard reach the driver.
+    ``_part`` numbers partitions of about two buckets, in the order of shards and buckets. Two numbers per shard
+    reach the driver.
     """
     held = keyed.groupBy("_shard").agg(F.sum("_size").alias("bytes"), F.count("*").alias("rows")).collect()
     buckets = [1] * shards
     for r in held:
         buckets[r["_shard"]] = max(1, math.ceil(r["bytes"] / bucket_bytes), math.ceil(r["rows"] / bucket_rows))
+    partitions = max(1, math.ceil(sum(r["bytes"] for r in held) / (2 * bucket_bytes)))
     own = F.get(F.array(*map(F.lit, buckets)), F.col("_shard"))
-    placed = keyed.withColumn("_bucket", F.pmod("_scatter", own).cast("int"))
-    counts = placed.groupBy("_shard", "_bucket").agg(
+    first = F.get(F.array(*(F.lit(sum(buckets[:k])) for k in range(shards))), F.col("_shard"))
+    part = F.floor((first + F.col("_bucket")) * F.lit(partitions) / F.lit(sum(buckets))).cast("int")
+    placed = keyed.withColumn("_bucket", F.pmod("_scatter", own).cast("int")).withColumn("_part", part)
+    counts = placed.groupBy("_part", "_shard", "_bucket").agg(
         F.count("*").alias("_rows"), F.sum("_size").alias("_bytes"), F.max("_size").alias("_longest")
     )
-    return placed, cut(counts, "bucket-counts")
+    return placed, cut(counts, "bucket-counts"), partitions
+
+
+def shard_columns(names: Iterable[str]) -> tuple[str, str, str]:
+    """The columns that ``shard`` adds, for size, shard and slot: with ``_`` behind where a name is taken."""
+    names = list(names)
+    return tuple(free_name(names, c) for c in ("_size", "_shard", "_slot"))
 
 
 def shard(
@@ -82,8 +93,10 @@ def shard(
     a hot id has more of them. Where rows equal in id and text would crowd a bucket, all rows are numbered
     and written once, and scattered by that number too. Rows that tie in the scatter order are alike in id
     and text and may swap. A null id is a key like any other; an empty table gives an empty result. Other
-    columns are carried along.
+    columns are carried along under their own names; where they take one of the new ones, the new column has
+    ``_`` behind (``shard_columns``). Partitions hold buckets in the order of shards and slots.
     """
+    size_col, shard_col, slot_col = shard_columns(docs.columns)
     size = (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + ROW_BYTES).cast("bigint")
     keyed = docs.select(
         F.struct("*").alias("_record"),
@@ -92,46 +105,53 @@ def shard(
         F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_scatter"),
     )
     keyed = keyed.withColumn("_shard", shard_of(F.col("_id"), shards, seed))
-    placed, counts = scatter(keyed, shards, bucket_bytes, bucket_rows)
+    placed, counts, partitions = scatter(keyed, shards, bucket_bytes, bucket_rows)
     crowded = (F.col("_rows") > CROWDED * bucket_rows) | (F.col("_bytes") > CROWDED * bucket_bytes + F.col("_longest"))
     if not counts.where(crowded).isEmpty():
         number = F.xxhash64("_scatter", F.monotonically_increasing_id())
         numbered = cut(keyed.withColumn("_scatter", number), "numbered-records")
-        placed, counts = scatter(numbered, shards, bucket_bytes, bucket_rows)
+        placed, counts, partitions = scatter(numbered, shards, bucket_bytes, bucket_rows)
     before = counts.select(
+        "_part",
         "_shard",
         "_bucket",
+        F.lit(None).cast(placed.select(F.struct("_scatter", "_size", "_record")).schema[0].dataType).alias("_entry"),
         F.expr(
             "coalesce(sum(_rows) over (partition by _shard order by _bucket"
             " rows between unbounded preceding and 1 preceding), 0)"
         ).alias("_before"),
     )
-    gathered = placed.groupBy("_shard", "_bucket").agg(
-        F.collect_list(F.struct("_scatter", "_size", "_record")).alias("_records")
+    # What stands before a bucket travels as one more entry of it, so nothing is joined after the shuffle.
+    entries = placed.select(
+        "_part", "_shard", "_bucket", F.struct("_scatter", "_size", "_record").alias("_entry"), F.lit(None).cast("bigint").alias("_before")
+    )
+    dealt = entries.unionByName(before).repartitionById(partitions, F.col("_part"))
+    gathered = dealt.groupBy("_part", "_shard", "_bucket").agg(
+        F.collect_list("_entry").alias("_records"), F.max("_before").alias("_before")
     )
     # The order of arrival differs from run to run; the shuffle starts from the scatter hash's order.
     start = F.array_sort(
         F.transform("_records", lambda r, i: F.struct(r["_scatter"].alias("scatter"), i.alias("i")))
     )
     mixed = (
-        gathered.join(before.hint("shuffle_hash"), ["_shard", "_bucket"])
-        .withColumn("_start", start)
+        gathered.withColumn("_start", start)
         .withColumn("_order", fisher_yates(F.size("_records"), F.lit(seed), F.col("_shard"), F.col("_bucket")))
     )
     moved = F.transform("_order", lambda p: F.get("_records", F.get("_start", p)["i"]))
     out = mixed.select("_shard", "_before", F.posexplode(moved).alias("_at", "_r"))
+    names = [F.col(f"_r._record.`{c.replace('`', '``')}`") for c in docs.columns]
     return out.select(
-        "_r._record.*",
-        F.col("_r._size").alias("_size"),
-        "_shard",
-        (F.col("_before") + F.col("_at")).cast("bigint").alias("_slot"),
+        *names,
+        F.col("_r._size").alias(size_col),
+        F.col("_shard").alias(shard_col),
+        (F.col("_before") + F.col("_at")).cast("bigint").alias(slot_col),
     )
 
 
-def write_shards(sharded: DataFrame, path: str | None = None) -> DataFrame:
-    """Write one folder per shard, its files in slot order, and read them back."""
+def write_shards(sharded: DataFrame, path: str | None = None, shard_col: str = "_shard", slot_col: str = "_slot") -> DataFrame:
+    """Write one folder per shard and read it back. A shard's files in the order of their names hold its slots in order."""
     spark = sharded.sparkSession
     path = path or new_path(spark, "shards")
-    sharded.sortWithinPartitions("_shard", "_slot").write.partitionBy("_shard").parquet(path)
+    sharded.sortWithinPartitions(shard_col, slot_col).write.partitionBy(shard_col).parquet(path)
     # Reading with the schema also serves an empty table, which leaves no shard folder to infer from.
     return spark.read.schema(sharded.schema).parquet(path)
