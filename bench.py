@@ -3,7 +3,8 @@
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local threads. ``load_sales_orders`` joins the
 star schema and writes the flat order-line table; every KPI then runs once over that table, as the
 engine is meant to be used. Two untimed queries warm the session up. ``export_all`` is one run of
-the eleven KPI files. ``…_from_star`` starts from the star schema instead. ``clean_table`` cleans
+the eleven KPI files, ``export_suite`` the same from one scan. ``clean_all_csv`` reads the raw order table as
+CSV, types, cleans and writes it. ``…_from_star`` starts from the star schema instead. ``clean_table`` cleans
 the whole raw order table.
 """
 
@@ -20,8 +21,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks import fixtures as fx  # noqa: E402
 from checks.queries import QUERIES  # noqa: E402
+from tallybook.plans.cleaning import clean_all  # noqa: E402
 from tallybook.plans.export import export_all  # noqa: E402
 from tallybook.plans.kpi import KPIS  # noqa: E402
+from tallybook.plans.suite import export_suite  # noqa: E402
 from tallybook.session import build_session  # noqa: E402
 from tallybook.sinks import write_cleaned  # noqa: E402
 from tallybook.sources import sales_orders  # noqa: E402
@@ -75,6 +78,10 @@ def main() -> None:
     for name, kpi in KPIS.items():
         timed(name, lambda kpi=kpi: kpi.compute(table).collect())
     timed("export_all", lambda: export_all(table, fx.scratch(spark, "export")).collect())
+    timed("export_suite", lambda: export_suite(table, fx.scratch(spark, "suite") + "/kpi").collect())
+    raw = fx.scratch(spark, "raw") + "/sales"
+    write_cleaned(fx.raw_sales(spark, SF_DIR), raw, "csv")
+    timed("clean_all_csv", lambda: clean_all(spark, {"sales": raw}, fx.scratch(spark, "clean")).collect())
     for name in FROM_STAR:
         timed(f"{name}_from_star", lambda name=name: QUERIES[name](spark, SF_DIR).collect())
     for name in SMALL:

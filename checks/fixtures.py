@@ -112,3 +112,41 @@ def sparse_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, ("order_id", "order_date", "courier_status", "shipcity", "amount", "b2b")
     )
     return sales.withColumn("fee", F.when(F.col("courier_status").isNotNull(), F.lit(2.5)))
+
+
+def ordered_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates in columns that prove their order: the day first, the month first, and neither."""
+    day, key = F.dayofmonth("o_orderdate"), F.col("o_orderkey")
+    date = F.col("o_orderdate")
+    return read_table(spark, sf_dir, "orders").select(
+        key.alias("order_key"),
+        F.when(day % 4 == 0, F.date_format(date, "dd-MM-yyyy"))
+        .when(day % 4 == 1, F.date_format(date, " d/M/yyyy"))
+        .when(day % 4 == 2, F.date_format(date, "dd-MMM-yy"))
+        .otherwise(F.date_format(date, "dd/MM/yyyy HH:mm"))
+        .alias("shipped_date"),
+        F.when(day % 2 == 0, F.date_format(date, "MM/dd/yyyy HH:mm")).otherwise(F.date_format(date, "MM-dd-yy")).alias("paid_date"),
+        F.when(day <= 12, F.date_format(date, "MM-dd-yyyy")).otherwise("soon").alias("due_date"),
+    )
+
+
+def surplus_customers(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Customers as CSV, each seventh with two more cells, the first of them blank; each fifth row twice."""
+    customers = read_table(spark, sf_dir, "customer")
+    more = F.when(F.col("c_custkey") % 7 == 0, ",,surplus").otherwise("")
+    line = F.concat_ws(",", F.col("c_custkey"), F.concat(F.lit("name "), F.col("c_custkey"), more))
+    lines = customers.select(F.explode(F.when(F.col("c_custkey") % 5 == 0, F.array(line, line)).otherwise(F.array(line))).alias("customer_key,name"))
+    # With another separator the lines are written as they are.
+    lines.write.option("header", True).option("sep", "\x01").csv(path)
+
+
+def nations_under_two_headers(spark: SparkSession, sf_dir: str, path: str) -> list[str]:
+    """Two CSV files whose headers follow a blank line and name the columns in another order."""
+    nations = read_table(spark, sf_dir, "nation")
+    written = []
+    for part, columns in enumerate((("n_nationkey", "n_name"), ("n_name", "n_nationkey"))):
+        lines = nations.where(F.col("n_nationkey") % 2 == part).select(F.col("n_nationkey").alias("at"), F.concat_ws(",", *columns).alias("line"))
+        head = spark.createDataFrame([(-2, ""), (-1, ",".join(columns))], "at long, line string")
+        written.append(f"{path}/{part}")
+        head.unionByName(lines.withColumn("at", F.col("at").cast("long"))).coalesce(1).sortWithinPartitions("at").select("line").write.text(written[-1])
+    return written

@@ -455,6 +455,30 @@ def _concentration(key: str) -> str:
     WHERE rank <= 5"""
 
 
+_ORDERED_DATES = """
+SELECT o_orderkey AS order_key, o_orderdate AS d,
+    CASE DAY(o_orderdate) % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 4 END AS form
+FROM orders
+"""
+
+_GROUP_KEYS = {
+    "category": True, "shipstate": True, "shipcity": True, "fulfilment": True, "sales_channel": True,
+    "b2b": True, "sku": False, "status": False, "courier_status": False,
+    "strftime(order_date, '%Y-%m')": False,
+}
+
+
+def _groups(key: str, orders: bool) -> str:
+    name = "order_month" if "(" in key else key
+    return f"""
+    SELECT '{name}' AS key, CAST({key} AS VARCHAR) AS member,
+        {"COUNT(DISTINCT order_id)" if orders else "CAST(NULL AS BIGINT)"} AS total_orders,
+        COUNT(*) AS line_count, {UNITS} AS units_sold, {MONEY} AS revenue
+    FROM sales_orders GROUP BY {key}"""
+
+
+_MONEY_OF = {"monthly_revenue": "monthly_revenue", "cancellation_analysis": "revenue"}
+
 _EXPORTS = {
     "executive_summary": "executive_summary",
     "monthly_revenue": "monthly_revenue",
@@ -585,6 +609,66 @@ ORACLE: dict[str, str] = {
     "concentration_report": over_sales(
         " UNION ALL ".join(_concentration(k) for k in ("category", "shipstate", "sku"))
     ),
+    "cumulative_shares": over_sales(f"""
+        SELECT sku, CAST(r AS DOUBLE) AS revenue, {pct("r", "SUM(r) OVER ()")} AS share_pct,
+            {pct("SUM(r) OVER (ORDER BY r DESC NULLS LAST, sku NULLS FIRST ROWS UNBOUNDED PRECEDING)", "SUM(r) OVER ()")}
+                AS cumulative_share_pct
+        FROM (SELECT sku, SUM(amount) AS r FROM sales_orders GROUP BY sku)"""),
+    "kpi_groups": over_sales(" UNION ALL ".join([
+        f"""SELECT 'everything' AS key, CAST(NULL AS VARCHAR) AS member, {ORDERS} AS total_orders,
+                   COUNT(*) AS line_count, {UNITS} AS units_sold, {MONEY} AS revenue FROM sales_orders""",
+        *(_groups(key, orders) for key, orders in _GROUP_KEYS.items()),
+    ])),
+    "export_suite": over_sales(" UNION ALL ".join(
+        f"SELECT '{name}' AS name, COUNT(*) AS rows, TRUE AS success,"
+        f" ROUND(SUM({_MONEY_OF.get(name, 'total_revenue')}), 2) AS revenue FROM ({KPIS[source]})"
+        for name, source in _EXPORTS.items()
+    )).replace("sales_orders AS (", "sales_orders AS MATERIALIZED (", 1),
+    "read_csv_quoted_lines": f"""
+        SELECT doc_id, CASE WHEN text NOT IN ({_TOKENS}) THEN text END AS text,
+               CASE WHEN lang NOT IN ({_TOKENS}) THEN lang END AS lang FROM documents""",
+    "read_csv_two_headers": "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM nation",
+    "clean_surplus_rows": """
+        SELECT 'customers' AS name, COUNT(*) + COUNT(*) FILTER (c_custkey % 5 = 0) AS raw_rows,
+               COUNT(*) FILTER (c_custkey % 7 <> 0) AS clean_rows,
+               COUNT(*) FILTER (c_custkey % 5 = 0 AND c_custkey % 7 <> 0) AS duplicates_removed,
+               CAST(0 AS BIGINT) AS empty_rows_removed, '' AS null_fills, 'customer_key,name' AS columns,
+               (COUNT(*) FILTER (c_custkey % 7 = 0) + COUNT(*) FILTER (c_custkey % 35 = 0))
+                   || ' rows with more cells than the header' AS warnings, TRUE AS success
+        FROM customer""",
+    "rejected_rows": """
+        SELECT 'more cells than the header' AS reason, c_custkey || ',name ' || c_custkey || ',,surplus' AS record
+        FROM customer, range(2) AS t(copy) WHERE c_custkey % 7 = 0 AND (copy = 0 OR c_custkey % 5 = 0)""",
+    "dates_by_column": f"""
+        SELECT order_key, CAST(d AS DATE) AS shipped_date, CAST(d AS DATE) AS paid_date,
+               CASE WHEN DAY(d) <= 12 THEN CAST(d AS DATE) END AS due_date FROM ({_ORDERED_DATES})""",
+    "clean_ordered_dates": f"""
+        SELECT order_key, CAST(d AS DATE) AS shipped_date, CAST(d AS DATE) AS paid_date,
+               CASE WHEN DAY(d) <= 12 THEN CAST(d AS DATE) END AS due_date FROM ({_ORDERED_DATES})""",
+    "clean_declared_types": """
+        WITH raw AS (
+            SELECT CASE c_custkey % 3 WHEN 0 THEN c_custkey || 'x' WHEN 1 THEN CAST(c_custkey % 50 AS VARCHAR) END AS stock,
+                   CASE WHEN c_custkey % 6 <> 2 THEN c_mktsegment END AS segment
+            FROM customer
+        ), d AS (SELECT DISTINCT * FROM raw),
+        n AS (
+            SELECT COUNT(*) FILTER (segment IS NULL AND stock IS NOT NULL) AS segments,
+                   COUNT(*) FILTER (stock IS NULL AND segment IS NOT NULL) AS stocks,
+                   COUNT(*) FILTER (stock LIKE '%x') AS unfit FROM d
+        )
+        SELECT 'stock' AS name, (SELECT COUNT(*) FROM raw) AS raw_rows,
+               COUNT(*) FILTER (stock IS NOT NULL OR segment IS NOT NULL) AS clean_rows,
+               (SELECT COUNT(*) FROM raw) - COUNT(*) AS duplicates_removed,
+               COUNT(*) FILTER (stock IS NULL AND segment IS NULL) AS empty_rows_removed,
+               concat_ws(',', CASE WHEN any_value(segments) > 0 THEN 'segment=' || any_value(segments) END,
+                         CASE WHEN any_value(stocks) > 0 THEN 'stock=' || any_value(stocks) END) AS null_fills,
+               'stock,segment' AS columns, any_value(unfit) || ' unparsed in stock' AS warnings, TRUE AS success
+        FROM d, n""",
+    "deduplicate_by_digest": "SELECT DISTINCT l_partkey, l_quantity, l_returnflag, l_linestatus, l_tax FROM lineitem",
+    "equal_row_shares": f"""
+        SELECT line_count, {pct("line_count", "SUM(line_count) OVER ()")} AS share_pct
+        FROM (SELECT COUNT(*) AS line_count FROM lineitem GROUP BY l_orderkey)""",
+    "dropped_months": "SELECT COUNT(*) FILTER (DAY(o_orderdate) % 5 = 0) AS dropped FROM orders",
     "cleaning_report": _SALES_REPORT,
     "null_profile": over_sales("""
         SELECT * FROM (

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from tallybook import operators as op
 from tallybook import sinks, sources
-from tallybook.functions import blank_to_null, sanitize, strip, title_case, truncate, upper_code
-from tallybook.plans import cleaning, kpi, reporting
+from tallybook.functions import blank_to_null, sanitize, share_pct, strip, title_case, truncate, upper_code
+from tallybook.plans import cleaning, kpi, reporting, suite
 from tallybook.plans.export import export_all, run_summary
+from tallybook.plans.suite import concentration_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -284,13 +285,114 @@ def narrative_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def concentration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("category", "shipstate", "sku", "amount")
-    sales = sources.sales_orders(spark, sf_dir, columns)
+    return concentration_reports(sources.sales_orders(spark, sf_dir, columns), ("category", "shipstate", "sku"))
+
+
+def cumulative_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every product's share of the revenue, and the share of all products down to it."""
+    sales = sources.sales_orders(spark, sf_dir, ("sku", "amount"))
+    groups = sales.groupBy("sku").agg(F.sum("amount").alias("revenue"))
+    summed = op.with_running_share(groups, "sku", "revenue", fx.scratch(spark, "running") + "/parts")
+    return summed.select(
+        "sku",
+        F.col("revenue").cast("double").alias("revenue"),
+        share_pct(F.col("revenue"), F.col("_whole")).alias("share_pct"),
+        share_pct(F.col("_running"), F.col("_whole")).alias("cumulative_share_pct"),
+    )
+
+
+def kpi_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every group of every exported KPI, from one scan."""
+    groups = suite.kpi_groups(sources.sales_orders(spark, sf_dir, suite.COLUMNS))
+    member = F.coalesce(*(F.when(F.col("key") == k, F.col(k).cast("string")) for k in suite.KEYS))
+    return groups.select(
+        "key", member.alias("member"), "total_orders", F.col("lines").alias("line_count"),
+        F.col("units").alias("units_sold"), F.col("revenue").cast("double").alias("revenue"),
+    )
+
+
+def export_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All exports from one scan, read back from their files; what each holds is told by its sums."""
+    path = fx.scratch(spark, "suite") + "/kpi"
+    report = suite.export_suite(sources.sales_orders(spark, sf_dir, suite.COLUMNS), path)
     parts = []
-    for key in ("category", "shipstate", "sku"):
-        groups = sales.groupBy(key).agg(F.sum("amount").alias("total_revenue"))
-        facts = reporting.concentration_report(groups, key)
-        parts.append(facts.select(F.lit(key).alias("dimension"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+    for name in suite.SUITE:
+        read = sources.read_kpi_typed(spark, path, name)
+        money = next(c for c in ("total_revenue", "monthly_revenue", "revenue") if c in read.columns)
+        parts.append(read.agg(F.lit(name).alias("name"), F.round(F.sum(money), 2).alias("revenue")))
+    return report.select("name", "rows", "success").join(reduce(DataFrame.unionByName, parts), "name")
+
+
+def read_csv_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as CSV, whose texts hold line ends and quotes, read split by split."""
+    path = fx.scratch(spark, "quoted") + "/documents"
+    documents = sources.read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    sinks.write_cleaned(documents, path, "csv")
+    return sources.read_csv_source(spark, path).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+def read_csv_two_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files whose columns stand in another order, each under a blank line."""
+    paths = fx.nations_under_two_headers(spark, sf_dir, fx.scratch(spark, "headers") + "/nations")
+    return sources.read_csv_source(spark, paths)
+
+
+def clean_surplus_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaning report of a source with rows that have more cells than their header."""
+    path = fx.scratch(spark, "surplus")
+    fx.surplus_customers(spark, sf_dir, f"{path}/customers")
+    return _flat_report(cleaning.clean_all(spark, {"customers": f"{path}/customers"}, f"{path}/clean"))
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that the cleaning run put aside."""
+    path = fx.scratch(spark, "rejected")
+    fx.surplus_customers(spark, sf_dir, f"{path}/customers")
+    cleaning.clean_all(spark, {"customers": f"{path}/customers"}, f"{path}/clean")
+    return spark.read.parquet(f"{path}/clean/customers_cleaned_rejected")
+
+
+def dates_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates whose columns prove whether the day or the month stands first."""
+    raw = fx.ordered_dates(spark, sf_dir)
+    return op.detect_and_cast_dates(raw, op.day_first_columns(raw, op.date_columns(raw)))
+
+
+def clean_ordered_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same dates through CSV and the whole cleaning run."""
+    path = fx.scratch(spark, "ordered")
+    sinks.write_cleaned(fx.ordered_dates(spark, sf_dir), f"{path}/dates", "csv")
+    cleaning.clean_all(spark, {"dates": f"{path}/dates"}, f"{path}/clean")
+    return spark.read.parquet(f"{path}/clean/dates_cleaned")
+
+
+def clean_declared_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared types are applied after copies and empty rows go, and cells that do not fit are counted."""
+    customers = sources.read_table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    kind = F.when(key % 3 == 0, F.concat(key, F.lit("x"))).when(key % 3 == 1, (key % 50).cast("string"))
+    raw = customers.select(kind.alias("Stock"), F.when(key % 6 != 2, F.col("c_mktsegment")).alias("Segment"))
+    return _flat_report(cleaning.cleaning_report("stock", raw, {"stock": "bigint"}))
+
+
+def deduplicate_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines without their numbers, which repeat, and with all their columns."""
+    lines = sources.read_table(spark, sf_dir, "lineitem")
+    return op.deduplicate_by_digest(lines.select("l_partkey", "l_quantity", "l_returnflag", "l_linestatus", "l_tax"))
+
+
+def equal_row_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of groups that look alike: each keeps its own."""
+    lines = sources.read_table(spark, sf_dir, "lineitem")
+    groups = lines.groupBy("l_orderkey").agg(F.count("*").alias("line_count")).select("line_count")
+    return op.with_share(groups, "line_count", "share_pct")
+
+
+def dropped_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many days without a readable month a trend leaves out."""
+    orders = sources.read_table(spark, sf_dir, "orders")
+    month = F.when(F.dayofmonth("o_orderdate") % 5 == 0, F.lit("soon")).otherwise(F.date_format("o_orderdate", "MM/yyyy"))
+    return reporting.dropped_months(orders.select(month.alias("order_month")))
 
 
 def _flat_report(report: DataFrame) -> DataFrame:
@@ -372,6 +474,19 @@ QUERIES: dict[str, Query] = {
     "truncate_text": truncate_text,
     "narrative_text": narrative_text,
     "concentration_report": concentration_report,
+    "cumulative_shares": cumulative_shares,
+    "kpi_groups": kpi_groups,
+    "export_suite": export_suite,
+    "read_csv_quoted_lines": read_csv_quoted_lines,
+    "read_csv_two_headers": read_csv_two_headers,
+    "clean_surplus_rows": clean_surplus_rows,
+    "rejected_rows": rejected_rows,
+    "dates_by_column": dates_by_column,
+    "clean_ordered_dates": clean_ordered_dates,
+    "clean_declared_types": clean_declared_types,
+    "deduplicate_by_digest": deduplicate_by_digest,
+    "equal_row_shares": equal_row_shares,
+    "dropped_months": dropped_months,
     "cleaning_report": cleaning_report,
     "null_profile": null_profile,
     "export_report": export_report,

@@ -7,13 +7,15 @@ import json
 import sys
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook import sinks, sources
+from tallybook.operators import unfit_measures
 from tallybook.plans import cleaning, reporting
-from tallybook.plans.export import export_all, run_summary
-from tallybook.session import build_session, input_bytes, size_shuffles
+from tallybook.plans.export import run_summary
+from tallybook.plans.suite import export_suite
+from tallybook.session import build_session, input_bytes, size_shuffles, table_bytes
 
 # The raw inputs by source name.
 RAW_FILES = {
@@ -38,14 +40,33 @@ def load(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def kpi(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    table = spark.table(args.table) if args.table else spark.read.parquet(args.sales)
-    return export_all(cleaning.as_sales_orders(table), args.out)
+    """The export of all KPIs from one scan, in which cells that do not fit the order table are counted as well."""
+    if args.table:
+        table = spark.table(args.table)
+        if not args.shuffle_bytes:
+            size_shuffles(spark, table_bytes(table))
+    else:
+        table = sources.read_csv_source(spark, args.sales) if args.format == "csv" else spark.read.parquet(args.sales)
+    unfit = Observation("unfit")
+    renamed = cleaning.sales_names(table)
+    counted = table.observe(unfit, *unfit_measures(table, cleaning.SALES_SCHEMA, renamed))
+    report = export_suite(cleaning.as_sales_orders(counted), args.out)
+    for column, cells in unfit.get.items():
+        if cells:
+            print(f"{cells} cells of {column} do not fit its type and count as missing")
+    return report
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     run_ts = time.strftime("%Y%m%d_%H%M%S")
     kpis = sources.read_kpi_files(spark, args.kpi, reporting.REPORT_KPIS)
+    dropped = reporting.dropped_months(kpis["monthly_revenue"]).first()["dropped"]
+    if dropped:
+        print(f"{dropped} rows without a readable month are left out of the trend")
     tables = reporting.report_tables(kpis)
+    if args.narrative:
+        text = spark.read.text(args.narrative, wholetext=True).withColumnRenamed("value", "text")
+        tables["narrative"] = reporting.narrative_text(text, "text")
     rows = []
     for name, table in tables.items():
         try:
@@ -77,12 +98,14 @@ def parse(argv: list[str]) -> argparse.Namespace:
     source = stage.add_mutually_exclusive_group(required=True)
     source.add_argument("--sales", help="folder of the cleaned order table")
     source.add_argument("--table", help="name of the loaded order table")
+    stage.add_argument("--format", choices=("parquet", "csv"), default="parquet", help="of the folder")
     stage.add_argument("--out", required=True)
     stage.set_defaults(run=kpi)
 
     stage = stages.add_parser("report", help="KPI files to report tables, latest and archived")
     stage.add_argument("--kpi", required=True)
     stage.add_argument("--out", required=True)
+    stage.add_argument("--narrative", help="a text file to cut and make plain beside the tables")
     stage.set_defaults(run=report)
     return parser.parse_args(argv)
 

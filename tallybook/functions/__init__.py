@@ -1,6 +1,6 @@
 """Column builders made of Spark built-ins only, so every plan stays in generated code."""
 
-from tallybook.functions.dates import month_key, month_label, parse_date, parse_timestamp
+from tallybook.functions.dates import day_parts, month_key, month_label, parse_date, parse_timestamp
 from tallybook.functions.numbers import (
     money_text,
     not_negative,
@@ -20,6 +20,7 @@ from tallybook.functions.text import (
 
 __all__ = [
     "blank_to_null",
+    "day_parts",
     "money_text",
     "month_key",
     "month_label",

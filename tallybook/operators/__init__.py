@@ -3,13 +3,14 @@
 from tallybook.operators.columns import standardize_columns
 from tallybook.operators.profile import (
     count_removed,
+    day_first_columns,
     infer_types,
     null_profile,
     type_evidence,
     unparsed_dates,
 )
-from tallybook.operators.rows import deduplicate, drop_empty_rows
-from tallybook.operators.share import top_k, with_share, with_totals
+from tallybook.operators.rows import deduplicate, deduplicate_by_digest, drop_empty_rows
+from tallybook.operators.share import top_k, with_running_share, with_share, with_totals
 from tallybook.operators.values import (
     apply_schema,
     clean_values,
@@ -19,6 +20,8 @@ from tallybook.operators.values import (
     fill_nulls_numeric,
     fill_nulls_text,
     stringify_objects,
+    unfit_counts,
+    unfit_measures,
 )
 
 __all__ = [
@@ -27,7 +30,9 @@ __all__ = [
     "column_rules",
     "count_removed",
     "date_columns",
+    "day_first_columns",
     "deduplicate",
+    "deduplicate_by_digest",
     "detect_and_cast_dates",
     "drop_empty_rows",
     "fill_nulls_numeric",
@@ -38,7 +43,10 @@ __all__ = [
     "stringify_objects",
     "top_k",
     "type_evidence",
+    "unfit_counts",
+    "unfit_measures",
     "unparsed_dates",
+    "with_running_share",
     "with_share",
     "with_totals",
 ]

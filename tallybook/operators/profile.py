@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.functions import parse_date, strip
+from tallybook.functions import day_parts, parse_date, strip
 from tallybook.functions.numbers import INTEGER, NUMBER
 from tallybook.operators.rows import deduplicate
 
@@ -65,6 +65,58 @@ def _inferred_type() -> Column:
     )
 
 
+def position_evidence(df: DataFrame, cells: list[Column]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with a code per cell, and one aggregate ``e0``, ``e1``, … per position to take over it.
+
+    Each counts cells by their narrowest class, and holds the largest first and second part of dates whose
+    parts are all numbers. The aggregates of parts of a table merge (``merged_evidence``).
+    """
+    kept, n = df.columns, range(len(cells))
+    texts = df.select(*kept, *[c.alias(f"_v{i}") for i, c in enumerate(cells)], *[strip(c).alias(f"_t{i}") for i, c in enumerate(cells)])
+    kinds = texts.select(*kept, *[F.col(f"_t{i}") for i in n], *[_kind(F.col(f"_v{i}"), F.col(f"_t{i}")).alias(f"_k{i}") for i in n])
+    parts = [F.when(F.col(f"_k{i}") == _OTHER, day_parts(F.col(f"_t{i}"))).alias(f"_d{i}") for i in n]
+    coded = kinds.select(*kept, *[f"_k{i}" for i in n], *parts)
+
+    def found(i: int) -> Column:
+        kind, date = F.col(f"_k{i}"), F.col(f"_d{i}")
+        return F.struct(
+            F.count_if(kind.isNull()).alias("empty"),
+            F.count_if(kind == _INTEGER).alias("integers"),
+            F.count_if(kind == _NUMBER).alias("numbers"),
+            F.count_if(kind == _BOOLEAN).alias("booleans"),
+            F.count_if(kind == _OTHER).alias("others"),
+            F.max(date["first"]).alias("first_part"),
+            F.max(date["second"]).alias("second_part"),
+        ).alias(f"e{i}")
+
+    return coded, [found(i) for i in n]
+
+
+def merged_evidence(width: int) -> list[Column]:
+    """The evidence of several parts of a table as one."""
+    sums, most = ("empty", "integers", "numbers", "booleans", "others"), ("first_part", "second_part")
+    return [
+        F.struct(*[F.sum(f"e{i}.{x}").alias(x) for x in sums], *[F.max(f"e{i}.{x}").alias(x) for x in most]).alias(f"e{i}")
+        for i in range(width)
+    ]
+
+
+def day_first_columns(df: DataFrame, columns: Iterable[str] | None = None) -> list[str]:
+    """Text columns whose dates have the day first, as the column proves: one scan, two numbers a column.
+
+    A first part above 12 is no month. Where a second part is above 12 as well, no order reads them all, and
+    where neither is, nothing is proven: then the month stands first.
+    """
+    given = columns if columns is not None else df.columns
+    columns = [c for c in given if isinstance(df.schema[c].dataType, T.StringType)]
+    if not columns:
+        return []
+    coded, found = position_evidence(df.select(*columns), [F.col(c) for c in columns])
+    row = coded.agg(*found).first()
+    parts = [(c, row[f"e{i}"]["first_part"] or 0, row[f"e{i}"]["second_part"] or 0) for i, c in enumerate(columns)]
+    return [c for c, first, second in parts if first > 12 >= second]
+
+
 def infer_types(df: DataFrame) -> dict[str, str]:
     """Inferred type of every text column: one scan, one small row per column on the driver."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -97,9 +149,9 @@ def removal_counts(copies: str, is_empty: Column) -> list[Column]:
     ]
 
 
-def is_unparsed(name: str) -> Column:
+def is_unparsed(name: str, day_first: bool = False) -> Column:
     """True where a text is present but is no date. Cleaning makes it null."""
-    return F.col(name).isNotNull() & parse_date(strip(F.col(name))).isNull()
+    return F.col(name).isNotNull() & parse_date(strip(F.col(name)), day_first=day_first).isNull()
 
 
 def unparsed_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.functions import share_pct
 
@@ -55,3 +56,29 @@ def with_share(groups: DataFrame, value: str, out: str) -> DataFrame:
 def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
     """First ``k`` rows in ``order``: each task keeps k rows, then the best of these stay."""
     return df.orderBy(*order).limit(k)
+
+
+def with_running_share(
+    groups: DataFrame, key: str, value: str, folder: str, total: str = "_whole", running: str = "_running"
+) -> DataFrame:
+    """Add the sum of ``value`` and its running sum from the largest value down, ties by ``key``, null last.
+
+    For any number of groups: they are sorted over all tasks and written to ``folder`` once. Each part's sum
+    is known then, and the sums of all parts before it are added to the running sum inside. Only the sums
+    of the parts reach the driver. ``folder`` must be shared and new; it stays, as the result reads from it.
+    """
+    spark = groups.sparkSession
+    order = [F.desc_nulls_last(value), F.asc_nulls_first(key)]
+    numbered = groups.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered.withColumn("_row", F.monotonically_increasing_id()).write.parquet(folder)
+    rows = spark.read.parquet(folder).withColumn("_part", F.shiftright("_row", 33))
+    kind = groups.agg(F.sum(value).alias("s")).schema["s"].dataType
+    sums, before = [], None
+    for part in rows.groupBy("_part").agg(F.sum(value).alias("s")).orderBy("_part").toLocalIterator():
+        sums.append((part["_part"], before))
+        before = part["s"] if before is None else before if part["s"] is None else before + part["s"]
+    parts = spark.createDataFrame(sums, T.StructType([T.StructField("_part", T.LongType()), T.StructField("_before", kind)]))
+    inside = F.sum(value).over(Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0))
+    summed = F.coalesce(F.col("_before") + F.coalesce(F.col("_inside"), F.lit(0)), F.col("_inside"))
+    met = rows.withColumn("_inside", inside).join(parts, "_part")
+    return met.select(*groups.columns, F.lit(before).cast(kind).alias(total), summed.cast(kind).alias(running))

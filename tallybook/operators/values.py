@@ -79,16 +79,17 @@ def _is_date(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
-def clean_values(df: DataFrame, legacy_substring: bool = False) -> DataFrame:
+def clean_values(df: DataFrame, legacy_substring: bool = False, day_first: Iterable[str] = ()) -> DataFrame:
     """Apply every column's rules, in two projections of one stage.
 
     The first fills and strips. The second reads its columns several times, to test a text and then
-    convert it, so Spark keeps the two apart and fills and strips once.
+    convert it, so Spark keeps the two apart and fills and strips once. ``day_first`` names date columns
+    that are read with the day before the month.
     """
     plan = column_rules(df.schema, legacy_substring)
     fields = [df.schema[name] for name in plan]
     prepared = df.select(*[_prepare(f, plan[f.name]).alias(f.name) for f in fields])
-    return prepared.select(*[_convert(f, plan[f.name]).alias(f.name) for f in fields])
+    return prepared.select(*[_convert(f, plan[f.name], f.name in day_first).alias(f.name) for f in fields])
 
 
 def _prepare(field: T.StructField, rules: list[str]) -> Column:
@@ -104,12 +105,12 @@ def _prepare(field: T.StructField, rules: list[str]) -> Column:
     return column
 
 
-def _convert(field: T.StructField, rules: list[str]) -> Column:
+def _convert(field: T.StructField, rules: list[str], day_first: bool) -> Column:
     column, data_type = F.col(field.name), field.dataType
     for rule in rules:
         match rule:
             case "date":
-                column, data_type = _dated(field.name, column)
+                column, data_type = _dated(field.name, column, day_first)
             case "money":
                 column, data_type = _amount(column, data_type)
             case "sku":
@@ -119,10 +120,10 @@ def _convert(field: T.StructField, rules: list[str]) -> Column:
     return column
 
 
-def _dated(name: str, text: Column) -> tuple[Column, T.DataType]:
+def _dated(name: str, text: Column, day_first: bool = False) -> tuple[Column, T.DataType]:
     if "time" in name:
-        return parse_timestamp(text), T.TimestampNTZType()
-    return parse_date(text), T.DateType()
+        return parse_timestamp(text, day_first), T.TimestampNTZType()
+    return parse_date(text, day_first=day_first), T.DateType()
 
 
 def _amount(column: Column, data_type: T.DataType) -> tuple[Column, T.DataType]:
@@ -136,9 +137,15 @@ def _filled(column: Column, data_type: T.DataType) -> Column:
     return F.coalesce(column, F.lit(NUMBER_FILL).cast(data_type))
 
 
-def detect_and_cast_dates(df: DataFrame) -> DataFrame:
-    """Date columns from text; texts that are no date become null and stay null."""
-    return df.withColumns({c: _dated(c, strip(F.col(c)))[0] for c in date_columns(df)})
+def detect_and_cast_dates(df: DataFrame, day_first: Iterable[str] = ()) -> DataFrame:
+    """Date columns from text; texts that are no date become null and stay null.
+
+    ``day_first`` names columns with the day before the month, such as ``day_first_columns`` finds them. Texts
+    are stripped in a projection of their own, as each form looks at them anew.
+    """
+    dated = date_columns(df)
+    stripped = df.withColumns({c: strip(F.col(c)) for c in dated})
+    return stripped.withColumns({c: _dated(c, F.col(c), c in day_first)[0] for c in dated})
 
 
 def fill_nulls_text(df: DataFrame) -> DataFrame:
@@ -173,11 +180,18 @@ def unfit_counts(
     df: DataFrame, schema: T.StructType | str, renamed: Mapping[str, str] | None = None
 ) -> DataFrame:
     """(column_name, unfit): values of each declared column that ``apply_schema`` turns into null."""
-    declared = _declared(df, schema, renamed)
-    counts = df.agg(*[F.count_if(given.isNotNull() & column.isNull()).alias(name) for name, given, column in declared])
+    counts = df.agg(*unfit_measures(df, schema, renamed))
     return counts.unpivot([], [F.col(_quoted(c)) for c in counts.columns], "column_name", "unfit")
 
 
+def unfit_measures(
+    df: DataFrame, schema: T.StructType | str, renamed: Mapping[str, str] | None = None
+) -> list[Column]:
+    """The counts of ``unfit_counts`` as aggregates over ``df``, to be observed in another run."""
+    declared = _declared(df, schema, renamed)
+    return [F.count_if(given.isNotNull() & column.isNull()).alias(name) for name, given, column in declared]
+
+
 def _declared(
     df: DataFrame, schema: T.StructType | str, renamed: Mapping[str, str] | None
 ) -> list[tuple[str, Column, Column]]:

@@ -64,6 +64,12 @@ def monthly_trend(monthly: DataFrame, month: str = "order_month") -> DataFrame:
     )
 
 
+def dropped_months(monthly: DataFrame, month: str = "order_month") -> DataFrame:
+    """One row: how many rows have no month that can be read, so that ``monthly_trend`` drops them."""
+    readable = F.coalesce(*_month_candidates(month))
+    return monthly.agg(F.count_if(readable.isNull()).alias("dropped"))
+
+
 def category_ranking(categories: DataFrame) -> DataFrame:
     """Categories from least to most revenue."""
     return categories.select("category", "total_revenue").orderBy("total_revenue", "category")
@@ -115,7 +121,7 @@ def _dollars(value: Column, data_type: T.DataType) -> Column:
 
 
 def _count(value: Column, data_type: T.DataType) -> Column:
-    return _number(value, data_type, lambda n: F.format_number(n.cast("bigint"), 0))
+    return _number(value, data_type, lambda n: F.format_number(n.try_cast("bigint"), 0))
 
 
 def _number(value: Column, data_type: T.DataType, show) -> Column:

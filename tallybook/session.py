@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # ANSI and UTC fix the results; the adaptive settings let one plan serve 60 thousand rows and 100 TB:
 # shuffle partitions from the size of the input, which merge when small, and skewed join partitions that split.
@@ -30,6 +30,12 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return system.getContentSummary(place).getLength() if system.exists(place) else 0
 
 
+def table_bytes(table: DataFrame) -> int:
+    """Size of a table as its plan knows it; of files, their length."""
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return min(int(str(size)), 1 << 60)
+
+
 def size_shuffles(spark: SparkSession, size: int) -> None:
     """Set the session's shuffle partitions for ``size`` bytes of input."""
     spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(size)))

@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Mapping
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.functions import blank_to_null
-
-FALLBACK_ENCODING = "ISO-8859-1"
+from tallybook.sources.csv_facts import (
+    CSV_FORMAT,
+    FALLBACK_ENCODING,
+    LINES,
+    RECORDS,
+    CsvFacts,
+    CsvKind,
+    cell_count,
+    csv_facts,
+    file_hash,
+    header_names,
+)
+from tallybook.sources.csv_records import csv_records
+
+__all__ = ["file_encodings", "header_names", "read_csv_facts", "read_csv_source", "read_sources"]
+
+#: The column that holds the text of a record with more cells than its header, where such rows are marked.
+SURPLUS = "surplus\x01record"
 
 
 def read_csv_source(
@@ -22,54 +37,42 @@ def read_csv_source(
     path: str | list[str],
     multi_line: bool = False,
     encoding: str | None = None,
+    facts: CsvFacts | None = None,
+    mark_surplus: bool = False,
 ) -> DataFrame:
     """Read one source, a file or a folder of files with the same columns, in any order.
 
     Without ``encoding`` each file is UTF-8 if all its bytes are, else Latin-1. Each file is read under its
-    own header and columns meet by name; files whose columns differ are refused. A row with more cells than
-    its header is an error. Files with line ends inside quotes are read whole, each by one task;
-    ``multi_line`` does so for all files.
-    """
-    groups: dict[tuple, list[str]] = {}
-    for file in file_facts(spark, path):
-        found = encoding or ("UTF-8" if file["valid"] else FALLBACK_ENCODING)
-        groups.setdefault((found, multi_line or file["open_quote"], file["header"]), []).append(unquote(file["file"]))
-    if not groups:
-        raise ValueError(f"No columns to read from {path}")
-    # One kind of file is read by its folder, so that the list of files does not become part of the plan.
-    parts = [
-        _read(spark, path if len(groups) == 1 else files, files[0], lines, found)
-        for (found, lines, _), files in sorted(groups.items(), key=lambda g: g[1][0])
-    ]
-    for part in parts[1:]:
-        if sorted(part.columns) != sorted(parts[0].columns):
-            raise ValueError(f"files of {path} differ in their columns: {parts[0].columns} and {part.columns}")
-    return reduce(DataFrame.unionByName, parts)
-
-
-def file_facts(spark: SparkSession, path: str | list[str]) -> list[Row]:
-    """(file, valid, open_quote, header) of each file of a source, from one distributed scan.
-
-    Whether all bytes are UTF-8, whether a line ends inside quotes, and the first line. One small row per
-    file reaches the driver, which lists them anyway.
+    own header, the first record that is not blank, and columns meet by name; files whose columns differ are
+    refused. A row with more cells than its header is an error, or with ``mark_surplus`` has its record in one
+    more column, ``SURPLUS``, where its own cells may not be relied on. Files with line ends inside of quoted
+    cells are read split by split like others. Only files whose quotes follow no rule, or all with
+    ``multi_line``, are read whole, each by one task. ``facts`` of an earlier scan save this one's.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
-    return (
-        lines.groupBy("file")
-        .agg(
-            F.bool_and(F.is_valid_utf8("value")).alias("valid"),
-            F.bool_or(quotes % 2 == 1).alias("open_quote"),
-            F.min_by("value", "place").alias("header"),
-        )
-        .collect()
-    )
+    facts = facts or csv_facts(spark, path, multi_line, encoding)
+    names = facts.kinds[0].names
+    parts = [_read(spark, facts, kind, chosen) for kind, chosen in _branches(facts.kinds)]
+    whole = reduce(DataFrame.unionByName, [p.select(*map(_quoted, names), SURPLUS) for p in parts])
+    if mark_surplus:
+        return whole
+    more = F.raise_error(F.concat(F.lit(f"a row of {path} has more cells than its header: "), SURPLUS))
+    kept = whole.where(F.when(F.col(SURPLUS).isNull(), F.lit(True)).otherwise(more.cast("boolean")))
+    return kept.select(*map(_quoted, names))
+
+
+def read_csv_facts(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, encoding: str | None = None
+) -> tuple[DataFrame, CsvFacts]:
+    """A source with surplus rows marked, and what one scan of its lines tells, types and dates included."""
+    facts = csv_facts(spark, path, multi_line, encoding, types=True)
+    return read_csv_source(spark, path, facts=facts, mark_surplus=True), facts
 
 
 def file_encodings(spark: SparkSession, path: str | list[str]) -> dict[str, str]:
     """Encoding of each file of a source: UTF-8 when all its bytes are, else Latin-1."""
-    return {unquote(f["file"]): "UTF-8" if f["valid"] else FALLBACK_ENCODING for f in file_facts(spark, path)}
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("ok"))
+    files = lines.groupBy("file").agg(F.bool_and("ok").alias("valid")).collect()
+    return {unquote(f["file"]): "UTF-8" if f["valid"] else FALLBACK_ENCODING for f in files}
 
 
 def read_sources(
@@ -85,43 +88,50 @@ def read_sources(
     for name, path in sources.items():
         try:
             frames[name] = read_csv_source(spark, path, **(options or {}).get(name, {}))
-        except AnalysisException as error:
-            errors[name] = f"nothing to read at {path}; check the source's path" if _missing(error) else str(error)
-        except ValueError as error:
-            errors[name] = str(error)
+        except (AnalysisException, ValueError) as error:
+            errors[name] = reading_error(path, error)
     return frames, errors
 
 
-def _missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
-def _read(spark: SparkSession, path, one: str, multi_line: bool, encoding: str) -> DataFrame:
-    """Files of the same header as ``one``, all cells as text."""
-    options = {"encoding": encoding, "quote": '"', "escape": '"', "multiLine": str(multi_line)}
-    first = spark.read.options(**options).csv(one).head()
-    if first is None:
-        raise ValueError(f"No columns to read from {one}")
-    names = header_names([value or "" for value in first])
-    surplus = "_surplus"
-    while surplus in names:
-        surplus += "_"
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, surplus]])
-    cells = spark.read.options(**options, header="true", enforceSchema="true").schema(schema).csv(path)
-    more = F.raise_error(F.concat(F.lit(f"a row of {one} has more cells than its header: "), F.col(surplus)))
-    whole = cells.where(F.when(F.col(surplus).isNull(), F.lit(True)).otherwise(more.cast("boolean")))
-    return whole.select(*[blank_to_null(F.col(_quoted(c))).alias(c) for c in names])
-
-
-def header_names(cells: list[str]) -> list[str]:
-    """Header cells as column names: blank ones get a number, repeated ones a suffix."""
-    seen: Counter[str] = Counter()
-    names = []
-    for position, cell in enumerate(cells):
-        name = cell.removeprefix("\ufeff") or f"Unnamed: {position}"
-        repeats, seen[name] = seen[name], seen[name] + 1
-        names.append(f"{name}.{repeats}" if repeats else name)
-    return names
+def reading_error(path: str, error: Exception) -> str:
+    """What to tell about a source that cannot be read."""
+    if isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND":
+        return f"nothing to read at {path}; check the source's path"
+    return str(error)
+
+
+def _branches(kinds: tuple[CsvKind, ...]) -> list[tuple[CsvKind, Column | None]]:
+    """Each kind with the condition that chooses its files: their hashes, or for the most files all other hashes.
+
+    Spark tests the condition on the list of files, so none is opened twice.
+    """
+    if len(kinds) == 1:
+        return [(kinds[0], None)]
+    most = max(kinds, key=lambda k: len(k.files))
+    rest = [h for k in kinds if k is not most for h in k.files]
+    return [(k, ~file_hash().isin(rest) if k is most else file_hash().isin(list(k.files))) for k in kinds]
+
+
+def _read(spark: SparkSession, facts: CsvFacts, kind: CsvKind, chosen: Column | None) -> DataFrame:
+    """The files of a kind: cells as text, and the record of each row with more cells than names."""
+    width = len(kind.names)
+    cells = [f"c{i}" for i in range(width)]
+    fields = [T.StructField(c, T.StringType()) for c in cells]
+    if kind.quoting == RECORDS:
+        records = csv_records(spark, facts.path, chosen, kind.encoding)
+        parsed = F.from_csv("record", F.lit(", ".join(f"{c} string" for c in cells)), {**CSV_FORMAT, "multiLine": "true"})
+        rows = records.select("record", parsed.alias("cells")).select("cells.*", "record")
+    else:
+        options = {**CSV_FORMAT, "encoding": kind.encoding, "multiLine": str(kind.quoting != LINES)}
+        # All cells are parsed, so that a row whose number of cells differs is told apart.
+        options |= {"header": "true", "enforceSchema": "true", "columnPruning": "false", "columnNameOfCorruptRecord": "record"}
+        schema = T.StructType([*fields, T.StructField("record", T.StringType())])
+        rows = spark.read.options(**options).schema(schema).csv(facts.path)
+        rows = rows if chosen is None else rows.where(chosen)
+    # Spark refuses plans that read nothing but the record, so a cell, or rather nothing of it, is part of it.
+    record = F.concat("record", F.left(F.coalesce("c0", F.lit("")), F.lit(0)))
+    surplus = F.when(cell_count(F.col("record")) > width, record).alias(SURPLUS)
+    return rows.select(*[blank_to_null(F.col(c)).alias(n) for c, n in zip(cells, kind.names, strict=True)], surplus)
 
 
 def _quoted(name: str) -> str:
