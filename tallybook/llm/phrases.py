@@ -1,13 +1,13 @@
 """Phrase collocation mining by HAT-trie counting.
 
-Texts are encoded once: word ids of a small dictionary per chunk, 0 between pieces. Phrases are counted
-level by level: words, pairs, then longer phrases made of frequent pairs. A task counts in a HAT-trie: a
-shallow trie over word ids whose leaves are hash containers; a container that grows too large bursts into
-one per next word. When the trie holds too much, whole subtrees leave it as sorted runs, and Spark merges
-the runs per prefix partition.
-
-What is frequent comes back to the tasks as a bitmap of hashes of bounded size. A bitmap has no false
-negatives and counts are checked after the merge, so its size changes the work, never the result.
+Texts are encoded once: word ids of a small dictionary per chunk, 0 between pieces. Level by level, words,
+pairs and triples of frequent pairs are sifted: hashes are counted, and a bitmap of bounded size tells the
+tasks which of them may be frequent. A bitmap has no false negatives and what passes is counted exactly, so
+its size changes the work, never the result.
+
+What passes is counted in a HAT-trie: a shallow trie over word ids whose leaves are hash containers; a
+container that grows too large bursts into one per next word. When the tries of a task hold too much, whole
+subtrees leave them as sorted runs, and Spark merges the runs per prefix partition.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ BURST, TRIE_ENTRIES = 4096, 300_000
 SLICE_BYTES, RUN_ROWS = 4 << 20, 50_000
 #: A word id has 21 bits, so that three of them are one number.
 ID_BITS = 21
+#: Counted hashes that a task holds before they leave it, and hashes that are merged together, about.
+TASK_HASHES, PART_HASHES = 1 << 21, 1 << 22
 #: Bits of a bitmap at most (32 MB), and bits for each entry below that.
 FILTER_BITS, BITS_EACH = 1 << 28, 16
 #: Parts of a prefix, so that a word that starts a third of all phrases is not one partition.
@@ -226,13 +228,13 @@ class _Subtree:
 
 
 class _Frequent:
-    """Whether a hash may belong to a frequent phrase."""
+    """Whether a hash may belong to a frequent phrase; of the hash the bits below ``shift`` are left out."""
 
-    def __init__(self, bitmap: bytes):
-        self.bits = np.frombuffer(bitmap, np.uint8)
+    def __init__(self, bitmap: bytes, shift: int = 0):
+        self.bits, self.shift = np.frombuffer(bitmap, np.uint8), np.uint64(shift)
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes & np.uint64(8 * len(self.bits) - 1)
+        at = hashes >> self.shift & np.uint64(8 * len(self.bits) - 1)
         return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
@@ -240,18 +242,111 @@ def _hashes(values: list[bytes], seed: int) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(v, seed) for v in values), np.uint64, len(values))
 
 
+def _chain(hashes: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Hash of a sequence with one more word."""
+    x = (hashes ^ hashes >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) + following
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ x >> np.uint64(32)
+
+
+class _Sieve:
+    """What the levels below know: bitmaps of frequent words, pairs and triples, as far as there are any."""
+
+    def __init__(self, levels: Sequence[tuple[bytes, int]]):
+        self.levels = [_Frequent(*level) for level in levels]
+
+    def __call__(self, lang: str, words: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """Of the words of a dictionary whether each passes; per level, which places of ``ids`` start a phrase that
+        passes; and the hashes of the phrases one word longer.
+        """
+        own = _hashes(words, xxhash.xxh64_intdigest(lang.encode(), 42))
+        frequent = np.concatenate([[False], self.levels[0](own)])
+        word = np.concatenate([np.zeros(1, np.uint64), own])[ids]
+        end = np.zeros(LONGEST, np.uint64)
+        word = np.concatenate([word, end])
+        passed = [np.concatenate([frequent[ids], np.zeros(LONGEST, bool)])]
+        hashes = word
+        for size, level in enumerate(self.levels[1:], 2):
+            hashes = _chain(hashes, _ahead(word, size - 1))
+            passed.append(passed[-1] & _ahead(passed[-1], 1) & level(hashes))
+        return frequent[1:], passed, _chain(hashes, _ahead(word, len(self.levels)))
+
+
+def _ahead(x: np.ndarray, n: int) -> np.ndarray:
+    """``x`` moved ``n`` places to the front, with nothing behind."""
+    return np.concatenate([x[n:], np.zeros(n, x.dtype)])
+
+
+def _sift(batches: Iterator[pa.RecordBatch], levels: Sequence[tuple[bytes, int]], bits: int) -> Iterator[pa.RecordBatch]:
+    """Counted hashes of phrases one word longer than the last level, whose parts pass it, in 2 ** ``bits`` parts.
+
+    A hash is cut to 32 bits behind those of its part, and a count ends at 255: both can only make more pass.
+    """
+    sieve, held, size = _Sieve(levels), [], 0
+
+    def combined() -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(keys)
+        keys = keys[order]
+        edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return keys[edges], np.add.reduceat(counts[order], edges)
+
+    def flushed(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        part = (keys >> np.uint64(32)).astype(np.int64)
+        edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+        low, few = keys.astype("<u4"), np.minimum(counts, 255).astype(np.uint8)
+        spans = list(zip(edges, edges[1:]))
+        for k in range(0, len(spans), 4096):
+            some = spans[k : k + 4096]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[[a for a, _ in some]], pa.int64())] + [pa.array([x[a:b].tobytes() for a, b in some], pa.binary()) for x in (low, few)],
+                names=["part", "keys", "counts"],
+            )
+
+    for lang, words, ids, tail in _rows(batches):
+        _, passed, hashes = sieve(lang, words, ids)
+        at = np.flatnonzero((passed[-1] & _ahead(passed[-1], 1))[: len(ids) - tail])
+        if len(at):
+            held.append(np.unique(hashes[at] >> np.uint64(32 - bits), return_counts=True))
+            size += len(held[-1][0])
+        if size > 2 * TASK_HASHES:
+            held = [combined()]
+            size = len(held[0][0])
+            if size > TASK_HASHES:
+                yield from flushed(*held[0])
+                held, size = [], 0
+    if held:
+        yield from flushed(*combined())
+
+
+def _frequent_keys(table: pa.Table, least: int) -> pa.Table:
+    """The keys of a part whose counts add up to ``least``."""
+    keys = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("keys").to_pylist()])
+    counts = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()])
+    order = np.argsort(keys)
+    keys = keys[order]
+    edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    many = keys[edges][np.add.reduceat(counts[order].astype(np.int64), edges) >= min(least, 255)]
+    return pa.table({"key": pa.array(table.column("part")[0].as_py() << 32 | many.astype(np.int64))})
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray, int]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words = batch.column(1)[i].values.cast(pa.binary()).to_pylist()
+            ids = batch.column(2)[i].values.to_numpy(zero_copy_only=False)
+            yield batch.column(0)[i].as_py(), words, ids, batch.column(3)[i].as_py()
+
+
 class _Counter:
-    """Counts the phrases of a task and yields sorted runs."""
+    """Counts the phrases of a task in tries and yields sorted runs."""
 
-    def __init__(self, bitmaps: Sequence[bytes], burst: int, limit: int):
-        self.words = _Frequent(bitmaps[0])
-        self.pairs = _Frequent(bitmaps[1]) if len(bitmaps) > 1 else None
-        self.burst, self.limit = burst, limit
+    def __init__(self, levels: Sequence[tuple[bytes, int]], burst: int, limit: int):
+        self.sieve, self.burst, self.limit = _Sieve(levels), burst, limit
         self.tries: dict[str, tuple[HatTrie, _Numbers]] = {}
 
     def add(self, lang: str, words: list[bytes], ids: np.ndarray, tail: int) -> Iterator[pa.RecordBatch]:
-        seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-        frequent = self.words(_hashes(words, seed))
+        frequent, (_, pairs, triples), _ = self.sieve(lang, words, ids)
         trie, numbers = self.tries.setdefault(lang, (HatTrie(self.burst), _Numbers()))
         if len(numbers) + len(words) >= 1 << ID_BITS:  # ids of a trie run out: start anew
             yield from self._spill(lang, 1.0)
@@ -259,33 +354,15 @@ class _Counter:
         own = np.zeros(len(words) + 1, np.int64)
         for k in np.flatnonzero(frequent).tolist():
             own[k + 1] = numbers[words[k]]
-        a = own[ids]
-        starts = len(a) - tail
-        ahead = np.concatenate([a, np.zeros(LONGEST, np.int64)])
-        if self.pairs is None:
-            second = ahead[1 : 1 + starts]
-            at = np.flatnonzero((a[:starts] > 0) & (second > 0))
-            packed, n = np.unique(a[at] << ID_BITS | second[at], return_counts=True)
-            trie.add(packed >> ID_BITS, (packed & ((1 << ID_BITS) - 1)) << (2 * ID_BITS), n)
-        else:
-            # Pairs that may be frequent; a longer phrase is a row of such pairs that overlap.
-            a2, b2 = ahead[:-1], ahead[1:]
-            at = np.flatnonzero((a2 > 0) & (b2 > 0))
-            packed, back = np.unique(a2[at] << ID_BITS | b2[at], return_inverse=True)
-            names = [b"", *numbers]
-            low = (1 << ID_BITS) - 1
-            texts = [names[p >> ID_BITS] + b" " + names[p & low] for p in packed.tolist()]
-            good = np.zeros(len(ahead), bool)
-            good[at] = self.pairs(_hashes(texts, seed))[back]
-            three = good[:-2] & good[1:-1]
-            at = np.flatnonzero(three[:starts])
-            fourth = np.where(good[at + 2], ahead[np.minimum(at + 3, len(ahead) - 1)], 0)
-            rest = ahead[at + 1] << (2 * ID_BITS) | ahead[at + 2] << ID_BITS | fourth
-            order = np.lexsort((rest, ahead[at]))
-            first, rest = ahead[at][order], rest[order]
-            new = np.ones(len(first), bool)
-            new[1:] = (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])
-            edge = np.flatnonzero(new)
+        word = np.concatenate([own[ids], np.zeros(LONGEST, np.int64)])
+        at = np.flatnonzero(pairs[: len(ids) - tail])
+        third = np.where(triples[at], word[at + 2], 0)
+        fourth = np.where(triples[at] & triples[at + 1], word[at + 3], 0)
+        first, rest = word[at], word[at + 1] << (2 * ID_BITS) | third << ID_BITS | fourth
+        order = np.lexsort((rest, first))
+        first, rest = first[order], rest[order]
+        if len(first):
+            edge = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])]))
             trie.add(first[edge], rest[edge], np.diff(np.append(edge, len(first))))
         if sum(t.entries for t, _ in self.tries.values()) > self.limit:
             yield from self._spill(max(self.tries, key=lambda k: self.tries[k][0].entries), 0.5)
@@ -322,20 +399,18 @@ class _Counter:
             yield from self._spill(lang, 1.0)
 
 
-def _runs(batches: Iterator[pa.RecordBatch], bitmaps: Sequence[bytes], burst: int, limit: int) -> Iterator[pa.RecordBatch]:
-    counter = _Counter(bitmaps, burst, limit)
-    for batch in batches:
-        for i in range(batch.num_rows):
-            words = batch.column(1)[i].values.cast(pa.binary()).to_pylist()
-            ids = batch.column(2)[i].values.to_numpy(zero_copy_only=False)
-            yield from counter.add(batch.column(0)[i].as_py(), words, ids, batch.column(3)[i].as_py())
+def _runs(batches: Iterator[pa.RecordBatch], levels: Sequence[tuple[bytes, int]], burst: int, limit: int) -> Iterator[pa.RecordBatch]:
+    counter = _Counter(levels, burst, limit)
+    for row in _rows(batches):
+        yield from counter.add(*row)
     yield from counter.close()
 
 
-def _bitmap(counts: DataFrame, bits: int) -> bytes:
-    """Bits at the hashes of (lang, phrase); at most ``FILTER_BITS`` of them reach the driver."""
-    slot = F.xxhash64("lang", "phrase").bitwiseAND(F.lit(bits - 1)) + 1
-    rows = counts.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+def _bitmap(keys: DataFrame, most: int) -> bytes:
+    """Bits at the low bits of (key); at most ``most`` of them reach the driver."""
+    bits = min(most, max(1 << 15, 1 << (BITS_EACH * max(1, keys.count()) - 1).bit_length()))
+    slot = F.col("key").bitwiseAND(F.lit(bits - 1)) + 1
+    rows = keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
     )
     out = bytearray(bits // 8)
@@ -346,9 +421,11 @@ def _bitmap(counts: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
-def _filter_of(counts: DataFrame, most: int) -> bytes:
-    wanted = BITS_EACH * max(1, counts.count())
-    return _bitmap(counts, min(most, max(1 << 15, 1 << (wanted - 1).bit_length())))
+def _next_level(encoded: DataFrame, levels: list[tuple[bytes, int]], least: int, bits: int, most: int) -> tuple[bytes, int]:
+    """The bitmap of phrases one word longer than the last level has, and how many low bits of a hash it leaves out."""
+    sifted = encoded.mapInArrow(lambda it: _sift(it, levels, bits), "part long, keys binary, counts binary")
+    keys = sifted.groupBy("part").applyInArrow(lambda t: _frequent_keys(t, least), "key long")
+    return _bitmap(cut(keys, "frequent-keys"), most), 32 - bits
 
 
 def _merged(runs: DataFrame, least: int) -> DataFrame:
@@ -391,17 +468,17 @@ def phrase_counts(
     totals = cut(each.groupBy("lang").agg(F.sum("n").alias("total")), "word-totals")
     words = cut(each.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "frequent-words")
     narrow = encoded.select("lang", "words", "ids", "tail")
-    known = [_filter_of(words, filter_bits)]
-    pairs = cut(_merged(narrow.mapInArrow(lambda it: _runs(it, known, burst, trie_entries), RUNS), least), "frequent-pairs")
-    both = [known[0], _filter_of(pairs, filter_bits)]
-    windows = narrow.mapInArrow(lambda it: _runs(it, both, burst, trie_entries), RUNS)
-    # A window of three words and what follows is also one of three words.
-    shorter = F.when(F.size(F.split("phrase", " ")) == LONGEST, F.array(F.lit(3), F.lit(4))).otherwise(F.array(F.lit(3)))
-    windows = windows.withColumn("size", F.explode(shorter)).withColumn(
-        "phrase", F.expr("substring_index(phrase, ' ', size)")
-    )
+    places = encoded.agg(F.sum(F.size("ids"))).first()[0] or 0
+    bits = min(31, max(1, places // PART_HASHES).bit_length())
+    levels = [(_bitmap(words.select(F.xxhash64("lang", "phrase").alias("key")), filter_bits), 0)]
+    for _ in range(2):  # pairs, then triples
+        levels.append(_next_level(narrow, list(levels), least, bits, filter_bits))
+    windows = narrow.mapInArrow(lambda it: _runs(it, levels, burst, trie_entries), RUNS)
+    # A window of several words is also one of the first two, and of the first three.
+    sizes = F.sequence(F.lit(2), F.size(F.split("phrase", " ")))
+    windows = windows.withColumn("size", F.explode(sizes)).withColumn("phrase", F.expr("substring_index(phrase, ' ', size)"))
     longer = cut(_merged(windows, least), "frequent-phrases")
-    found = words.unionByName(pairs).unionByName(longer)
+    found = words.unionByName(longer)
     return found.withColumn("size", F.size(F.split("phrase", " "))), totals
 
 

@@ -160,7 +160,7 @@ def test_a_trie_bursts_and_gives_sorted_runs():
 
 
 def test_a_spill_is_in_the_order_of_its_words():
-    counter = phrases._Counter([b"\xff" * 4096], burst=3, limit=10)
+    counter = phrases._Counter([(b"\xff" * 4096, 0), (b"\xff" * 4096, 30), (bytes(4096), 30)], burst=3, limit=10)
     rng = np.random.default_rng(2)
     words = [b"b", b"a-", b"a", "é".encode(), b"zz"]
     found = Counter()
@@ -182,13 +182,14 @@ def test_a_spill_is_in_the_order_of_its_words():
 
 def test_bitmaps_hold_what_tasks_ask_for(spark):
     rows = [("en", f"word{i}") for i in range(300)] + [("é", "a b"), ("", "ü")]
-    bitmap = phrases._filter_of(spark.createDataFrame(rows, "lang string, phrase string"), 1 << 20)
+    keys = spark.createDataFrame(rows, "lang string, phrase string").select(F.xxhash64("lang", "phrase").alias("key"))
+    frequent = phrases._Frequent(phrases._bitmap(keys, 1 << 20))
     import xxhash
 
     for lang, phrase in rows:
-        assert phrases._Frequent(bitmap)(phrases._hashes([phrase.encode()], xxhash.xxh64_intdigest(lang.encode(), 42))).all()
-    other = phrases._Frequent(bitmap)(phrases._hashes([b"no%d" % i for i in range(300)], xxhash.xxh64_intdigest(b"en", 42)))
-    assert other.mean() < 0.5
+        assert frequent(phrases._hashes([phrase.encode()], xxhash.xxh64_intdigest(lang.encode(), 42))).all()
+    other = phrases._hashes([b"no%d" % i for i in range(300)], xxhash.xxh64_intdigest(b"en", 42))
+    assert frequent(other).mean() < 0.5
 
 
 TEXTS = [
