@@ -297,19 +297,35 @@ def _member_lists(entries: DataFrame, rule: Rule) -> DataFrame:
 def _joined(lists: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
     """The same comparisons with fewer copies of each set: lists that overlap become one, up to ``chunk`` members.
 
-    Lists of parts with more members come second, as they are.
+    Lists with the same smallest member, or with members that share such lists, are put together. Where that
+    gives more members, the lists come second, as they are.
     """
-    leaders = cut(lists.groupBy("list").agg(F.min("id").alias("leader")), "leaders")
-    parts = cut(
-        connected(lists.join(leaders, "list").select(F.col("id").alias("a"), F.col("leader").alias("b"))), "list-parts"
+    first = cut(lists.groupBy("list").agg(F.min("id").alias("first")), "list-firsts")
+    near = cut(lists.join(first, "list").groupBy("id").agg(F.min("first").alias("near")), "near-firsts")
+    names = cut(lists.join(near, "id").groupBy("list").agg(F.min("near").alias("part")), "list-parts")
+    members = cut(lists.join(names, "list").select("part", "id").distinct(), "part-members")
+    sizes = cut(members.groupBy("part").agg(F.count("*").cast("int").alias("members")), "part-sizes")
+    whole = members.join(sizes.where(F.col("members") <= chunk), "part").select(
+        F.col("part").alias("list"), "id", F.col("members").alias("size")
     )
-    sizes = cut(parts.groupBy("component").agg(F.count("*").cast("int").alias("members")), "part-sizes")
-    sized = parts.join(sizes, "component")
-    whole = sized.where(F.col("members") <= chunk).select(
-        F.col("component").alias("list"), F.col("node").alias("id"), F.col("members").alias("size")
-    )
-    wide = sized.where(F.col("members") > chunk).select(F.col("node").alias("id"))
-    return cut(whole, "joined-lists"), cut(lists.join(wide, "id", "left_semi"), "wide-lists")
+    wide = names.join(sizes.where(F.col("members") > chunk), "part", "left_semi").select("list")
+    return cut(whole, "joined-lists"), cut(lists.join(wide, "list", "left_semi"), "wide-lists")
+
+
+def _regrouped(parts: DataFrame, ties: DataFrame) -> DataFrame:
+    """(node, component) after ``ties`` between parts, of which only those that still are apart are followed."""
+    label = parts.select("node", "component")
+    ends = ties.join(label.withColumnRenamed("node", "a").withColumnRenamed("component", "la"), "a", "left")
+    ends = ends.join(label.withColumnRenamed("node", "b").withColumnRenamed("component", "lb"), "b", "left")
+    ends = ends.select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
+    apart = cut(ends.where("la <> lb").select("la", "lb").distinct(), "ties-between-parts")
+    if apart.isEmpty():
+        return parts
+    moved = connected(apart, "la", "lb").select(F.col("node").alias("component"), F.col("component").alias("to"))
+    moved = cut(moved, "moved-parts")
+    known = label.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    alone = moved.join(label.select(F.col("node").alias("component")), "component", "left_anti")
+    return cut(known.unionByName(alone.select(F.col("component").alias("node"), F.col("to").alias("component"))), "parts")
 
 
 def _largest(wide: DataFrame) -> DataFrame:
@@ -442,20 +458,16 @@ def jaccard_components(
     largest = cut(_largest(wide), "largest-lists")
     now = whole.unionByName(wide.join(largest, "list", "left_semi"))
     links = cut(links.unionByName(_compared(now, tokens, rule)).distinct(), "links")
-    parts = connected(links)
+    parts = cut(connected(links), "parts")
     if not wide.isEmpty():
-        parts = cut(parts, "parts")
         rest = cut(_open(wide.join(largest, "list", "left_anti"), "list", parts, "labelled-lists"), "open-lists")
         if not rest.isEmpty():
-            links = cut(links.unionByName(_compared(rest, tokens, rule)).distinct(), "more-links")
-            parts = connected(links)
+            parts = _regrouped(parts, cut(_compared(rest, tokens, rule).distinct(), "more-links"))
     if not long_ones.isEmpty():
-        parts = cut(parts, "parts")
         rest = cut(_across(long_ones, parts, rule), "open-pairs")
         if not rest.isEmpty():
-            links = cut(links.unionByName(_compared(rest, tokens, rule)).distinct(), "all-links")
-            parts = connected(links)
-    parts = cut(parts.select(F.col("node").alias("set_id"), F.col("component").alias("component_id")), "components")
+            parts = _regrouped(parts, cut(_compared(rest, tokens, rule).distinct(), "links-across"))
+    parts = parts.select(F.col("node").alias("set_id"), F.col("component").alias("component_id"))
     ids = sets.select("id", "n", "high", "low").join(classes, ["n", "high", "low"], "left")
     return ids.join(parts, "set_id", "left").select(
         F.col("id").alias(id_col),
