@@ -229,10 +229,73 @@ def test_exchange_finds_classes():
     pairs = np.zeros((6, 6))
     pairs[:2, 2:4] = pairs[2:4, :2] = 10  # two kinds of words that alternate
     pairs[5, 0] = pairs[1, 5] = 1
-    label = class_lm.exchange(pairs, 2, 10)
+    first, second = np.nonzero(pairs)
+    label = class_lm.exchange(class_lm.Neighbours.of(6, first, second, pairs[first, second]), 2, 10)
     assert label[0] == label[1] != label[2] == label[3]
 
 
+def gain(pairs, label):
+    """What the exchange raises, from the whole matrix."""
+    k = max(label) + 1
+    joint = np.zeros((k, k))
+    np.add.at(joint, (np.array(label)[:, None], np.array(label)[None, :]), pairs)
+    weigh = lambda x: (x * np.log(np.maximum(x, 1))).sum()
+    return weigh(joint) - weigh(joint.sum(0)) - weigh(joint.sum(1))
+
+
+def test_exchange_ends_where_no_move_is_better():
+    rng = np.random.default_rng(12)
+    pairs = rng.integers(0, 9, (14, 14)) * rng.integers(0, 2, (14, 14)).astype(float)
+    first, second = np.nonzero(pairs)
+    label = class_lm.exchange(class_lm.Neighbours.of(14, first, second, pairs[first, second]), 4, 100)
+    best = gain(pairs, label)
+    for w in range(12):
+        for c in range(4):
+            other = label.copy()
+            other[w] = c
+            assert gain(pairs, other) <= best + 1e-6
+
+
+def test_lm_score_equals_a_plain_class_model(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(9)] + ["The", "the"], rng.integers(0, 30))) + f" rare{n % 60}" for n in range(150)]
+    texts += [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = [(t or "").lower().split() for t in texts]
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(texts))]
+    counts = Counter(w for ws, h in zip(words, held) if not h for w in ws)
+    ends = held.count(False)
+    total, share = counts.total() + ends, 0.03
+    training = docs.where(~class_lm.held_out(F.col("doc_id")))
+    rows = spark.createDataFrame([(bytearray(w.encode()), n) for w, n in counts.items()], "word binary, count long")
+    model = class_lm.fit(rows, training, "text", (total, len(counts) + 1, ends), share, 3)
+    classes = {w.decode(): c for w, c in model.classes.items()}
+    assert set(classes) == {w for w, n in counts.items() if n >= share * total} and 5 < len(classes) < len(counts)
+    open_class, end, k = model.open_class, model.end_class, max(model.end_class, model.open_class) + 1
+    path = lambda ws: [end, *(classes.get(w, open_class) for w in ws), end]
+    moves = Counter(p for ws, h in zip(words, held) if not h for p in zip(path(ws), path(ws)[1:]))
+    out = Counter()
+    for (a, _), n in moves.items():
+        out[a] += n
+    size = Counter(classes.values())
+    inside = Counter()
+    for w, c in classes.items():
+        inside[c] += counts[w]
+    open_words = sum(n for w, n in counts.items() if w not in classes)
+    open_kinds = len(counts) - len(classes) + 1
+
+    def emission(w):
+        if w in classes:
+            return (counts[w] + 0.5) / (inside[classes[w]] + 0.5 * size[classes[w]])
+        return (counts[w] + 0.5) / (open_words + 0.5 * open_kinds)
+
+    for r in class_lm.lm_scores(docs, share=share, classes=3).collect():
+        ws = words[r["doc_id"]]
+        wanted = sum(np.log10((moves[p] + 0.5) / (out[p[0]] + 0.5 * k)) for p in zip(path(ws), path(ws)[1:]))
+        wanted += sum(np.log10(emission(w)) for w in ws)
+        assert abs(r["score"] - wanted) < 1e-6
+
+
 def test_token_files_round_trip(docs, none):
     from tokenizers import Tokenizer
 
