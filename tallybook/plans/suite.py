@@ -7,8 +7,10 @@ aggregation over these small sums gives every group of every KPI, in one table t
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -182,7 +184,7 @@ SUITE: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def export_suite(sales: DataFrame, root: str) -> DataFrame:
+def export_suite(sales: DataFrame, root: str, at_once: int = 4) -> DataFrame:
     """Export the suite with one scan of ``sales``; a report row per KPI, as ``export_all`` gives.
 
     The groups are written once beside the exports, far smaller than the lines, and removed at the end.
@@ -192,7 +194,12 @@ def export_suite(sales: DataFrame, root: str) -> DataFrame:
     try:
         kpi_groups(sales).write.parquet(own)
         groups = spark.read.parquet(own)
-        rows = [export_kpi(name, Kpi(shape, COLUMNS), groups, root) for name, shape in SUITE.items()]
+
+        def run(item: tuple[str, Callable[[DataFrame], DataFrame]]) -> tuple:
+            return export_kpi(item[0], Kpi(item[1], COLUMNS), groups, root)
+
+        with ThreadPoolExecutor(at_once) as pool:
+            rows = list(pool.map(inheritable_thread_target(spark)(run), SUITE.items()))
     finally:
         remove(spark, own)
     return spark.createDataFrame(rows, EXPORT_SCHEMA)
