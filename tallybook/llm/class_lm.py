@@ -1,12 +1,13 @@
 """Scores by a class-based n-gram model in the manner of Brown clustering.
 
-Exchange clustering puts frequent words into classes so that the classes of neighbours predict each other.
+Every word of the training texts has a class, such that the classes of neighbours predict each other.
 A text's probability is the product, over its words and its end, of the probability of the word's class
-after the class before, and of the word within its class. Words outside the clustered vocabulary share one
+after the class before, and of the word within its class. Words that no training text has share one
 open class; the end of a text has a class of its own, which also stands before the first word.
 
-The clustered vocabulary holds every word with at least ``SHARE`` of all training tokens, so it has at most
-1 / ``SHARE`` words whatever the corpus, and neighbours are counted for pairs that occur.
+Words with at least ``SHARE`` of all training tokens, at most 1 / ``SHARE`` whatever the corpus, are put into classes
+by exchange. Each other word then joins the class that makes its occurrences, all of them counted, the likeliest
+between the classes of their neighbours: words meet by hash, and no task or driver holds them all.
 """
 
 from __future__ import annotations
@@ -18,15 +19,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import cut
 
-#: Least share of the training tokens of a word that the exchange clustering orders into a class.
+#: Least share of the training tokens of a word that the exchange orders into a class; the others follow.
 SHARE = 1e-4
-#: Words whose counts every task holds; at least 1 / SHARE.
+#: Words whose counts and classes every task holds; those of all others meet them by a join.
 HELD = 60_000
+#: Words that join their classes together, and documents whose rare words come back to them together, about.
+PART_WORDS, PART_DOCS = 50_000, 2_000
+#: Rows that leave a scoring task together.
+OUT_ROWS = 100_000
 CLASSES, ROUNDS = 48, 6
 HELD_OUT = 1
 FOLDS = 5
@@ -156,56 +162,87 @@ def exchange(pairs: Neighbours, classes: int, rounds: int) -> np.ndarray:
     return label
 
 
+class _Codes(dict):
+    """Word -> its class, or for a word without one a number from ``first``."""
+
+    def __init__(self, classes: dict[bytes, int], first: int):
+        super().__init__(classes)
+        self.next = first
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = self.next
+        self.next += 1
+        return number
+
+
+def _count_contexts(
+    batches: Iterator[pa.RecordBatch], classes: dict[bytes, int], open_class: int, end: int
+) -> Iterator[pa.RecordBatch]:
+    """A row per word without a class: codes of the classes before it, and from ``k`` after it, and their counts."""
+    k = end + 1
+
+    def counted(run: list[int], codes: _Codes) -> pa.RecordBatch:
+        own = np.array(run)
+        at = np.flatnonzero(own >= k)
+        word, seen = own[at] - k, np.where(own < k, own, open_class)
+        pair, times = np.unique(np.concatenate([word * 2 * k + seen[at - 1], word * 2 * k + k + seen[at + 1]]), return_counts=True)
+        words = list(codes)[len(classes) :]
+        edges = pa.array(np.searchsorted(pair, np.arange(len(words) + 1) * 2 * k), pa.int32())
+        lists = [pa.ListArray.from_arrays(edges, pa.array(x, pa.int32())) for x in (pair % (2 * k), times)]
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *lists], names=["word", "codes", "times"])
+
+    run, codes = [end], _Codes(classes, k)
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            run += map(codes.__getitem__, words_of(text))
+            run.append(end)
+            if len(run) > CHUNK:
+                yield counted(run, codes)
+                run, codes = [end], _Codes(classes, k)
+    yield counted(run, codes)
+
+
+def _joined(table: pa.Table, gain: np.ndarray) -> pa.Table:
+    """Word, count and likeliest class of the words of a part; ``gain`` is that of one neighbour, by code and class."""
+    found = table.column("word").combine_chunks().dictionary_encode()
+    order = pc.sort_indices(found.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    codes, times = (table.column(c).combine_chunks() for c in ("codes", "times"))
+    row = np.repeat(rank[found.indices.to_numpy()], pc.list_value_length(codes).to_numpy())
+    at = row * len(gain) + codes.flatten().to_numpy()
+    seen = np.bincount(at, times.flatten().to_numpy(), len(order) * len(gain)).reshape(len(order), len(gain))
+    # Rounded, so that a tie goes to the first class whatever the last bits are.
+    label = np.round(seen @ gain, 6).argmax(1)
+    count = seen[:, : len(gain) // 2].sum(1).astype(np.int64)
+    return pa.table({"word": found.dictionary.take(pa.array(order)), "count": count, "cls": pa.array(label, pa.int32())})
+
+
 @dataclass
 class Model:
-    """What every task holds: bounded by ``HELD`` words and ``CLASSES`` squared. ``score`` follows from it alone."""
+    """Classes of the words that the exchange ordered, with their counts, and counts of neighbouring classes."""
 
     counts: dict[bytes, int]
     classes: dict[bytes, int]
-    transition: np.ndarray  # log10 P(class | class before)
-    emission: dict[bytes, float]  # log10 P(word | class) of clustered words
-    open_total: float  # denominator of the open class
-    base_total: float
-    ends: int
+    joint: np.ndarray
     open_class: int
     end_class: int
 
+    def gain(self) -> np.ndarray:
+        """Log probability that one occurrence adds: by the class before it, then by the class after it, and by its own."""
+        n, k = self.open_class, self.end_class + 1
+        step = _log_steps(self.joint)
+        inside, members = np.zeros(n), np.zeros(n)
+        for word, c in self.classes.items():
+            inside[c] += self.counts[word]
+            members[c] += 1
+        within = np.log10(inside + 0.5 * members + 0.5)
+        return np.concatenate([step[:, :n] - within, step[:n].T])
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """A row per document, and one per document and distinct word whose count the task doesn't hold."""
-    log, held = np.log10, {}
-    for word, count in model.counts.items():
-        # class, base, emission
-        held[word] = (
-            model.classes.get(word, model.open_class),
-            float(log((count + 0.5) / model.base_total)),
-            model.emission.get(word, float(log((count + 0.5) / model.open_total))),
-        )
-    rare = (model.open_class, 0.0, 0.0)
-    end_base = float(log((model.ends + 0.5) / model.base_total))
-    for batch in batches:
-        out: dict[str, list] = {"row": [], "word": [], "times": [], "n_tokens": [], "n_known": [], "base": [], "score": []}
-        for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = words_of(text)
-            values = [held.get(w, rare) for w in words]
-            classes, base, emission = zip(*values, strict=True) if values else ((), (), ())
-            path = np.array((model.end_class, *classes, model.end_class))
-            unknown = Counter(w for w, v in zip(words, values, strict=True) if v is rare)
-            out["row"].append(row)
-            out["word"].append(None)
-            out["times"].append(None)
-            out["n_tokens"].append(len(words) + 1)
-            out["n_known"].append(len(words) - unknown.total() + (model.ends > 0))
-            out["base"].append(sum(base) + end_base)
-            out["score"].append(sum(emission) + float(model.transition[path[:-1], path[1:]].sum()))
-            for word, times in unknown.items():
-                out["row"].append(row)
-                out["word"].append(word)
-                out["times"].append(times)
-            for name in ("n_tokens", "n_known", "base", "score"):
-                out[name] += [None] * len(unknown)
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+
+def _log_steps(joint: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each class after each, smoothed by one half."""
+    return np.log10((joint + 0.5) / (joint.sum(1, keepdims=True) + 0.5 * len(joint)))
 
 
 def fit(
@@ -216,10 +253,11 @@ def fit(
     share: float = SHARE,
     classes: int = CLASSES,
 ) -> Model:
-    """The model from the words' counts, the training texts and (tokens, distinct tokens, ends)."""
-    tokens, distinct, ends = totals
-    most = counts.orderBy(F.desc("count"), "word").limit(max(HELD, int(1 / share) + 1)).collect()
-    clustered = {bytes(r["word"]): i for i, r in enumerate(r for r in most if r["count"] >= share * tokens)}
+    """Exchange of the words with ``share`` of the tokens, from the words' counts, the training texts and (tokens,
+    distinct tokens, ends). These are at most 1 / ``share`` words; ``word_classes`` adds the others.
+    """
+    most = counts.where(F.col("count") >= F.lit(share * totals[0])).orderBy(F.desc("count"), "word").collect()
+    clustered = {bytes(r["word"]): i for i, r in enumerate(most)}
     size = len(clustered) + 2
     found = training.select(text_col).mapInArrow(lambda it: _count_pairs(it, clustered), "pair long, count long")
     # Pairs of clustered words that occur, a number that the bound on these words bounds.
@@ -227,34 +265,163 @@ def fit(
     pair = sums["pair"].to_numpy(np.int64)
     pairs = Neighbours.of(size, pair // size, pair % size, sums["count"].to_numpy())
     label = exchange(pairs, min(classes, max(1, len(clustered))), ROUNDS)
-    k = int(label.max()) + 1
-    joint = pairs.joint(label)
-    transition = np.log10((joint + 0.5) / (joint.sum(1, keepdims=True) + 0.5 * k))
-    count = {bytes(r["word"]): r["count"] for r in most}
-    inside = np.zeros(k)
-    for word, i in clustered.items():
-        inside[label[i]] += count[word]
-    members = np.bincount(label[: len(clustered)], minlength=k)
-    emission = {
-        w: float(np.log10((count[w] + 0.5) / (inside[label[i]] + 0.5 * members[label[i]]))) for w, i in clustered.items()
-    }
-    open_words = tokens - ends - sum(count[w] for w in clustered)
-    open_kinds = max(0, distinct - (ends > 0) - len(clustered)) + 1  # one more for words not seen
     return Model(
-        counts=count,
+        counts={bytes(r["word"]): r["count"] for r in most},
         classes={w: int(label[i]) for w, i in clustered.items()},
-        transition=transition,
-        emission=emission,
-        open_total=open_words + 0.5 * open_kinds,
-        base_total=tokens + 0.5 * (distinct + 1),
-        ends=ends,
+        joint=pairs.joint(label),
         open_class=int(label[-2]),
         end_class=int(label[-1]),
     )
 
 
+def word_classes(
+    counts: DataFrame, training: DataFrame, text_col: str, model: Model, distinct: int, open_rest: bool = False
+) -> DataFrame:
+    """(word, count, cls) of every training word: those of the model, and each other one in the class that its neighbours
+    make the likeliest, or with ``open_rest`` in the open class.
+    """
+    spark, schema = counts.sparkSession, "word binary, count long, cls int"
+    known = [(bytearray(w), model.counts[w], c) for w, c in model.classes.items()]
+    core = spark.createDataFrame(known, schema)
+    if open_rest:
+        least = min(model.counts.values(), default=None)
+        # The words of the model are all that occur as often as the rarest of them.
+        rest = counts if least is None else counts.where(F.col("count") < least)
+        rest = rest.select("word", "count", F.lit(model.open_class).alias("cls"))
+    else:
+        classes, open_class, end = model.classes, model.open_class, model.end_class
+        gain = model.gain()
+        found = training.select(text_col).mapInArrow(
+            lambda it: _count_contexts(it, classes, open_class, end), "word binary, codes array<int>, times array<int>"
+        )
+        part = F.pmod(F.xxhash64("word"), F.lit(-(-distinct // PART_WORDS) or 1))
+        rest = found.groupBy(part.alias("part")).applyInArrow(lambda t: _joined(t, gain), schema)
+    return cut(core.unionByName(rest), "word-classes")
+
+
+@dataclass
+class Scale:
+    """What scores follow from beside counts and classes: the denominators, and the end of a text."""
+
+    within: np.ndarray  # by class
+    base: float
+    ends: int
+    open_class: int
+    end_class: int
+
+    @property
+    def kind(self) -> type:
+        """Of a class in a path."""
+        return np.uint8 if self.end_class < 256 else np.uint16
+
+
+def _paths(batches: Iterator[pa.RecordBatch], held: dict[bytes, tuple[int, int]], scale: Scale) -> Iterator[pa.RecordBatch]:
+    """A row per document with the classes of its tokens, and one per document and distinct word that the task
+    doesn't hold, with its places.
+    """
+    number = {w: i for i, w in enumerate(held)}.get
+    # The last place stands for a word that is not held.
+    count = np.array([n for n, _ in held.values()] + [0])
+    label = np.array([c for _, c in held.values()] + [scale.open_class])
+    base, inside = np.log10((count + 0.5) / scale.base), np.log10((count + 0.5) / scale.within[label])
+    base[-1] = inside[-1] = 0.0
+    end_base = float(np.log10((scale.ends + 0.5) / scale.base))
+    schema = pa.schema(
+        [("row", pa.int64()), ("word", pa.binary()), ("at", pa.binary()), ("id", pa.string()), ("n_tokens", pa.int64()),
+         ("base", pa.float64()), ("inside", pa.float64()), ("path", pa.binary())]
+    )
+    out: list[tuple] = []
+
+    def flushed() -> pa.RecordBatch:
+        columns = zip(*out, strict=True) if out else [()] * len(schema)
+        made = pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema, strict=True)], schema=schema)
+        out.clear()
+        return made
+
+    for batch in batches:
+        for row, id_, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            words = words_of(text)
+            own = np.array([number(w, -1) for w in words], np.int64)
+            path = np.append(label[own], scale.end_class).astype(scale.kind)
+            out.append((row, None, None, id_, len(path), float(base[own].sum()) + end_base, float(inside[own].sum()), path.tobytes()))
+            places: dict[bytes, list[int]] = {}
+            for i in np.flatnonzero(own < 0).tolist():
+                places.setdefault(words[i], []).append(i)
+            out += [(row, word, np.array(at, np.int32).tobytes(), *[None] * 5) for word, at in places.items()]
+            if len(out) > OUT_ROWS:
+                yield flushed()
+    yield flushed()
+
+
+PATHS = "id string, n_tokens long, n_known long, base double, inside double, path binary"
+
+
+def _completed(own: pa.Table, rare: pa.Table, scale: Scale) -> pa.Table:
+    """Documents of a part with the classes, counts and probabilities of their rare words."""
+    own = own.sort_by("row")
+    rows, n_tokens = own.column("row").to_numpy(), own.column("n_tokens").to_numpy()
+    path = np.frombuffer(b"".join(own.column("path").to_pylist()), scale.kind).copy()
+    start = np.cumsum(n_tokens) - n_tokens
+    at = np.frombuffer(b"".join(rare.column("at").to_pylist()), np.int32)
+    times = pc.binary_length(rare.column("at")).to_numpy().astype(np.int64) // 4
+    doc = np.searchsorted(rows, rare.column("of").to_numpy())
+    count = pc.fill_null(rare.column("count"), 0).to_numpy()
+    label = pc.fill_null(rare.column("cls"), scale.open_class).to_numpy()
+    path[np.repeat(start[doc], times) + at] = np.repeat(label, times)
+    # By document and place, so that sums of doubles do not depend on the order of arrival.
+    order = np.lexsort((at[np.cumsum(times) - times], doc))
+    doc, times, count, label = doc[order], times[order], count[order], label[order]
+
+    def sums(values: np.ndarray) -> np.ndarray:
+        return np.bincount(doc, values, len(rows))
+
+    unseen = sums(times * (count == 0)).astype(np.int64)
+    edges = np.concatenate([start, [len(path)]]) * path.itemsize
+    data = path.tobytes()
+    return pa.table(
+        {
+            "id": own.column("id"),
+            "n_tokens": n_tokens,
+            "n_known": n_tokens - unseen - (scale.ends == 0),
+            "base": own.column("base").to_numpy() + sums(times * np.log10((count + 0.5) / scale.base)),
+            "inside": own.column("inside").to_numpy() + sums(times * np.log10((count + 0.5) / scale.within[label])),
+            "path": pa.array([data[a:b] for a, b in zip(edges[:-1], edges[1:])], pa.binary()),
+        }
+    )
+
+
+def _steps(paths: pa.Array, scale: Scale) -> np.ndarray:
+    """Steps from class to class of some documents as numbers: each path ends with the end, which the next one follows."""
+    flat = np.frombuffer(b"".join(paths.to_pylist()), scale.kind).astype(np.int64)
+    before = np.concatenate([[scale.end_class], flat[:-1]])
+    return before[: len(flat)] * (scale.end_class + 1) + flat
+
+
+def _count_steps(batches: Iterator[pa.RecordBatch], scale: Scale) -> Iterator[pa.RecordBatch]:
+    size = (scale.end_class + 1) ** 2
+    counts = np.zeros(size, np.int64)
+    for batch in batches:
+        counts += np.bincount(_steps(batch.column(0), scale), minlength=size)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["step", "count"])
+
+
+def _score(batches: Iterator[pa.RecordBatch], step: np.ndarray, scale: Scale) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            tokens = batch.column(1).to_numpy()
+            along = np.add.reduceat(step.ravel()[_steps(batch.column(5), scale)], np.cumsum(tokens) - tokens)
+            score = pa.array(batch.column(4).to_numpy() + along)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], score], names=["id", "n_tokens", "n_known", "base", "score"])
+
+
 def lm_scores(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE, classes: int = CLASSES
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    share: float | None = None,
+    classes: int = CLASSES,
+    core: float = SHARE,
 ) -> DataFrame:
     """One row per document: ``id_col``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
     ``score`` and ``perplexity`` (of ``score``, per token).
@@ -263,11 +430,13 @@ def lm_scores(
     split at white space, A-Z lower-cased, and each text ends with one more token; a null text is empty, so
     only its end is scored. Logarithms are to base 10; all probabilities are smoothed by one half. Rows with
     equal ids are scored each. A null id is in no held-out fold. Other columns are left out. An empty table
-    gives an empty result, and without training texts every word is unseen. Words with at least ``share`` of
-    the training tokens are put into ``classes``; all others share the open class and keep counts of their own.
+    gives an empty result, and without training texts every word is unseen. Every training word is in one of
+    ``classes``: those with at least ``core`` of the tokens by exchange, each other one where its neighbours' classes
+    make it the likeliest. Only if ``share`` is given, words below that share are left in the open class instead.
 
-    Counts of the most frequent words go to every task, a fixed number; those of all others meet their words
-    by a join, one row per document and distinct word. Sums per task come before each shuffle.
+    Counts and classes of the most frequent words go to every task, a fixed number; those of all others meet their
+    words by a join, one row per document and distinct word, and go back to their documents. Steps between
+    classes are then counted over all training texts.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))
     training = rows.where(~F.col("held_out"))
@@ -276,49 +445,50 @@ def lm_scores(
         .groupBy("word").agg(F.sum("count").alias("count")),
         "word-counts",
     )
-    ends = training.count()
+    n_docs, ends = rows.agg(F.count("*"), F.count_if(~F.col("held_out"))).first()
     seen = counts.agg(F.sum("count").alias("tokens"), F.count("*").alias("words")).first()
     totals = ((seen["tokens"] or 0) + ends, seen["words"] + (ends > 0), ends)
-    model = fit(counts, training, "text", totals, share, classes)
+    model = fit(counts, training, "text", totals, core if share is None else share, classes)
+    classed = word_classes(counts, training, "text", model, totals[1], share is not None)
+    within = np.zeros(model.end_class + 1)
+    within[model.open_class] = 0.5  # for words not seen
+    for r in classed.groupBy("cls").agg(F.sum("count").alias("inside"), F.count("*").alias("members")).collect():
+        within[r["cls"]] += r["inside"] + 0.5 * r["members"]
+    scale = Scale(within, totals[0] + 0.5 * (totals[1] + 1), ends, model.open_class, model.end_class)
+    most = classed.orderBy(F.desc("count"), "word").limit(HELD).collect()
+    held = {bytes(r["word"]): (r["count"], r["cls"]) for r in most}
     # A number for each row lets rows with equal ids apart; it lives in this written table only.
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("string"), "text")
     scored = cut(
-        rows.select(F.monotonically_increasing_id().alias("row"), "id", "text").mapInArrow(
-            lambda it: _with_id(it, model),
-            "row long, word binary, times long, n_tokens long, n_known long, base double, score double, id string",
+        numbered.mapInArrow(
+            lambda it: _paths(it, held, scale),
+            "row long, word binary, at binary, id string, n_tokens long, base double, inside double, path binary",
         ),
         "scored",
     )
-    rare = scored.where("word is not null").select("row", "word", "times").join(counts, "word", "left")
-    seen_times = F.coalesce("count", F.lit(0))
-    sums = rare.groupBy("row").agg(
-        F.sum(F.when(seen_times > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * F.log10((seen_times + 0.5) / model.base_total)).alias("more_base"),
-        F.sum(F.col("times") * F.log10((seen_times + 0.5) / model.open_total)).alias("more_score"),
+    parts = F.lit(-(-n_docs // PART_DOCS) or 1)
+    rare = scored.where("word is not null").select("row", "word", "at").join(classed, "word", "left")
+    rare = rare.select(F.pmod(F.xxhash64("row"), parts).alias("part"), F.col("row").alias("of"), "at", "count", "cls")
+    own = scored.where("word is null").select(F.pmod(F.xxhash64("row"), parts).alias("part"), "row", "id", "n_tokens", "base", "inside", "path")
+    both = own.groupBy("part").cogroup(rare.groupBy("part"))
+    paths = cut(both.applyInArrow(lambda a, b: _completed(a, b, scale), PATHS), "paths")
+    moves = paths.where(~held_out(F.col("id"))).select("path").mapInArrow(
+        lambda it: _count_steps(it, scale), "step long, count long"
+    )
+    joint = np.zeros((model.end_class + 1) ** 2)
+    for r in moves.groupBy("step").agg(F.sum("count").alias("count")).collect():
+        joint[r["step"]] = r["count"]
+    step = _log_steps(joint.reshape(model.end_class + 1, -1))
+    out = paths.mapInArrow(
+        lambda it: _score(it, step, scale), "id string, n_tokens long, n_known long, base double, score double"
     )
-    own = scored.where("word is null").join(sums, "row", "left")
-    id_type = docs.schema[id_col].dataType
-    score = F.col("score") + F.coalesce("more_score", F.lit(0.0))
-    return own.select(
-        F.col("id").cast(id_type).alias(id_col),
+    return out.select(
+        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col),
         held_out(F.col("id")).alias("held_out"),
         "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        "n_known",
         F.lit(totals[0]).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        score.alias("score"),
-        F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
+        F.col("base").alias("base_score"),
+        "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )
-
-
-def _with_id(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    def light() -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids.update(zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.string()).to_pylist(), strict=True))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["row", "text"])
-
-    ids: dict[int, str | None] = {}
-    for out in _score(light(), model):
-        words = out.column(1).to_pylist()
-        own = [ids[r] if w is None else None for r, w in zip(out.column(0).to_pylist(), words, strict=True)]
-        ids.clear()
-        yield pa.RecordBatch.from_arrays([*out.columns, pa.array(own, pa.string())], names=[*out.schema.names, "id"])

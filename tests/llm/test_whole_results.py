@@ -1,6 +1,7 @@
 """Results that must be whole: links in long lists, rows that share an id, names that clash, order of files."""
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -8,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tallybook.llm import embeddings, exact_dedup, jaccard, mixing, packing, quality, sharding, token_counts
+from tallybook.llm import class_lm, embeddings, exact_dedup, jaccard, mixing, packing, quality, sharding, token_counts
 from tallybook.llm.common import collapsed, word_count
 from tallybook.llm.queries import tokenizer_file
 
@@ -275,3 +276,58 @@ def test_bounds_decide_nothing_wrong():
     assert q.q.dtype == np.int8
     linked, open_ = embeddings.tile_masks(q, q, 0.9, False)
     assert (cosine[linked] >= 0.9).all() and (cosine[~linked & ~open_] < 0.9).all() and open_.mean() < 0.2 and linked.any()
+
+
+def test_every_training_word_has_a_class(spark):
+    """Two kinds of words alternate; rare words of either kind join the class of their kind, none is left open."""
+    rng = np.random.default_rng(9)
+    kinds = [[f"{k}{i}" for i in range(4)] for k in "ab"]
+    texts = []
+    for n in range(200):
+        words = [str(rng.choice(kinds[i % 2])) for i in range(12)]
+        words[4 + n % 2] = f"rare{n % 2}x{n % 26}"  # in place of a word of its kind
+        texts.append(" ".join(words))
+    texts += [None, "new words"]
+    ids = [*range(201), next(i for i in range(201, 300) if zlib.crc32(str(i).encode()) % 5 == 1)]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    words = [(t or "").split() for t in texts]
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i in ids]
+    counts = Counter(w for ws, h in zip(words, held) if not h for w in ws)
+    ends = held.count(False)
+    total, core = counts.total() + ends, 0.02
+    training = docs.where(~class_lm.held_out(F.col("doc_id")))
+    table = spark.createDataFrame([(bytearray(w.encode()), n) for w, n in counts.items()], "word binary, count long")
+    model = class_lm.fit(table, training, "text", (total, len(counts) + 1, ends), core, 2)
+    rows = class_lm.word_classes(table, training, "text", model, len(counts)).collect()
+    label = {bytes(r["word"]).decode(): r["cls"] for r in rows}
+    assert {bytes(r["word"]).decode(): r["count"] for r in rows} == counts
+    kind = {w: label[w[0] + "0"] if w[0] in "ab" else label["ab"[int(w[4])] + "0"] for w in label}
+    assert label == kind and len(set(label.values())) == 2 and len(model.classes) == 8
+    k, end = model.end_class + 1, model.end_class
+    path = lambda ws: [end, *(label.get(w, model.open_class) for w in ws), end]
+    moves = Counter(p for ws, h in zip(words, held) if not h for p in zip(path(ws), path(ws)[1:]))
+    out, inside, size = Counter(), Counter(), Counter(label.values())
+    for (a, _), n in moves.items():
+        out[a] += n
+    for w, c in label.items():
+        inside[c] += counts[w]
+    got = {r["doc_id"]: r for r in class_lm.lm_scores(docs, classes=2, core=core).collect()}
+    assert len(got) == 202
+    for n, ws in zip(ids, words):
+        wanted = sum(np.log10((moves[p] + 0.5) / (out[p[0]] + 0.5 * k)) for p in zip(path(ws), path(ws)[1:]))
+        wanted += sum(np.log10((counts[w] + 0.5) / (inside[label[w]] + 0.5 * size[label[w]])) for w in ws if w in label)
+        assert abs(got[n]["score"] - wanted) < 1e-6
+        assert got[n]["n_known"] == sum(w in counts for w in ws) + 1
+
+
+def test_lm_scores_do_not_depend_on_what_tasks_hold(spark, monkeypatch):
+    """Words that no task holds meet their documents by the join, several times in a text or once."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(60)], rng.integers(0, 90))) for _ in range(120)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "w1 w1 unheard"), (3, "w2")], "doc_id long, text string").repartition(3)
+    read = lambda: sorted((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in class_lm.lm_scores(docs, core=0.02).collect())
+    wanted = read()
+    monkeypatch.setattr(class_lm, "HELD", 5)
+    monkeypatch.setattr(class_lm, "PART_DOCS", 7)
+    monkeypatch.setattr(class_lm, "PART_WORDS", 9)
+    assert read() == wanted and len(wanted) == 122
