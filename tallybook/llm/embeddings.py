@@ -53,28 +53,45 @@ def quantise(x: np.ndarray) -> Quantised:
 
 
 def tile_masks(x: Quantised, y: Quantised, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Which pairs link for certain, and which the bound leaves open; of one block with itself, each pair once."""
-    # Integer sums up to 127 * 127 * dimensions are exact in float32 up to 1040 dimensions, in double beyond.
-    kind = np.float32 if 127 * 127 * x.q.shape[1] < 1 << 24 else np.float64
+    """Which pairs link for certain, and which the bound leaves open; of one block with itself, each pair once.
+
+    One product in float32 and one comparison leave out what lies below the widest bound of the tile; only rows and
+    columns with a pair beyond it are compared by their own bounds.
+    """
     linked, open_ = np.zeros((len(x), len(y)), bool), np.zeros((len(x), len(y)), bool)
-    right = y.q.T.astype(kind)
-    step = max(1, STRIP // (8 * max(1, len(y))))
+    if not len(x) or not len(y):
+        return linked, open_
+    dimensions = x.q.shape[1]
+    # Rounding of scaled components, products and sums in float32, for rounded vectors of a length up to 1 + error.
+    slack = (dimensions + 8) * 2.0**-22 * float(x.length.max() * y.length.max())
+    least = np.float32(threshold - MARGIN - slack - float(x.error.max() + x.length.max() * y.error.max()))
+    right = (y.q * y.scale[:, None]).astype(np.float32).T
+    step = max(1, STRIP // (8 * len(y)))
     for a in range(0, len(x), step):
         own = x[a : a + step]
-        # The cosine lies within the bound of product * scale * scale; all is divided by the scales.
-        product = own.q.astype(kind) @ right
-        bound = own.error[:, None] + own.length[:, None] * y.error[None, :]
-        scales = own.scale[:, None] * y.scale[None, :]
-        above = product >= (threshold + MARGIN + bound) / scales
-        below = product < (threshold - MARGIN - bound) / scales
-        linked[a : a + step], open_[a : a + step] = above, ~above & ~below
-    if same:
-        upper = np.triu(np.ones((len(x), len(x)), bool), 1)
-        linked &= upper
-        open_ &= upper
+        near = (own.q * own.scale[:, None]).astype(np.float32) @ right >= np.nextafter(least, np.float32(-np.inf))
+        if same:
+            near &= np.arange(len(y))[None, :] > np.arange(a, a + len(own))[:, None]
+        rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+        if len(rows):
+            above, unsure = _by_bound(own[rows], y[columns], threshold)
+            near = near[np.ix_(rows, columns)]
+            at = np.ix_(a + rows, columns)
+            linked[at], open_[at] = above & near, unsure & near
     return linked, open_
 
 
+def _by_bound(x: Quantised, y: Quantised, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    # Integer sums up to 127 * 127 * dimensions are exact in float32 up to 1040 dimensions, in double beyond.
+    kind = np.float32 if 127 * 127 * x.q.shape[1] < 1 << 24 else np.float64
+    # The cosine lies within the bound of product * scale * scale; all is divided by the scales.
+    product = x.q.astype(kind) @ y.q.T.astype(kind)
+    bound = x.error[:, None] + x.length[:, None] * y.error[None, :]
+    scales = x.scale[:, None] * y.scale[None, :]
+    above = product >= (threshold + MARGIN + bound) / scales
+    return above, ~above & (product >= (threshold - MARGIN - bound) / scales)
+
+
 def exact_links(x: np.ndarray, y: np.ndarray, open_: np.ndarray, threshold: float) -> np.ndarray:
     """Of the open pairs, those whose cosine in double precision reaches the threshold."""
     out = np.zeros_like(open_)
@@ -134,8 +151,11 @@ class _Tile:
         n = len(self.table)
         cls, weight = self.table.column("cls").to_numpy(), self.table.column("weight").to_numpy()
         links, unsure = np.zeros(n, np.int64), np.zeros(n, bool)
-        links[self.x] += (linked @ weight[self.y].astype(float)).astype(np.int64)
-        links[self.y] += (weight[self.x].astype(float) @ linked).astype(np.int64)
+        # Only rows and columns with links, as products turn all of a mask into doubles.
+        rows, columns = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+        own = linked[np.ix_(rows, columns)]
+        links[self.x[rows]] += (own @ weight[self.y[columns]].astype(float)).astype(np.int64)
+        links[self.y[columns]] += (weight[self.x[rows]].astype(float) @ own).astype(np.int64)
         if open_ is not None:
             unsure[self.x] |= open_.any(axis=1)
             unsure[self.y] |= open_.any(axis=0)

@@ -331,3 +331,22 @@ def test_lm_scores_do_not_depend_on_what_tasks_hold(spark, monkeypatch):
     monkeypatch.setattr(class_lm, "PART_DOCS", 7)
     monkeypatch.setattr(class_lm, "PART_WORDS", 9)
     assert read() == wanted and len(wanted) == 122
+
+
+def test_tiles_compare_by_bounds_only_what_is_near(monkeypatch):
+    """The masks are those of all bounds, though rows and columns that are far from all others are not compared by them."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(300, 24))
+    x, y = base, np.concatenate([base[:9] + rng.normal(size=(9, 24)) * 0.3, rng.normal(size=(200, 24)) * 1e6, base[:3] * 2])
+    a, b = embeddings.quantise(x), embeddings.quantise(y)
+    monkeypatch.setattr(embeddings, "STRIP", 1 << 16)
+    for p, q, same in ((a, b, False), (b, b, True)):
+        whole = embeddings._by_bound(p, q, 0.9)
+        part = np.triu(np.ones((len(p), len(q)), bool), 1) if same else np.ones((len(p), len(q)), bool)
+        compared = []
+        with monkeypatch.context() as patch:
+            by_bound = embeddings._by_bound
+            patch.setattr(embeddings, "_by_bound", lambda s, t, u: compared.append(len(s) * len(t)) or by_bound(s, t, u))
+            got = embeddings.tile_masks(p, q, 0.9, same)
+        assert all((g == w & part).all() for g, w in zip(got, whole)) and got[0].any()
+        assert 0 < sum(compared) < len(p) * len(q) / 20
