@@ -36,7 +36,7 @@ SLICE_BYTES, RUN_ROWS = 4 << 20, 50_000
 #: A word id has 21 bits, so that three of them are one number.
 ID_BITS = 21
 #: Counted hashes that a task holds before they leave it, and hashes that are merged together, about.
-TASK_HASHES, PART_HASHES = 1 << 21, 1 << 22
+TASK_HASHES, PART_HASHES = 1 << 20, 1 << 22
 #: Bits of a bitmap at most (32 MB), and bits for each entry below that.
 FILTER_BITS, BITS_EACH = 1 << 28, 16
 #: Parts of a prefix, so that a word that starts a third of all phrases is not one partition.
@@ -368,12 +368,14 @@ class _Counter:
             yield from self._spill(max(self.tries, key=lambda k: self.tries[k][0].entries), 0.5)
 
     def _spill(self, lang: str, share: float) -> Iterator[pa.RecordBatch]:
-        """Whole subtrees as one sorted run: by first words, then by the words that follow."""
+        """Whole subtrees as one sorted run: by first words, then by the words that follow. Each phrase of two to four
+        words is one row; a window counts for its first two and its first three words as well.
+        """
         trie, numbers = self.tries[lang]
         heads = trie.largest(share)
         if not heads:
             return
-        first, rest, n = trie.take(heads)
+        first, rest, n = _with_prefixes(*trie.take(heads))
         low = (1 << ID_BITS) - 1
         ids = [first, rest >> (2 * ID_BITS), rest >> ID_BITS & low, rest & low]
         names = [b"", *numbers]
@@ -399,6 +401,21 @@ class _Counter:
             yield from self._spill(lang, 1.0)
 
 
+def _with_prefixes(first: np.ndarray, rest: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of the phrases that windows of different words begin with, from the longest to pairs."""
+    out = []
+    for bits in (0, ID_BITS, 2 * ID_BITS):
+        cut_off = rest >> bits << bits
+        at = np.flatnonzero(rest >> bits & ((1 << ID_BITS) - 1))  # windows as long as that
+        head, tail, own = first[at], cut_off[at], n[at]
+        order = np.lexsort((tail, head))
+        head, tail, own = head[order], tail[order], own[order]
+        edges = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])])[: len(at)])
+        if len(at):
+            out.append((head[edges], tail[edges], np.add.reduceat(own, edges)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def _runs(batches: Iterator[pa.RecordBatch], levels: Sequence[tuple[bytes, int]], burst: int, limit: int) -> Iterator[pa.RecordBatch]:
     counter = _Counter(levels, burst, limit)
     for row in _rows(batches):
@@ -473,11 +490,8 @@ def phrase_counts(
     levels = [(_bitmap(words.select(F.xxhash64("lang", "phrase").alias("key")), filter_bits), 0)]
     for _ in range(2):  # pairs, then triples
         levels.append(_next_level(narrow, list(levels), least, bits, filter_bits))
-    windows = narrow.mapInArrow(lambda it: _runs(it, levels, burst, trie_entries), RUNS)
-    # A window of several words is also one of the first two, and of the first three.
-    sizes = F.sequence(F.lit(2), F.size(F.split("phrase", " ")))
-    windows = windows.withColumn("size", F.explode(sizes)).withColumn("phrase", F.expr("substring_index(phrase, ' ', size)"))
-    longer = cut(_merged(windows, least), "frequent-phrases")
+    runs = narrow.mapInArrow(lambda it: _runs(it, levels, burst, trie_entries), RUNS)
+    longer = cut(_merged(runs, least), "frequent-phrases")
     found = words.unionByName(longer)
     return found.withColumn("size", F.size(F.split("phrase", " "))), totals
 

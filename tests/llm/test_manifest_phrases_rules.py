@@ -244,3 +244,21 @@ def test_policies_and_ablations_follow_from_the_bits(spark):
 def test_ledger_runs_in_the_jvm(docs):
     plan = rule_ledger.ledger(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_a_run_holds_each_phrase_once():
+    """Pairs and triples leave a task counted, not once for each window that begins with them."""
+    every = b"\xff" * 4096
+    counter = phrases._Counter([(every, 0), (every, 30), (every, 30)], burst=3, limit=10**6)
+    rng = np.random.default_rng(6)
+    words, names, found = [b"b", b"a", b"c"], [b"", b"b", b"a", b"c"], Counter()
+    for _ in range(5):
+        ids = rng.integers(0, 4, 80).astype(np.int32)
+        assert not list(counter.add("en", words, ids, 0))
+        for i in range(len(ids)):
+            for size in (2, 3, 4):
+                own = ids[i : i + size]
+                if len(own) == size and own.all():
+                    found[b" ".join(names[k] for k in own).decode()] += 1
+    rows = [r for b in counter.close() for r in b.to_pylist()]
+    assert len(rows) == len(found) and {r["phrase"]: r["n"] for r in rows} == found
