@@ -1,13 +1,13 @@
 """Phrase collocation mining by HAT-trie counting.
 
-Texts are encoded once: word ids of a small dictionary per chunk, 0 between pieces. Level by level, words,
-pairs and triples of frequent pairs are sifted: hashes are counted, and a bitmap of bounded size tells the
-tasks which of them may be frequent. A bitmap has no false negatives and what passes is counted exactly, so
+Texts are encoded once: word ids of a small dictionary per chunk, 0 between pieces. Level by level, words, pairs,
+triples of frequent pairs and quadruples of frequent triples are sifted: hashes are counted, and a bitmap of
+bounded size tells the tasks which of them may be frequent. A bitmap has no false negatives and what passes is counted exactly, so
 its size changes the work, never the result.
 
 What passes is counted in a HAT-trie: a shallow trie over word ids whose leaves are hash containers; a
 container that grows too large bursts into one per next word. When the tries of a task hold too much, whole
-subtrees leave them as sorted runs, and Spark merges the runs per prefix partition.
+subtrees leave them as sorted runs, cut into blocks by the hashes of phrases, and the blocks of a part are merged.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ LONGEST = 4
 #: Words in an encoded row, about; chunks of all languages together hold twice as many.
 CHUNK_WORDS = 1 << 19
 #: Entries of a container that bursts, and of a task's tries together before subtrees leave them.
-BURST, TRIE_ENTRIES = 4096, 600_000
+BURST, TRIE_ENTRIES = 4096, 400_000
 #: Bytes of text that are Python objects at a time, and rows of a run that leave a task together.
 SLICE_BYTES, RUN_ROWS = 4 << 20, 50_000
 #: A word id has 21 bits, so that three of them are one number.
@@ -38,13 +38,13 @@ ID_BITS = 21
 #: Counted hashes that a task holds before they leave it, and hashes that are merged together, about.
 TASK_HASHES, PART_HASHES = 1 << 20, 1 << 22
 #: Bits of a bitmap at most (32 MB), and bits for each entry below that.
-FILTER_BITS, BITS_EACH = 1 << 28, 16
-#: Parts of a prefix, so that a word that starts a third of all phrases is not one partition.
-PREFIX_PARTS = 16
+FILTER_BITS, BITS_EACH = 1 << 28, 32
+#: Words of the texts for each part that phrases are dealt to, about, and parts at least.
+PART_WORDS, LEAST_PARTS = 1 << 21, 16
 SALTS = 64
 # What separates pieces.
 _BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"\n" * 10)
-RUNS = "lang string, first string, phrase string, n long"
+BLOCKS = "lang string, part long, phrases array<string>, counts array<long>"
 
 
 class _Numbers(dict):
@@ -250,7 +250,7 @@ def _chain(hashes: np.ndarray, following: np.ndarray) -> np.ndarray:
 
 
 class _Sieve:
-    """What the levels below know: bitmaps of frequent words, pairs and triples, as far as there are any."""
+    """What the levels below know: bitmaps of frequent phrases of one to four words, as far as there are any."""
 
     def __init__(self, levels: Sequence[tuple[bytes, int]]):
         self.levels = [_Frequent(*level) for level in levels]
@@ -346,7 +346,8 @@ class _Counter:
         self.tries: dict[str, tuple[HatTrie, _Numbers]] = {}
 
     def add(self, lang: str, words: list[bytes], ids: np.ndarray, tail: int) -> Iterator[pa.RecordBatch]:
-        frequent, (_, pairs, triples), _ = self.sieve(lang, words, ids)
+        frequent, (_, pairs, triples, *more), _ = self.sieve(lang, words, ids)
+        quads = more[0] if more else triples & _ahead(triples, 1)
         trie, numbers = self.tries.setdefault(lang, (HatTrie(self.burst), _Numbers()))
         if len(numbers) + len(words) >= 1 << ID_BITS:  # ids of a trie run out: start anew
             yield from self._spill(lang, 1.0)
@@ -357,7 +358,7 @@ class _Counter:
         word = np.concatenate([own[ids], np.zeros(LONGEST, np.int64)])
         at = np.flatnonzero(pairs[: len(ids) - tail])
         third = np.where(triples[at], word[at + 2], 0)
-        fourth = np.where(triples[at] & triples[at + 1], word[at + 3], 0)
+        fourth = np.where(quads[at], word[at + 3], 0)
         first, rest = word[at], word[at + 1] << (2 * ID_BITS) | third << ID_BITS | fourth
         order = np.lexsort((rest, first))
         first, rest = first[order], rest[order]
@@ -416,11 +417,36 @@ def _with_prefixes(first: np.ndarray, rest: np.ndarray, n: np.ndarray) -> tuple[
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], levels: Sequence[tuple[bytes, int]], burst: int, limit: int) -> Iterator[pa.RecordBatch]:
+def _blocks(run: pa.RecordBatch, parts: int) -> pa.RecordBatch:
+    """A run as one row for each part that has any of its phrases."""
+    phrases = run.column("phrase")
+    part = (_hashes(phrases.cast(pa.binary()).to_pylist(), 0) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    edges, at = pa.array(np.append(starts, len(part)), pa.int32()), pa.array(order)
+    lists = [pa.ListArray.from_arrays(edges, x.take(at)) for x in (phrases, run.column("n"))]
+    return pa.RecordBatch.from_arrays(
+        [run.column("lang").slice(0, len(starts)), pa.array(part[starts]), *lists], names=["lang", "part", "phrases", "counts"]
+    )
+
+
+def _runs(batches: Iterator[pa.RecordBatch], levels: Sequence[tuple[bytes, int]], burst: int, limit: int, parts: int) -> Iterator[pa.RecordBatch]:
     counter = _Counter(levels, burst, limit)
     for row in _rows(batches):
-        yield from counter.add(*row)
-    yield from counter.close()
+        for run in counter.add(*row):
+            yield _blocks(run, parts)
+    for run in counter.close():
+        yield _blocks(run, parts)
+
+
+def _summed(blocks: pa.Table, least: int) -> pa.Table:
+    """The phrases of a part whose counts add up to ``least``."""
+    flat = pa.table({"phrase": pc.list_flatten(blocks.column("phrases")), "n": pc.list_flatten(blocks.column("counts"))})
+    sums = flat.group_by("phrase").aggregate([("n", "sum")])
+    many = sums.filter(pc.greater_equal(sums.column("n_sum"), least))
+    langs = pa.array([blocks.column("lang")[0].as_py()] * len(many), pa.string())
+    return pa.table({"lang": langs, "phrase": many.column("phrase"), "n": many.column("n_sum")})
 
 
 def _bitmap(keys: DataFrame, most: int) -> bytes:
@@ -446,12 +472,8 @@ def _next_level(encoded: DataFrame, levels: list[tuple[bytes, int]], least: int,
 
 
 def _merged(runs: DataFrame, least: int) -> DataFrame:
-    """(lang, phrase, n) of the phrases of all runs, merged per prefix partition."""
-    part = F.pmod(F.xxhash64("phrase"), F.lit(PREFIX_PARTS))
-    dealt = runs.withColumn("part", part).repartition("lang", "first", "part")
-    return dealt.groupBy("lang", "first", "part", "phrase").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= least
-    ).select("lang", "phrase", "n")
+    """(lang, phrase, n) of the frequent phrases of all runs, merged per part."""
+    return runs.groupBy("lang", "part").applyInArrow(lambda t: _summed(t, least), "lang string, phrase string, n long")
 
 
 def phrase_counts(
@@ -488,9 +510,10 @@ def phrase_counts(
     places = encoded.agg(F.sum(F.size("ids"))).first()[0] or 0
     bits = min(31, max(1, places // PART_HASHES).bit_length())
     levels = [(_bitmap(words.select(F.xxhash64("lang", "phrase").alias("key")), filter_bits), 0)]
-    for _ in range(2):  # pairs, then triples
+    for _ in range(LONGEST - 1):  # pairs, triples, quadruples
         levels.append(_next_level(narrow, list(levels), least, bits, filter_bits))
-    runs = narrow.mapInArrow(lambda it: _runs(it, levels, burst, trie_entries), RUNS)
+    parts = max(LEAST_PARTS, places // PART_WORDS)
+    runs = narrow.mapInArrow(lambda it: _runs(it, levels, burst, trie_entries, parts), BLOCKS)
     longer = cut(_merged(runs, least), "frequent-phrases")
     found = words.unionByName(longer)
     return found.withColumn("size", F.size(F.split("phrase", " "))), totals

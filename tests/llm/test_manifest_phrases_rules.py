@@ -262,3 +262,20 @@ def test_a_run_holds_each_phrase_once():
                     found[b" ".join(names[k] for k in own).decode()] += 1
     rows = [r for b in counter.close() for r in b.to_pylist()]
     assert len(rows) == len(found) and {r["phrase"]: r["n"] for r in rows} == found
+
+
+def test_quadruples_of_frequent_triples_that_are_rare_leave_no_task(spark, monkeypatch):
+    texts = [f"a b c x{i}. y{i} b c d. a b c z{i}" for i in range(40)] + ["a b c d"] * 3
+    seen, own = [], phrases._merged
+
+    def merged(runs, least):
+        blocks = runs.collect()
+        assert len({(r["lang"], r["part"]) for r in blocks}) > 1
+        seen.extend(p for r in blocks for p in r["phrases"])
+        return own(runs, least)
+
+    monkeypatch.setattr(phrases, "_merged", merged)
+    counts, _ = phrases.phrase_counts(spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(2), 30)
+    longer = {r["phrase"]: r["n"] for r in counts.where("size > 1").collect()}
+    assert longer == {"a b": 83, "b c": 123, "c d": 43, "a b c": 83, "b c d": 43}
+    assert set(seen) == set(longer)
