@@ -258,3 +258,18 @@ def test_a_source_without_rows(spark, tmp_path):
     assert [report["blank"][c] for c in counts] == [2, 0, 1, 1]
     assert report["empty"]["success"] and report["blank"]["success"]
     assert spark.read.parquet(str(tmp_path / "blank_cleaned")).count() == 0
+
+
+def test_cleaning_limits_methods_to_what_the_jvm_compiles(spark, conf, tmp_path):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    names = ["a_date", "b_date"]
+    raw = spark.createDataFrame([(f"2022-01-{i:02}",) * 2 for i in range(1, 5)], names)
+    conf(spark__sql__codegen__hugeMethodLimit="65535")
+    assert cleaning.clean_table(raw, types={}).count() == 4 and spark.conf.get(limit) == "8000"
+    spark.conf.set(limit, "65535")
+    raw.write.option("header", True).csv(f"{tmp_path}/raw")
+    assert cleaning.clean_all(spark, {"s": f"{tmp_path}/raw"}, f"{tmp_path}/out").first()["clean_rows"] == 4
+    assert spark.conf.get(limit) == "8000"
+    spark.conf.set(limit, "20000")
+    assert cleaning.clean_table(raw, types={}).where(f"{names[1]} = date'2022-01-02'").count() == 1
+    assert spark.conf.get(limit) == "20000"
