@@ -12,12 +12,16 @@ import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: What a task keeps of the pieces it has encoded: their number, and their bytes.
 CACHED_PIECES, CACHED_BYTES = 800_000, 64 << 20
 #: Characters of text that are encoded together, about, and new pieces that are.
-STEP = 1 << 21
+STEP = 1 << 23
 TOGETHER = 1000
+#: Pieces whose ids are gathered at a time.
+GATHERED = 1 << 18
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 #: White space but the blank; where one stands beside a blank, a text is not split at that blank.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
@@ -36,21 +40,38 @@ def _is_odd(text: str) -> bool:
 _MARKS = ".,;:!?"
 
 
+def _parts(piece: str) -> list[str]:
+    """What a piece is made of: lines and the ends of lines, and marks behind a letter or digit, each on its own.
+
+    A line end between characters that are no white space is a token of its own, and the next line starts anew.
+    """
+    lines, out = piece.split("\n"), []
+    if len(lines) > 1 and not all(x and x == x.strip() for x in lines):
+        lines = [piece]
+    for line in lines:
+        core = line.rstrip(_MARKS)
+        out += ["\n"] if out else []
+        out += [core, line[len(core) :]] if core != line and core[-1:].isalnum() else [line]
+    return out
+
+
 class _Pieces(dict):
     """Piece without its leading space -> its number; new pieces wait to be encoded.
 
-    A piece that ends in marks after a letter or digit is made of two others, which it shares with many.
+    A piece that is made of several parts shares these with many others.
     """
 
     def __init__(self, owner: Encoder, lead: str):
         self.owner, self.lead = owner, lead
 
     def __missing__(self, piece: str) -> int:
-        owner, core = self.owner, piece.rstrip(_MARKS)
-        if core != piece and core[-1:].isalnum():
-            owner.pairs += (self[core], owner.first[piece[len(core) :]])
+        owner = self.owner
+        parts = () if piece.isalpha() else _parts(piece)
+        if len(parts) > 1:
+            owner.parts += (self[parts[0]], *map(owner.first.__getitem__, parts[1:]))
             number = self[piece] = owner.pieces
-            owner.paired.append(number)
+            owner.made.append(number)
+            owner.made_of.append(len(parts))
         else:
             number = self[piece] = owner.pieces
             owner.waiting.append(self.lead + piece)
@@ -93,8 +114,9 @@ class Encoder:
     def clear(self) -> None:
         self.waiting: list[str] = []  # pieces to encode, and their numbers
         self.numbers: list[int] = []
-        self.paired: list[int] = []  # pieces made of two others, and these
-        self.pairs: list[int] = []
+        self.made: list[int] = []  # pieces made of others, of how many, and these
+        self.made_of: list[int] = []
+        self.parts: list[int] = []
         self.pieces = self.held = 0
         self.ids = np.empty(0, np.uint32)
         self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -110,27 +132,22 @@ class Encoder:
             start = end + 1
         joined = ["".join(x) for x in texts]
         encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        found, counts, at = [self.ids], [], len(self.ids)
-        for own, text, result in zip(texts, joined, encoded, strict=True):
-            ids = np.array(result.ids, np.uint32)
-            sizes = list(map(len, own)) if text.isascii() else [len(x.encode()) for x in own]
-            ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(sizes)) + 1 if len(ids) else np.zeros(len(own), int)
-            counts.append(np.diff(ends, prepend=0))
-            found.append(ids)
-            self.held += len(text)
         grown = self.pieces - len(self.size)
         self.start, self.size = (np.concatenate([x, np.zeros(grown, np.int64)]) for x in (self.start, self.size))
         if texts:
-            n = np.concatenate(counts)
-            self.size[self.numbers], self.start[self.numbers] = n, at + np.cumsum(n) - n
-        self.ids = np.concatenate(found)
-        if self.pairs:
-            both = np.array(self.pairs)
-            flat, _ = self._gathered(both)
-            n = self.size[both[::2]] + self.size[both[1::2]]
-            self.size[self.paired], self.start[self.paired] = n, len(self.ids) + np.cumsum(n) - n
+            ids = np.concatenate([np.array(x.ids, np.uint32) for x in encoded])
+            # Texts, pieces and tokens end at the same bytes.
+            sizes = pc.binary_length(pa.array(self.waiting, pa.string())).to_numpy()
+            n = np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(sizes), side="right"), prepend=0)
+            self.size[self.numbers], self.start[self.numbers] = n, len(self.ids) + np.cumsum(n) - n
+            self.ids = np.concatenate([self.ids, ids])
+            self.held += sum(map(len, joined))
+        if self.parts:
+            flat, ends = self._gathered(np.array(self.parts))
+            n = np.diff(ends[np.cumsum(self.made_of) - 1], prepend=0)
+            self.size[self.made], self.start[self.made] = n, len(self.ids) + np.cumsum(n) - n
             self.ids = np.concatenate([self.ids, flat])
-        self.waiting, self.numbers, self.paired, self.pairs = [], [], [], []
+        self.waiting, self.numbers, self.made, self.made_of, self.parts = [], [], [], [], []
 
     def _gathered(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces, one after the other, and where each ends."""
@@ -139,21 +156,58 @@ class Encoder:
         total = int(ends[-1]) if len(ends) else 0
         return self.ids[np.repeat(self.start[pieces] - (ends - n), n) + np.arange(total)], ends
 
+    def _numbers(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the pieces of all texts, one after the other, and how many each text has.
+
+        Equal pieces meet in Arrow first, so that each is looked up once.
+        """
+        odd = {i: _BETWEEN.split(text) for i, text in enumerate(texts) if _is_odd(text)}
+        lists = pc.split_pattern(pa.array([t for i, t in enumerate(texts) if i not in odd], pa.string()), " ")
+        found = lists.flatten().dictionary_encode()
+        # No piece holds a blank here, and one text is split faster than many are made.
+        distinct = found.dictionary
+        whole = pa.ListArray.from_arrays([0, len(distinct)], distinct)
+        pieces = pc.binary_join(whole, " ")[0].as_py().split(" ") if len(distinct) else []
+        numbers = np.fromiter(map(self.later.__getitem__, pieces), np.int64, len(pieces))[found.indices.to_numpy()]
+        starts = lists.offsets.to_numpy()
+        numbers[starts[:-1]] = [self.first[pieces[i]] for i in found.indices.to_numpy()[starts[:-1]].tolist()]
+        if not odd:
+            return numbers, np.diff(starts)
+        plain = iter(np.split(numbers, starts[1:-1]))
+        own = [self._numbers_of(odd[i]) if i in odd else next(plain) for i in range(len(texts))]
+        return np.concatenate(own), np.array([len(x) for x in own])
+
+    def _numbers_of(self, pieces: list[str]) -> np.ndarray:
+        numbers = np.fromiter(map(self.later.__getitem__, pieces), np.int64, len(pieces))
+        numbers[0] = self.first[pieces[0]]
+        return numbers
+
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each has."""
-        numbers = []
-        for text in texts:
-            pieces = _BETWEEN.split(text) if _is_odd(text) else text.split(" ")
-            own = np.fromiter(map(self.later.__getitem__, pieces), np.int64, len(pieces))
-            own[0] = self.first[pieces[0]]
-            numbers.append(own)
+        numbers, n = self._numbers(texts)
         self._encode_waiting()
-        flat, ends = self._gathered(np.concatenate(numbers))
-        total = ends[np.cumsum([len(x) for x in numbers]) - 1]
+        gathered = [self._gathered(numbers[k : k + GATHERED]) for k in range(0, len(numbers), GATHERED)]
+        flat = np.concatenate([ids for ids, _ in gathered])
+        total = np.cumsum(self.size[numbers])[np.cumsum(n) - 1]
         if self.pieces > CACHED_PIECES or self.held > CACHED_BYTES:
-            self.clear()
+            self._forget()
         return flat, np.diff(total, prepend=0)
 
+    def _forget(self) -> None:
+        """Keep the pieces that were met first, which are the frequent ones, in half of the room."""
+        kept = min(self.pieces, CACHED_PIECES // 2)
+        ids, _ = self._gathered(np.arange(kept))
+        held = int(self.bytes[ids].sum())
+        if held > CACHED_BYTES // 2:
+            self.clear()
+            return
+        for pieces in (self.first, self.later):
+            own = {piece: number for piece, number in pieces.items() if number < kept}
+            pieces.clear()
+            pieces.update(own)
+        self.size = self.size[:kept].copy()
+        self.start, self.ids, self.pieces, self.held = np.cumsum(self.size) - self.size, ids, kept, held
+
 
 def steps(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``STEP`` characters each."""

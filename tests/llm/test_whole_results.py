@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tallybook.llm import class_lm, embeddings, exact_dedup, jaccard, mixing, packing, quality, sharding, token_counts
+from tallybook.llm import class_lm, embeddings, encoding, exact_dedup, jaccard, mixing, packing, quality, sharding, token_counts
 from tallybook.llm.common import collapsed, word_count
 from tallybook.llm.queries import tokenizer_file
 
@@ -350,3 +350,23 @@ def test_tiles_compare_by_bounds_only_what_is_near(monkeypatch):
             got = embeddings.tile_masks(p, q, 0.9, same)
         assert all((g == w & part).all() for g, w in zip(got, whole)) and got[0].any()
         assert 0 < sum(compared) < len(p) * len(q) / 20
+
+
+@pytest.mark.parametrize("kept", [encoding.CACHED_PIECES, 60])
+def test_encoder_equals_the_tokenizer_and_shares_words_between_lines(monkeypatch, kept):
+    monkeypatch.setattr(encoding, "CACHED_PIECES", kept)
+    monkeypatch.setattr(encoding, "GATHERED", 50, raising=False)
+    encode = encoding.Encoder(tokenizer_file())
+    words = ["Thlyer", "haou", "Éaielle", "don't", "x1", "42", "漢字", "a b", "I'll", "<|endoftext|>"]
+    pairs = [f"{a}.\n{b}!?" for a in words for b in words]
+    odd = ["", " ", "\n", "a\n", "\na", " a", "a ", "a  b", "a \n b", "a\n\nb.", "a.\n b", "a\r\nb", "a.\t\nb", "a\n.\nb", "..\n..", "a.\x85\nb", "﻿a\nb", "a.\n　b"]
+    mixed = [" ".join(pairs[k::7]) + o for k, o in enumerate(odd)] + ["one " + o + " two" for o in odd]
+    for texts in (pairs, odd, mixed, pairs[::-1], mixed[::-1]):
+        want = [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        ids, n = encode.encode(texts)
+        assert ids.tolist() == sum(want, []) and n.tolist() == [len(x) for x in want]
+    encode.clear()
+    encode.encode(pairs)
+    # 100 pairs of lines are made of 10 words, with and without a blank before them, a line end and marks.
+    if kept > len(pairs):
+        assert encode.held < 4 * len("".join(words))
