@@ -24,6 +24,8 @@ FEATURES = SHAPES + WORDS
 #: Documents that train the scorer (those with the smallest seeded hash), steps, shrinkage.
 SAMPLE, STEPS, SHRINK = 8000, 150, 1e-4
 SEED = 3
+#: Entries of sparse rows that training widens at a time.
+BLOCK = 1 << 17
 #: Words whose codes a task keeps, and the longest of them; bytes of text that are Python objects at a time.
 CACHED_WORDS, CACHED_BYTES, SLICE_BYTES = 250_000, 64, 4 << 20
 BAD, GOOD, NONE = 0, 1, 2
@@ -174,22 +176,42 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(total, -50, 50))))
 
 
+def _blocks(rows: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """Neighbouring rows with about ``BLOCK`` entries: which they are, their features, values and sizes."""
+    ends = np.cumsum([len(r[0]) for r in rows])
+    first = 0
+    while first < len(rows):
+        last = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + BLOCK, side="right"))
+        own = rows[first : max(last, first + 1)]
+        at, value = (np.concatenate([r[k] for r in own]) for k in (0, 1))
+        yield slice(first, first + len(own)), at, value, np.array([len(r[0]) for r in own])
+        first += len(own)
+
+
 def train(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by accelerated gradient steps, over sparse rows."""
-    weight, bias = np.zeros(FEATURES), 0.0
+    """Logistic regression on soft labels by accelerated gradient steps, over sparse rows.
+
+    ``rows`` is emptied. Its entries are kept in the types they come in and widened block by block.
+    """
+    weight, bias, n = np.zeros(FEATURES), 0.0, len(rows)
     if not rows:
         return weight, bias
-    at = np.concatenate([r[0] for r in rows])
-    value = np.concatenate([r[1] for r in rows])
-    sizes = np.array([len(r[0]) for r in rows])
-    starts, row = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(rows)), sizes)
-    ahead, ahead_bias = weight, bias
-    rate = 4 / (1 + float(np.add.reduceat(value * value, starts).max()))
+    blocks = list(_blocks(rows))
+    rows.clear()
+    ahead, ahead_bias, every = weight, bias, np.arange(FEATURES)
+    longest = max(float(np.add.reduceat(value.astype(float) ** 2, np.cumsum(sizes) - sizes).max()) for _, _, value, sizes in blocks)
+    rate = 4 / (1 + longest)
+    wrong = np.empty(n)
     for step in range(STEPS):
-        seen = np.add.reduceat(value * ahead[at], starts)
-        wrong = 1 / (1 + np.exp(-np.clip(seen + ahead_bias, -50, 50))) - good
-        slope = np.bincount(at, value * wrong[row], FEATURES) / len(rows)
-        new = ahead - rate * (slope + SHRINK * ahead)
+        slope = np.zeros(FEATURES)
+        for own, at, value, sizes in blocks:
+            at, value = at.astype(np.int64), value.astype(float)
+            seen = np.add.reduceat(value * ahead[at], np.cumsum(sizes) - sizes)
+            wrong[own] = 1 / (1 + np.exp(-np.clip(seen + ahead_bias, -50, 50))) - good[own]
+            value *= np.repeat(wrong[own], sizes)
+            # The sums so far come first, so they are added up in the same order however rows are blocked.
+            slope = np.bincount(np.concatenate([every, at]), np.concatenate([slope, value]), FEATURES)
+        new = ahead - rate * (slope / n + SHRINK * ahead)
         new_bias = ahead_bias - rate * float(wrong.mean())
         momentum = step / (step + 3)
         ahead, ahead_bias = new + momentum * (new - weight), new_bias + momentum * (new_bias - bias)
@@ -246,11 +268,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
     if last is None:
         return Scorer(np.zeros(FEATURES), 0.0, posterior)
     chosen = docs.select(order, F.col(text_col).alias("text")).where(F.col("order") <= last).dropDuplicates(["order"])
-    rows = chosen.mapInArrow(_sampled, "order long, votes string, features binary, weights binary").collect()
+    found = chosen.mapInArrow(_sampled, "order long, votes string, features binary, weights binary").toArrow()
     # Where no heuristic votes nothing is known, so words and shapes decide there as they do elsewhere.
-    rows = sorted((r for r in rows if r["votes"].strip(str(NONE))), key=lambda r: r["order"])
-    sparse = [(np.frombuffer(r["features"], "<u2").astype(np.int64), np.frombuffer(r["weights"], "<f4").astype(float)) for r in rows]
-    weight, bias = train(sparse, np.array([posterior.get(r["votes"], 0.5) for r in rows]))
+    own = found.column("votes").to_pylist()
+    order = [i for i in np.argsort(found.column("order").to_numpy()).tolist() if own[i].strip(str(NONE))]
+    # Views of what has arrived, which nothing copies before it is put into blocks.
+    at, value = ([np.frombuffer(x.as_buffer(), t) for x in found.column(c)] for c, t in (("features", "<u2"), ("weights", "<f4")))
+    rows = [(at[i], value[i]) for i in order]
+    del found, at, value
+    weight, bias = train(rows, np.array([posterior.get(own[i], 0.5) for i in order]))
     return Scorer(weight, bias, posterior)
 
 

@@ -1,6 +1,7 @@
 """Results that must be whole: links in long lists, rows that share an id, names that clash, order of files."""
 
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -245,6 +246,26 @@ def test_training_equals_a_dense_one():
     assert np.allclose(got[0], weight) and np.isclose(got[1], bias)
 
 
+def test_training_widens_few_entries_at_a_time(monkeypatch):
+    rng = np.random.default_rng(5)
+
+    def made(n):
+        return [(rng.integers(0, quality.FEATURES, 500).astype("<u2"), rng.random(500).astype("<f4")) for _ in range(n)]
+
+    monkeypatch.setattr(quality, "STEPS", 3)
+    rows, good = made(2000), rng.random(2000)
+    tracemalloc.start()
+    try:
+        weight, bias = quality.train(list(rows), good)
+        # A million entries of 6 bytes are held once.
+        assert tracemalloc.get_traced_memory()[1] < 16e6
+    finally:
+        tracemalloc.stop()
+    monkeypatch.setattr(quality, "BLOCK", 1234, raising=False)
+    other, other_bias = quality.train(list(rows), good)
+    assert (weight == other).all() and bias == other_bias
+
+
 def test_posteriors_equal_plain_expectation_maximisation():
     rng = np.random.default_rng(1)
     patterns = {"".join(map(str, rng.integers(0, 3, 9))): int(rng.integers(1, 50)) for _ in range(30)}
