@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import cut, free_name, new_path
@@ -116,35 +116,43 @@ def shard(
         "_shard",
         "_bucket",
         F.lit(None).cast(placed.select(F.struct("_scatter", "_size", "_record")).schema[0].dataType).alias("_entry"),
+        F.col("_rows").cast("int").alias("_rows"),
         F.expr(
             "coalesce(sum(_rows) over (partition by _shard order by _bucket"
             " rows between unbounded preceding and 1 preceding), 0)"
         ).alias("_before"),
     )
-    # What stands before a bucket travels as one more entry of it, so nothing is joined after the shuffle.
+    # What is known of a bucket travels as one more entry of it, so nothing is joined after the shuffle.
     entries = placed.select(
-        "_part", "_shard", "_bucket", F.struct("_scatter", "_size", "_record").alias("_entry"), F.lit(None).cast("bigint").alias("_before")
+        "_part",
+        "_shard",
+        "_bucket",
+        F.struct("_scatter", "_size", "_record").alias("_entry"),
+        F.lit(None).cast("int").alias("_rows"),
+        F.lit(None).cast("bigint").alias("_before"),
     )
     dealt = entries.unionByName(before).repartitionById(partitions, F.col("_part"))
-    gathered = dealt.groupBy("_part", "_shard", "_bucket").agg(
-        F.collect_list("_entry").alias("_records"), F.max("_before").alias("_before")
+    # Only that entry draws, once it is there; records are sorted behind it, never held as one array.
+    drawn = dealt.withColumn(
+        "_order", F.when(F.col("_rows").isNotNull(), fisher_yates(F.col("_rows"), F.lit(seed), F.col("_shard"), F.col("_bucket")))
     )
     # The order of arrival differs from run to run; the shuffle starts from the scatter hash's order.
-    start = F.array_sort(
-        F.transform("_records", lambda r, i: F.struct(r["_scatter"].alias("scatter"), i.alias("i")))
-    )
-    mixed = (
-        gathered.withColumn("_start", start)
-        .withColumn("_order", fisher_yates(F.size("_records"), F.lit(seed), F.col("_shard"), F.col("_bucket")))
-    )
-    moved = F.transform("_order", lambda p: F.get("_records", F.get("_start", p)["i"]))
-    out = mixed.select("_shard", "_before", F.posexplode(moved).alias("_at", "_r"))
+    bucket = Window.partitionBy("_part", "_shard", "_bucket").orderBy(F.col("_entry").isNotNull(), "_entry._scatter")
+    bucket = bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = drawn.select(
+        "_shard",
+        F.col("_entry").alias("_r"),
+        (F.row_number().over(bucket) - 2).alias("_start"),
+        F.first("_before").over(bucket).alias("_before"),
+        F.first("_order").over(bucket).alias("_order"),
+    ).where("_r is not null")
+    at = F.array_position("_order", F.col("_start")) - 1
     names = [F.col(f"_r._record.`{c.replace('`', '``')}`") for c in docs.columns]
     return out.select(
         *names,
         F.col("_r._size").alias(size_col),
         F.col("_shard").alias(shard_col),
-        (F.col("_before") + F.col("_at")).cast("bigint").alias(slot_col),
+        (F.col("_before") + at).cast("bigint").alias(slot_col),
     )
 
 

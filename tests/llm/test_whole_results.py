@@ -167,6 +167,14 @@ def plain_best_fit(items, capacity, per_source):
     return sorted(out)
 
 
+def test_no_bucket_of_records_is_gathered_in_an_array(spark):
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.col("id").cast("int")).alias("text"))
+    sharded = sharding.shard(docs, 3, bucket_bytes=1 << 20)
+    assert "collect_list" not in sharded._jdf.queryExecution().toString()
+    slots = sharded.groupBy("_shard").agg(F.sort_array(F.collect_list("_slot")).alias("s")).collect()
+    assert sum(len(r["s"]) for r in slots) == 5000 and all(r["s"] == list(range(len(r["s"]))) for r in slots)
+
+
 def test_packing_equals_a_search_of_all_bins():
     rng = np.random.default_rng(9)
     for _ in range(30):
