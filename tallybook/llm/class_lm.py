@@ -37,10 +37,37 @@ CLASSES, ROUNDS = 48, 6
 HELD_OUT = 1
 FOLDS = 5
 CHUNK = 1 << 21
+#: Bytes of text whose words meet at a time.
+SLICE_BYTES = 4 << 20
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def _words(column: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """The words of some texts after the other, in lower case: distinct ones in the order they come in, their numbers
+    in the order of the texts, and how many each text has.
+    """
+    step = max(1, len(column) * SLICE_BYTES // max(SLICE_BYTES, column.nbytes))
+    for start in range(0, len(column), step):
+        texts = pc.fill_null(column.slice(start, step), "")
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        found = lists.flatten().cast(pa.binary())
+        n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        # White space at the ends of a text leaves empty words.
+        full = pc.not_equal(pc.binary_length(found), 0)
+        if not pc.all(full).as_py():
+            n = np.bincount(np.repeat(np.arange(len(n)), n), full.to_numpy(zero_copy_only=False), len(n)).astype(np.int64)
+            found = found.filter(full)
+        coded = found.dictionary_encode()
+        yield coded.dictionary, coded.indices.to_numpy().astype(np.int64), n
+
+
+def _bytes(words: pa.Array) -> list[bytes]:
+    """As Python objects; no word holds a blank, and one text is split faster than many are made."""
+    whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pc.binary_join(whole, b" ")[0].as_py().split(b" ") if len(words) else []
+
+
+def _with_ends(numbers: np.ndarray, n: np.ndarray, end: int) -> np.ndarray:
+    return np.insert(numbers, np.cumsum(n), end)
 
 
 def held_out(id_column: Column) -> Column:
@@ -60,8 +87,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(words_of(text))
+        for words, codes, _ in _words(batch.column(0)):
+            for word, n in zip(_bytes(words), np.bincount(codes, minlength=len(words)).tolist(), strict=True):
+                counts[word] += n
             if len(counts) > 500_000:
                 yield flush()
     yield flush()
@@ -72,19 +100,20 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], number: dict[bytes, int]) ->
     size = len(number) + 2
     get, unknown, end = number.get, size - 2, size - 1
 
-    def counted(run: list[int]) -> pa.RecordBatch:
-        own = np.array(run)
+    def counted(run: list[np.ndarray]) -> pa.RecordBatch:
+        own = np.concatenate(run)
         pair, count = np.unique(own[:-1] * size + own[1:], return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(count)], names=["pair", "count"])
 
-    run: list[int] = [end]
+    run, held = [np.array([end])], 0
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            run += [get(w, unknown) for w in words_of(text)]
-            run.append(end)
-            if len(run) > CHUNK:
+        for words, codes, n in _words(batch.column(0)):
+            own = np.array([get(w, unknown) for w in _bytes(words)], np.int64)
+            run.append(_with_ends(own[codes], n, end))
+            held += len(run[-1])
+            if held > CHUNK:
                 yield counted(run)
-                run = [end]
+                run, held = [np.array([end])], 0
     yield counted(run)
 
 
@@ -181,8 +210,8 @@ def _count_contexts(
     """A row per word without a class: codes of the classes before it, and from ``k`` after it, and their counts."""
     k = end + 1
 
-    def counted(run: list[int], codes: _Codes) -> pa.RecordBatch:
-        own = np.array(run)
+    def counted(run: list[np.ndarray], codes: _Codes) -> pa.RecordBatch:
+        own = np.concatenate(run)
         at = np.flatnonzero(own >= k)
         word, seen = own[at] - k, np.where(own < k, own, open_class)
         pair, times = np.unique(np.concatenate([word * 2 * k + seen[at - 1], word * 2 * k + k + seen[at + 1]]), return_counts=True)
@@ -191,14 +220,15 @@ def _count_contexts(
         lists = [pa.ListArray.from_arrays(edges, pa.array(x, pa.int32())) for x in (pair % (2 * k), times)]
         return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *lists], names=["word", "codes", "times"])
 
-    run, codes = [end], _Codes(classes, k)
+    run, held, codes = [np.array([end])], 0, _Codes(classes, k)
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            run += map(codes.__getitem__, words_of(text))
-            run.append(end)
-            if len(run) > CHUNK:
+        for distinct, numbers, n in _words(batch.column(0)):
+            own = np.fromiter(map(codes.__getitem__, _bytes(distinct)), np.int64, len(distinct))
+            run.append(_with_ends(own[numbers], n, end))
+            held += len(run[-1])
+            if held > CHUNK:
                 yield counted(run, codes)
-                run, codes = [end], _Codes(classes, k)
+                run, held, codes = [np.array([end])], 0, _Codes(classes, k)
     yield counted(run, codes)
 
 
@@ -330,27 +360,48 @@ def _paths(batches: Iterator[pa.RecordBatch], held: dict[bytes, tuple[int, int]]
         [("row", pa.int64()), ("word", pa.binary()), ("at", pa.binary()), ("id", pa.string()), ("n_tokens", pa.int64()),
          ("base", pa.float64()), ("inside", pa.float64()), ("path", pa.binary())]
     )
-    out: list[tuple] = []
 
-    def flushed() -> pa.RecordBatch:
-        columns = zip(*out, strict=True) if out else [()] * len(schema)
-        made = pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema, strict=True)], schema=schema)
-        out.clear()
-        return made
+    def made(**columns: pa.Array) -> pa.RecordBatch:
+        """Rows with these columns, the others null."""
+        size = len(columns["row"])
+        return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
 
     for batch in batches:
-        for row, id_, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            words = words_of(text)
-            own = np.array([number(w, -1) for w in words], np.int64)
-            path = np.append(label[own], scale.end_class).astype(scale.kind)
-            out.append((row, None, None, id_, len(path), float(base[own].sum()) + end_base, float(inside[own].sum()), path.tobytes()))
-            places: dict[bytes, list[int]] = {}
-            for i in np.flatnonzero(own < 0).tolist():
-                places.setdefault(words[i], []).append(i)
-            out += [(row, word, np.array(at, np.int32).tobytes(), *[None] * 5) for word, at in places.items()]
-            if len(out) > OUT_ROWS:
-                yield flushed()
-    yield flushed()
+        done = 0
+        for distinct, codes, n in _words(batch.column(2)):
+            rows, ids = (batch.column(i).slice(done, len(n)) for i in (0, 1))
+            done += len(n)
+            own = np.array([number(w, -1) for w in _bytes(distinct)], np.int64)[codes]
+            ends = np.cumsum(n)
+            starts, path = ends - n, label[own].astype(scale.kind)
+            spans = list(zip(starts.tolist(), ends.tolist(), strict=True))
+            end = np.array([scale.end_class], scale.kind).tobytes()
+            yield made(
+                row=rows,
+                id=ids,
+                n_tokens=pa.array(n + 1),
+                base=pa.array([float(base[own[a:b]].sum()) + end_base for a, b in spans], pa.float64()),
+                inside=pa.array([float(inside[own[a:b]].sum()) for a, b in spans], pa.float64()),
+                path=pa.array([path[a:b].tobytes() + end for a, b in spans], pa.binary()),
+            )
+            rare = np.flatnonzero(own < 0)
+            doc = np.repeat(np.arange(len(n)), n)[rare]
+            # By document and word, and each word's places as they come.
+            key = doc * max(len(distinct), 1) + codes[rare]
+            order = np.argsort(key, kind="stable")
+            key, place = key[order], (rare - starts[doc])[order].astype(np.int32)
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            edges = np.append(first, len(key)) * 4
+            for a in range(0, len(first), OUT_ROWS):
+                own_rows, limits = first[a : a + OUT_ROWS], edges[a : a + OUT_ROWS + 1]
+                data = place[limits[0] // 4 : limits[-1] // 4].tobytes()
+                offsets = (limits - limits[0]).astype(np.int32).tobytes()
+                at = pa.Array.from_buffers(pa.binary(), len(own_rows), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+                yield made(
+                    row=rows.take(pa.array(key[own_rows] // len(distinct))),
+                    word=distinct.take(pa.array(key[own_rows] % len(distinct))),
+                    at=at,
+                )
 
 
 PATHS = "id string, n_tokens long, n_known long, base double, inside double, path binary"

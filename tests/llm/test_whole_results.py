@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -399,3 +400,26 @@ def test_encoder_equals_the_tokenizer_and_shares_words_between_lines(monkeypatch
     # 100 pairs of lines are made of 10 words, with and without a blank before them, a line end and marks.
     if kept > len(pairs):
         assert encode.held < 4 * len("".join(words))
+
+
+def test_words_meet_before_they_are_looked_up(monkeypatch):
+    texts = ["", None, " ", "The the\tTHE\x0b\x0cÉté été", "\n\x1c a\x85b \x00 c ", "x" * 50, "漢字　the", "  lead", "trail  "] * 3
+    wanted = [(t or "").encode().lower().split() for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    monkeypatch.setattr(class_lm, "SLICE_BYTES", 60, raising=False)
+
+    def never(text):
+        raise AssertionError("words were made one by one")
+
+    monkeypatch.setattr(class_lm, "words_of", never, raising=False)
+    counts = Counter()
+    for part in class_lm._count_words(iter([batch.slice(2), batch.slice(0, 2)])):
+        for row in part.to_pylist():
+            counts[row["word"]] += row["count"]
+    assert counts == Counter(w for words in wanted for w in words)
+    number = {b"the": 0, b"c": 1}
+    got = Counter()
+    for part in class_lm._count_pairs(iter([batch]), number):
+        got.update(dict(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)))
+    run = [3] + [n for words in wanted for n in (*(number.get(w, 2) for w in words), 3)]
+    assert got == Counter(a * 4 + b for a, b in zip(run, run[1:]))
