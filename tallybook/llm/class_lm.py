@@ -37,17 +37,23 @@ CLASSES, ROUNDS = 48, 6
 HELD_OUT = 1
 FOLDS = 5
 CHUNK = 1 << 21
-#: Bytes of text whose words meet at a time.
-SLICE_BYTES = 4 << 20
+#: Bytes of text whose words meet at a time, and bytes of paths whose steps do.
+SLICE_BYTES, PATH_BYTES = 4 << 20, 1 << 18
+
+
+def _slices(column: pa.Array, size: int) -> Iterator[pa.Array]:
+    """Rows of about ``size`` bytes after the other."""
+    step = max(1, len(column) * size // max(size, column.nbytes))
+    for start in range(0, len(column), step):
+        yield column.slice(start, step)
 
 
 def _words(column: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """The words of some texts after the other, in lower case: distinct ones in the order they come in, their numbers
     in the order of the texts, and how many each text has.
     """
-    step = max(1, len(column) * SLICE_BYTES // max(SLICE_BYTES, column.nbytes))
-    for start in range(0, len(column), step):
-        texts = pc.fill_null(column.slice(start, step), "")
+    for part in _slices(column, SLICE_BYTES):
+        texts = pc.fill_null(part, "")
         lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         found = lists.flatten().cast(pa.binary())
         n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -70,6 +76,24 @@ def _with_ends(numbers: np.ndarray, n: np.ndarray, end: int) -> np.ndarray:
     return np.insert(numbers, np.cumsum(n), end)
 
 
+def _kind(limit: int) -> type:
+    """Of whole numbers below ``limit``; arrays of the short ones take half the memory."""
+    return np.int32 if limit < 1 << 31 else np.int64
+
+
+def _given_back(made: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; then the worker, which waits for other tasks, returns the memory that Arrow keeps for itself."""
+    yield from made
+    pa.default_memory_pool().release_unused()
+
+
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each occurs; sorts them where they are."""
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(first, append=len(keys))
+
+
 def held_out(id_column: Column) -> Column:
     """Whether crc32 of the id as text leaves 1 modulo 5; a null id counts as empty text."""
     text = F.coalesce(id_column.cast("string"), F.lit(""))
@@ -98,22 +122,25 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _count_pairs(batches: Iterator[pa.RecordBatch], number: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     """Neighbours by number: clustered words from 0, then the open class, then the end; pairs that occur."""
     size = len(number) + 2
-    get, unknown, end = number.get, size - 2, size - 1
+    get, unknown, end, kind = number.get, size - 2, size - 1, _kind(size * size)
 
     def counted(run: list[np.ndarray]) -> pa.RecordBatch:
         own = np.concatenate(run)
-        pair, count = np.unique(own[:-1] * size + own[1:], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(count)], names=["pair", "count"])
+        run.clear()
+        pairs = own[:-1] * kind(size)
+        pairs += own[1:]
+        pair, count = _counted(pairs)
+        return pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(count)], names=["pair", "count"])
 
-    run, held = [np.array([end])], 0
+    run, held = [np.array([end], kind)], 0
     for batch in batches:
         for words, codes, n in _words(batch.column(0)):
-            own = np.array([get(w, unknown) for w in _bytes(words)], np.int64)
+            own = np.array([get(w, unknown) for w in _bytes(words)], kind)
             run.append(_with_ends(own[codes], n, end))
             held += len(run[-1])
             if held > CHUNK:
                 yield counted(run)
-                run, held = [np.array([end])], 0
+                run, held = [np.array([end], kind)], 0
     yield counted(run)
 
 
@@ -210,26 +237,40 @@ def _count_contexts(
     """A row per word without a class: codes of the classes before it, and from ``k`` after it, and their counts."""
     k = end + 1
 
-    def counted(run: list[np.ndarray], codes: _Codes) -> pa.RecordBatch:
+    def counted(run: list[np.ndarray], codes: _Codes) -> Iterator[pa.RecordBatch]:
+        words = pa.array(list(codes)[len(classes) :], pa.binary())
+        codes.clear()
         own = np.concatenate(run)
+        run.clear()
         at = np.flatnonzero(own >= k)
-        word, seen = own[at] - k, np.where(own < k, own, open_class)
-        pair, times = np.unique(np.concatenate([word * 2 * k + seen[at - 1], word * 2 * k + k + seen[at + 1]]), return_counts=True)
-        words = list(codes)[len(classes) :]
-        edges = pa.array(np.searchsorted(pair, np.arange(len(words) + 1) * 2 * k), pa.int32())
-        lists = [pa.ListArray.from_arrays(edges, pa.array(x, pa.int32())) for x in (pair % (2 * k), times)]
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *lists], names=["word", "codes", "times"])
-
-    run, held, codes = [np.array([end])], 0, _Codes(classes, k)
+        kind = _kind(len(words) * 2 * k)
+        pairs = np.empty((2, len(at)), kind)
+        pairs[:] = own[at] - own.dtype.type(k)
+        pairs *= kind(2 * k)
+        np.putmask(own, own >= k, open_class)
+        pairs[0] += own[at - 1]
+        pairs[1] += own[at + 1]
+        pairs[1] += kind(k)
+        del own, at
+        pair, times = _counted(pairs.reshape(-1))
+        edges = np.searchsorted(pair, np.arange(len(words) + 1, dtype=kind) * kind(2 * k))
+        pair %= kind(2 * k)
+        for a in range(0, len(words), OUT_ROWS):
+            limits = edges[a : a + OUT_ROWS + 1]
+            offsets = pa.array(limits - limits[0], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x[limits[0] : limits[-1]], pa.int32())) for x in (pair, times)]
+            yield pa.RecordBatch.from_arrays([words.slice(a, OUT_ROWS), *lists], names=["word", "codes", "times"])
+
+    run, held, codes = [np.array([end], np.int32)], 0, _Codes(classes, k)
     for batch in batches:
         for distinct, numbers, n in _words(batch.column(0)):
-            own = np.fromiter(map(codes.__getitem__, _bytes(distinct)), np.int64, len(distinct))
+            own = np.fromiter(map(codes.__getitem__, _bytes(distinct)), np.int32, len(distinct))
             run.append(_with_ends(own[numbers], n, end))
             held += len(run[-1])
             if held > CHUNK:
-                yield counted(run, codes)
-                run, held, codes = [np.array([end])], 0, _Codes(classes, k)
-    yield counted(run, codes)
+                yield from counted(run, codes)
+                run, held, codes = [np.array([end], np.int32)], 0, _Codes(classes, k)
+    yield from counted(run, codes)
 
 
 def _joined(table: pa.Table, gain: np.ndarray) -> pa.Table:
@@ -289,7 +330,7 @@ def fit(
     most = counts.where(F.col("count") >= F.lit(share * totals[0])).orderBy(F.desc("count"), "word").collect()
     clustered = {bytes(r["word"]): i for i, r in enumerate(most)}
     size = len(clustered) + 2
-    found = training.select(text_col).mapInArrow(lambda it: _count_pairs(it, clustered), "pair long, count long")
+    found = training.select(text_col).mapInArrow(lambda it: _given_back(_count_pairs(it, clustered)), "pair long, count long")
     # Pairs of clustered words that occur, a number that the bound on these words bounds.
     sums = cut(found.groupBy("pair").agg(F.sum("count").alias("count")), "class-pairs").orderBy("pair").toPandas()
     pair = sums["pair"].to_numpy(np.int64)
@@ -322,13 +363,25 @@ def word_classes(
         classes, open_class, end = model.classes, model.open_class, model.end_class
         gain = model.gain()
         found = training.select(text_col).mapInArrow(
-            lambda it: _count_contexts(it, classes, open_class, end), "word binary, codes array<int>, times array<int>"
+            lambda it: _given_back(_count_contexts(it, classes, open_class, end)),
+            "word binary, codes array<int>, times array<int>",
         )
         part = F.pmod(F.xxhash64("word"), F.lit(-(-distinct // PART_WORDS) or 1))
         rest = found.groupBy(part.alias("part")).applyInArrow(lambda t: _joined(t, gain), schema)
     return cut(core.unionByName(rest), "word-classes")
 
 
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` words with the largest counts, ties by word. Words that others keep out by their counts alone are
+    left out first, so that tasks do not hold and send as many each.
+    """
+    sizes = counts.groupBy("count").agg(F.count("*").alias("words")).orderBy(F.desc("count")).limit(limit).collect()
+    enough = np.flatnonzero(np.cumsum([r["words"] for r in sizes]) >= limit)
+    if len(enough):
+        counts = counts.where(F.col("count") >= sizes[enough[0]]["count"])
+    return counts.orderBy(F.desc("count"), "word").limit(limit)
+
+
 @dataclass
 class Scale:
     """What scores follow from beside counts and classes: the denominators, and the end of a text."""
@@ -441,28 +494,35 @@ def _completed(own: pa.Table, rare: pa.Table, scale: Scale) -> pa.Table:
     )
 
 
-def _steps(paths: pa.Array, scale: Scale) -> np.ndarray:
-    """Steps from class to class of some documents as numbers: each path ends with the end, which the next one follows."""
-    flat = np.frombuffer(b"".join(paths.to_pylist()), scale.kind).astype(np.int64)
-    before = np.concatenate([[scale.end_class], flat[:-1]])
-    return before[: len(flat)] * (scale.end_class + 1) + flat
+def _steps(column: pa.Array, scale: Scale) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Steps from class to class of some documents after the other as numbers, and where each document starts: each
+    path ends with the end, which the next one follows.
+    """
+    for paths in _slices(column, PATH_BYTES):
+        flat = np.frombuffer(b"".join(paths.to_pylist()), scale.kind)
+        steps = flat.astype(np.int64)
+        steps[0] += scale.end_class * (scale.end_class + 1)
+        steps[1:] += flat[:-1].astype(np.int64) * (scale.end_class + 1)
+        n = pc.binary_length(paths).to_numpy().astype(np.int64) // flat.itemsize
+        yield steps, np.cumsum(n) - n
 
 
 def _count_steps(batches: Iterator[pa.RecordBatch], scale: Scale) -> Iterator[pa.RecordBatch]:
     size = (scale.end_class + 1) ** 2
     counts = np.zeros(size, np.int64)
     for batch in batches:
-        counts += np.bincount(_steps(batch.column(0), scale), minlength=size)
+        for steps, _ in _steps(batch.column(0), scale):
+            counts += np.bincount(steps, minlength=size)
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["step", "count"])
 
 
 def _score(batches: Iterator[pa.RecordBatch], step: np.ndarray, scale: Scale) -> Iterator[pa.RecordBatch]:
+    flat = step.ravel()
     for batch in batches:
         if batch.num_rows:
-            tokens = batch.column(1).to_numpy()
-            along = np.add.reduceat(step.ravel()[_steps(batch.column(5), scale)], np.cumsum(tokens) - tokens)
-            score = pa.array(batch.column(4).to_numpy() + along)
+            along = [np.add.reduceat(flat[steps], starts) for steps, starts in _steps(batch.column(5), scale)]
+            score = pa.array(batch.column(4).to_numpy() + np.concatenate(along))
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], score], names=["id", "n_tokens", "n_known", "base", "score"])
 
 
@@ -492,7 +552,7 @@ def lm_scores(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))
     training = rows.where(~F.col("held_out"))
     counts = cut(
-        training.select("text").mapInArrow(_count_words, "word binary, count long")
+        training.select("text").mapInArrow(lambda it: _given_back(_count_words(it)), "word binary, count long")
         .groupBy("word").agg(F.sum("count").alias("count")),
         "word-counts",
     )
@@ -506,13 +566,13 @@ def lm_scores(
     for r in classed.groupBy("cls").agg(F.sum("count").alias("inside"), F.count("*").alias("members")).collect():
         within[r["cls"]] += r["inside"] + 0.5 * r["members"]
     scale = Scale(within, totals[0] + 0.5 * (totals[1] + 1), ends, model.open_class, model.end_class)
-    most = classed.orderBy(F.desc("count"), "word").limit(HELD).collect()
+    most = most_frequent(classed, HELD).collect()
     held = {bytes(r["word"]): (r["count"], r["cls"]) for r in most}
     # A number for each row lets rows with equal ids apart; it lives in this written table only.
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("string"), "text")
     scored = cut(
         numbered.mapInArrow(
-            lambda it: _paths(it, held, scale),
+            lambda it: _given_back(_paths(it, held, scale)),
             "row long, word binary, at binary, id string, n_tokens long, base double, inside double, path binary",
         ),
         "scored",
@@ -524,14 +584,14 @@ def lm_scores(
     both = own.groupBy("part").cogroup(rare.groupBy("part"))
     paths = cut(both.applyInArrow(lambda a, b: _completed(a, b, scale), PATHS), "paths")
     moves = paths.where(~held_out(F.col("id"))).select("path").mapInArrow(
-        lambda it: _count_steps(it, scale), "step long, count long"
+        lambda it: _given_back(_count_steps(it, scale)), "step long, count long"
     )
     joint = np.zeros((model.end_class + 1) ** 2)
     for r in moves.groupBy("step").agg(F.sum("count").alias("count")).collect():
         joint[r["step"]] = r["count"]
     step = _log_steps(joint.reshape(model.end_class + 1, -1))
     out = paths.mapInArrow(
-        lambda it: _score(it, step, scale), "id string, n_tokens long, n_known long, base double, score double"
+        lambda it: _given_back(_score(it, step, scale)), "id string, n_tokens long, n_known long, base double, score double"
     )
     return out.select(
         F.col("id").cast(docs.schema[id_col].dataType).alias(id_col),

@@ -423,3 +423,54 @@ def test_words_meet_before_they_are_looked_up(monkeypatch):
         got.update(dict(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)))
     run = [3] + [n for words in wanted for n in (*(number.get(w, 2) for w in words), 3)]
     assert got == Counter(a * 4 + b for a, b in zip(run, run[1:]))
+
+
+def test_neighbours_and_steps_are_counted_in_little_memory():
+    rng = np.random.default_rng(8)
+    k, n = 50, 3000
+    classes = {b"%d" % i: i % 48 for i in range(100)}
+    lists = [rng.integers(0, 3000, 200) for _ in range(n)]
+    texts = pa.RecordBatch.from_arrays([pa.array([" ".join(map(str, x)) for x in lists], pa.string())], names=["text"])
+    paths = [rng.integers(0, 48, 500, dtype=np.uint8).tobytes() + b"\x31" for _ in range(n)]
+    counts = pa.array(np.full(n, 501))
+    zero = pa.array(np.zeros(n))
+    scored = pa.RecordBatch.from_arrays([counts, counts, counts, zero, zero, pa.array(paths, pa.binary())], names=list("abcdef"))
+    scale, step = class_lm.Scale(np.ones(k), 1.0, 1, 48, 49), rng.normal(size=(k, k))
+
+    def peak(made):
+        tracemalloc.start()
+        try:
+            return list(made), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    contexts, most = peak(class_lm._count_contexts(iter([texts]), classes, 48, 49))
+    # 600,000 words, nearly all without a class.
+    assert most < 32e6
+    seen = Counter()
+    for part in contexts:
+        for row in part.to_pylist():
+            seen.update({(row["word"], c): t for c, t in zip(row["codes"], row["times"], strict=True)})
+    wanted = Counter()
+    for x in lists:
+        path = [49, *(int(w) % 48 if w < 100 else 48 for w in x), 49]
+        for i, w in enumerate(x.tolist()):
+            if w >= 100:
+                wanted.update([(b"%d" % w, path[i]), (b"%d" % w, k + path[i + 2])])
+    assert seen == wanted
+    moves, most = peak(class_lm._count_steps(iter([scored.select(["f"])]), scale))
+    assert most < 12e6 and sum(sum(p.column(1).to_pylist()) for p in moves) == n * 501
+    scores, most = peak(class_lm._score(iter([scored, scored.slice(5, 2)]), step, scale))
+    assert most < 16e6
+    got = [x for p in scores for x in p.column(4).to_pylist()]
+    along = [sum(step[a, b] for a, b in zip(b"\x31" + p, p)) for p in paths]
+    assert np.allclose(got, along + along[5:7])
+
+
+def test_most_frequent_words_are_those_of_the_whole_order(spark):
+    rows = [(bytearray(b"w%d" % i), i % 7 + 1, i % 3) for i in range(70)]
+    counts = spark.createDataFrame(rows, "word binary, count long, cls int")
+    order = sorted(rows, key=lambda r: (-r[1], bytes(r[0])))
+    for limit in (1, 10, 13, 70, 80):
+        assert [(bytes(r["word"]), r["count"]) for r in class_lm.most_frequent(counts, limit).collect()] == [(bytes(w), n) for w, n, _ in order[:limit]]
+    assert class_lm.most_frequent(counts.limit(0), 5).collect() == []
