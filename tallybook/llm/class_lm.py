@@ -29,8 +29,9 @@ from tallybook.llm.common import cut
 SHARE = 1e-4
 #: Words whose counts and classes every task holds; those of all others meet them by a join.
 HELD = 60_000
-#: Words that join their classes together, and documents whose rare words come back to them together, about.
-PART_WORDS, PART_DOCS = 50_000, 2_000
+#: Words that join their classes together, documents whose rare words come back to them together, and tokens of either,
+#: about.
+PART_WORDS, PART_DOCS, PART_TOKENS = 20_000, 2_000, 2_000_000
 #: Rows that leave a scoring task together.
 OUT_ROWS = 100_000
 CLASSES, ROUNDS = 48, 6
@@ -81,6 +82,11 @@ def _kind(limit: int) -> type:
     return np.int32 if limit < 1 << 31 else np.int64
 
 
+def _parts(rows: int, most: int, tokens: int) -> Column:
+    """Number of parts of at most about ``most`` rows and ``PART_TOKENS`` tokens each, however long the rows are."""
+    return F.lit(max(-(-rows // most), -(-tokens // PART_TOKENS), 1))
+
+
 def _given_back(made: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches; then the worker, which waits for other tasks, returns the memory that Arrow keeps for itself."""
     yield from made
@@ -346,7 +352,13 @@ def fit(
 
 
 def word_classes(
-    counts: DataFrame, training: DataFrame, text_col: str, model: Model, distinct: int, open_rest: bool = False
+    counts: DataFrame,
+    training: DataFrame,
+    text_col: str,
+    model: Model,
+    distinct: int,
+    open_rest: bool = False,
+    tokens: int = 0,
 ) -> DataFrame:
     """(word, count, cls) of every training word: those of the model, and each other one in the class that its neighbours
     make the likeliest, or with ``open_rest`` in the open class.
@@ -366,7 +378,7 @@ def word_classes(
             lambda it: _given_back(_count_contexts(it, classes, open_class, end)),
             "word binary, codes array<int>, times array<int>",
         )
-        part = F.pmod(F.xxhash64("word"), F.lit(-(-distinct // PART_WORDS) or 1))
+        part = F.pmod(F.xxhash64("word"), _parts(distinct, PART_WORDS, tokens))
         rest = found.groupBy(part.alias("part")).applyInArrow(lambda t: _joined(t, gain), schema)
     return cut(core.unionByName(rest), "word-classes")
 
@@ -560,7 +572,7 @@ def lm_scores(
     seen = counts.agg(F.sum("count").alias("tokens"), F.count("*").alias("words")).first()
     totals = ((seen["tokens"] or 0) + ends, seen["words"] + (ends > 0), ends)
     model = fit(counts, training, "text", totals, core if share is None else share, classes)
-    classed = word_classes(counts, training, "text", model, totals[1], share is not None)
+    classed = word_classes(counts, training, "text", model, totals[1], share is not None, totals[0])
     within = np.zeros(model.end_class + 1)
     within[model.open_class] = 0.5  # for words not seen
     for r in classed.groupBy("cls").agg(F.sum("count").alias("inside"), F.count("*").alias("members")).collect():
@@ -577,7 +589,7 @@ def lm_scores(
         ),
         "scored",
     )
-    parts = F.lit(-(-n_docs // PART_DOCS) or 1)
+    parts = _parts(n_docs, PART_DOCS, scored.agg(F.sum("n_tokens")).first()[0] or 0)
     rare = scored.where("word is not null").select("row", "word", "at").join(classed, "word", "left")
     rare = rare.select(F.pmod(F.xxhash64("row"), parts).alias("part"), F.col("row").alias("of"), "at", "count", "cls")
     own = scored.where("word is null").select(F.pmod(F.xxhash64("row"), parts).alias("part"), "row", "id", "n_tokens", "base", "inside", "path")

@@ -474,3 +474,20 @@ def test_most_frequent_words_are_those_of_the_whole_order(spark):
     for limit in (1, 10, 13, 70, 80):
         assert [(bytes(r["word"]), r["count"]) for r in class_lm.most_frequent(counts, limit).collect()] == [(bytes(w), n) for w, n, _ in order[:limit]]
     assert class_lm.most_frequent(counts.limit(0), 5).collect() == []
+
+
+def test_few_long_documents_are_completed_in_as_many_parts_as_their_tokens_need(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(60)], 200)) for _ in range(40)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(class_lm, "HELD", 5)
+    made, parts = [], class_lm._parts
+    monkeypatch.setattr(class_lm, "_parts", lambda *sizes: made.append(sizes) or parts(*sizes))
+    read = lambda: [(r["doc_id"], r["n_known"], round(r["score"], 6)) for r in class_lm.lm_scores(docs, core=0.02).orderBy("doc_id").collect()]
+    wanted = read()
+    monkeypatch.setattr(class_lm, "PART_TOKENS", 500)
+    assert read() == wanted and len(wanted) == 40
+    training = sum(zlib.crc32(str(i).encode()) % 5 != 1 for i in range(40))
+    assert [s[2] for s in made] == [201 * training, 201 * 40] * 2
+    number = lambda column: spark.range(1).select(column).first()[0]
+    assert number(parts(40, 2000, 201 * 40)) == 17 and number(parts(40, 7, 0)) == 6 and number(parts(0, 7, 0)) == 1
