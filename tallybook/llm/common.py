@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +31,28 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it: later steps start there, whatever executor is lost."""
+def cut(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it: later steps start there, whatever executor is lost.
+
+    ``options`` go to the writer.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs that run inside give Python batches that end at about ``most`` bytes, whatever a row holds."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard_cuts(spark: SparkSession) -> None:
     """Remove what this application has cut, once its results are written elsewhere."""
     jvm = spark.sparkContext._jvm

@@ -13,22 +13,25 @@ subtrees leave them as sorted runs, cut into blocks by the hashes of phrases, an
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import cut
+from tallybook.llm.common import arrow_batches, cut
 
 MASK = (1 << 64) - 1
 #: Words of the longest phrase.
 LONGEST = 4
 #: Words in an encoded row, about; chunks of all languages together hold twice as many.
 CHUNK_WORDS = 1 << 19
+#: Bytes of a batch that a task hands to Python, about, and encoded rows that are written and read together at most.
+BATCH_BYTES, GROUP_ROWS = 8 << 20, 8
 #: Entries of a container that bursts, and of a task's tries together before subtrees leave them.
 BURST, TRIE_ENTRIES = 4096, 400_000
 #: Bytes of text that are Python objects at a time, and rows of a run that leave a task together.
@@ -464,9 +467,37 @@ def _bitmap(keys: DataFrame, most: int) -> bytes:
     return bytes(out)
 
 
-def _next_level(encoded: DataFrame, levels: list[tuple[bytes, int]], least: int, bits: int, most: int) -> tuple[bytes, int]:
+class _Levels:
+    """The bitmaps so far. Each is sent to an executor once and read by its tasks, so that no step carries copies of all."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.sent = spark, []
+
+    def add(self, bitmap: bytes, shift: int) -> None:
+        self.sent.append((self.spark.sparkContext.broadcast(bitmap), shift))
+
+    def reader(self) -> Callable[[], list[tuple[bytes, int]]]:
+        """What a task calls for the bitmaps with the low bits that each leaves out."""
+        sent = list(self.sent)
+        return lambda: [(bitmap.value, shift) for bitmap, shift in sent]
+
+    def discard(self) -> None:
+        for bitmap, _ in self.sent:
+            bitmap.destroy()
+
+
+@contextmanager
+def _sent_levels(spark: SparkSession) -> Iterator[_Levels]:
+    levels = _Levels(spark)
+    try:
+        yield levels
+    finally:
+        levels.discard()
+
+
+def _next_level(encoded: DataFrame, levels: Callable[[], list[tuple[bytes, int]]], least: int, bits: int, most: int) -> tuple[bytes, int]:
     """The bitmap of phrases one word longer than the last level has, and how many low bits of a hash it leaves out."""
-    sifted = encoded.mapInArrow(lambda it: _sift(it, levels, bits), "part long, keys binary, counts binary")
+    sifted = encoded.mapInArrow(lambda it: _sift(it, levels(), bits), "part long, keys binary, counts binary")
     keys = sifted.groupBy("part").applyInArrow(lambda t: _frequent_keys(t, least), "key long")
     return _bitmap(cut(keys, "frequent-keys"), most), 32 - bits
 
@@ -493,28 +524,32 @@ def phrase_counts(
     count each. Other columns are not read, so no name can clash; empty tables give empty results. A piece
     of any length is cut into chunks that see what follows, so nothing is lost at their ends.
     """
+    spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    encoded = cut(
-        texts.mapInArrow(
-            lambda it: _encode(it, chunk_words),
-            "lang string, words array<string>, counts array<long>, ids array<int>, tail int",
-        ),
-        "encoded-texts",
-    )
-    each = encoded.select("lang", F.inline(F.arrays_zip("words", "counts"))).select(
-        "lang", F.col("words").alias("phrase"), F.col("counts").alias("n")
-    )
-    totals = cut(each.groupBy("lang").agg(F.sum("n").alias("total")), "word-totals")
-    words = cut(each.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "frequent-words")
-    narrow = encoded.select("lang", "words", "ids", "tail")
-    places = encoded.agg(F.sum(F.size("ids"))).first()[0] or 0
-    bits = min(31, max(1, places // PART_HASHES).bit_length())
-    levels = [(_bitmap(words.select(F.xxhash64("lang", "phrase").alias("key")), filter_bits), 0)]
-    for _ in range(LONGEST - 1):  # pairs, triples, quadruples
-        levels.append(_next_level(narrow, list(levels), least, bits, filter_bits))
-    parts = max(LEAST_PARTS, places // PART_WORDS)
-    runs = narrow.mapInArrow(lambda it: _runs(it, levels, burst, trie_entries, parts), BLOCKS)
-    longer = cut(_merged(runs, least), "frequent-phrases")
+    # Rows of megabytes: neither a batch nor a row group may gather as many of them as a file has.
+    with arrow_batches(spark, BATCH_BYTES), _sent_levels(spark) as levels:
+        encoded = cut(
+            texts.mapInArrow(
+                lambda it: _encode(it, chunk_words),
+                "lang string, words array<string>, counts array<long>, ids array<int>, tail int",
+            ),
+            "encoded-texts",
+            **{"parquet.block.row.count.limit": str(GROUP_ROWS)},
+        )
+        each = encoded.select("lang", F.inline(F.arrays_zip("words", "counts"))).select(
+            "lang", F.col("words").alias("phrase"), F.col("counts").alias("n")
+        )
+        totals = cut(each.groupBy("lang").agg(F.sum("n").alias("total")), "word-totals")
+        words = cut(each.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "frequent-words")
+        narrow = encoded.select("lang", "words", "ids", "tail")
+        places = encoded.agg(F.sum(F.size("ids"))).first()[0] or 0
+        bits = min(31, max(1, places // PART_HASHES).bit_length())
+        levels.add(_bitmap(words.select(F.xxhash64("lang", "phrase").alias("key")), filter_bits), 0)
+        for _ in range(LONGEST - 1):  # pairs, triples, quadruples
+            levels.add(*_next_level(narrow, levels.reader(), least, bits, filter_bits))
+        parts, known = max(LEAST_PARTS, places // PART_WORDS), levels.reader()
+        runs = narrow.mapInArrow(lambda it: _runs(it, known(), burst, trie_entries, parts), BLOCKS)
+        longer = cut(_merged(runs, least), "frequent-phrases")
     found = words.unionByName(longer)
     return found.withColumn("size", F.size(F.split("phrase", " "))), totals
 

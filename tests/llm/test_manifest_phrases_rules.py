@@ -5,10 +5,14 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tallybook.llm import merkle, phrases, rule_ledger
+from tallybook.llm.common import arrow_batches
 
 COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 SCHEMA = "doc_id long, source string, lang string, n_chars long, text string, at int, total int, id string, words string, failed int"
@@ -279,3 +283,42 @@ def test_quadruples_of_frequent_triples_that_are_rare_leave_no_task(spark, monke
     longer = {r["phrase"]: r["n"] for r in counts.where("size > 1").collect()}
     assert longer == {"a b": 83, "b c": 123, "c d": 43, "a b c": 83, "b c d": 43}
     assert set(seen) == set(longer)
+
+
+def test_encoded_rows_are_written_and_handed_over_a_few_at_a_time(spark, monkeypatch):
+    """However many rows of megabytes a file or a partition has, no row group or batch gathers them all."""
+    seen, files, own, batch_bytes = [], [], phrases.cut, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def cut(df, name, **options):
+        out = own(df, name, **options)
+        files.extend(f.removeprefix("file://") for f in out.inputFiles() if name == "encoded-texts")
+        return out
+
+    monkeypatch.setattr(phrases, "cut", cut)
+    before = spark.conf.get(batch_bytes)
+    frame = spark.createDataFrame([("en", f"a b c w{i}") for i in range(400)], "lang string, text string").coalesce(1)
+    counts, _ = phrases.phrase_counts(frame, 30, chunk_words=40)
+    assert {(r["phrase"], r["n"]) for r in counts.where("size = 3").collect()} == {("a b c", 400)}
+    for path in files:
+        meta = pq.ParquetFile(path).metadata
+        seen += [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
+    assert sum(seen) >= 40 and max(seen) <= phrases.GROUP_ROWS
+    wide = spark.range(0, 64, 1, 1).selectExpr("array_repeat(id, 4096) AS ids")
+    with arrow_batches(spark, 1 << 16):
+        sizes = wide.mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in it), "n long").collect()
+    assert len(sizes) >= 32 and max(r["n"] for r in sizes) < 1 << 17
+    assert spark.conf.get(batch_bytes) == before
+
+
+def test_steps_carry_no_bitmaps(spark):
+    """Bitmaps reach an executor once; what a step sends with its code does not grow with them."""
+    with phrases._sent_levels(spark) as levels:
+        for k in range(4):
+            levels.add(bytes([k]) * (1 << 20), k)
+        read = levels.reader()
+        assert len(cloudpickle.dumps(read)) < 10_000
+        found = spark.range(2).mapInArrow(
+            lambda it: (pa.RecordBatch.from_pydict({"n": [x for b, k in read() for x in (len(b), b[0], k)]}) for _ in it), "n long"
+        ).collect()
+        sent = [x for k in range(4) for x in (1 << 20, k, k)]
+        assert [r["n"] for r in found][:12] == sent
