@@ -9,7 +9,7 @@ from tallybook.operators.profile import (
     type_evidence,
     unparsed_dates,
 )
-from tallybook.operators.rows import deduplicate, deduplicate_by_digest, drop_empty_rows
+from tallybook.operators.rows import deduplicate, deduplicate_by_digest, deduplicate_known, drop_empty_rows, row_hash
 from tallybook.operators.share import top_k, with_running_share, with_share, with_totals
 from tallybook.operators.values import (
     apply_schema,
@@ -33,12 +33,14 @@ __all__ = [
     "day_first_columns",
     "deduplicate",
     "deduplicate_by_digest",
+    "deduplicate_known",
     "detect_and_cast_dates",
     "drop_empty_rows",
     "fill_nulls_numeric",
     "fill_nulls_text",
     "infer_types",
     "null_profile",
+    "row_hash",
     "standardize_columns",
     "stringify_objects",
     "top_k",
