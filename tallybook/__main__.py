@@ -111,16 +111,21 @@ def parse(argv: list[str]) -> argparse.Namespace:
 
 
 def main(argv: list[str], spark: SparkSession | None = None) -> int:
-    """Run one stage, print its report and summary; 0 when every part succeeded."""
+    """Run one stage, print its report and summary; 0 when every part succeeded. Shuffles are sized for this stage only."""
     args = parse(argv)
     spark = spark or build_session(master=args.master)
     given = next((p for p in (getattr(args, n, None) for n in ("raw", "clean", "sales", "kpi")) if p), None)
-    if args.shuffle_bytes or given:
-        size_shuffles(spark, args.shuffle_bytes or input_bytes(spark, given))
-    outcome = args.run(spark, args)
-    outcome.show(truncate=False)
-    run_summary(outcome).show()
-    return 1 if outcome.where(~F.col("success")).count() else 0
+    partitions = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(partitions)
+    try:
+        if args.shuffle_bytes or given:
+            size_shuffles(spark, args.shuffle_bytes or input_bytes(spark, given))
+        outcome = args.run(spark, args)
+        outcome.show(truncate=False)
+        run_summary(outcome).show()
+        return 1 if outcome.where(~F.col("success")).count() else 0
+    finally:
+        spark.conf.set(partitions, before)
 
 
 if __name__ == "__main__":
